@@ -36,6 +36,23 @@ def hourly_samples(reports: DataFrame, rules: AnchorRules = AnchorRules()) -> Da
     return hourly.hourly_features(hourly.training_anchors(windows, rules))
 
 
+def scored_columns(rows: DataFrame) -> DataFrame:
+    """What calibration and the backtest read of predicted rows."""
+    recent = ("recent_mean_7d", "recent_sum_7d", "recent_lag_1d", "cv_7d", "lag1_vs_mean_7d")
+    present = set(rows.columns)
+    return rows.select(
+        "local_date",
+        "timezone",
+        *ENTITY,
+        "days_active",
+        *[f"kpi_{k}" for k in KPIS],
+        *[f"target_24h_{m}" for m in METRICS],
+        *[f"pred_24h_{m}" for m in METRICS],
+        *[f"{m}_{name}" for m in METRICS for name in recent if f"{m}_{name}" in present],
+        "split",
+    )
+
+
 def backtest(
     scored: DataFrame,
     rules: CalibrationRules = CalibrationRules(),
@@ -43,8 +60,9 @@ def backtest(
 ) -> tuple[DataFrame, calibration.Calibration]:
     """Backtest table of the validation and test rows.
 
-    ``scored`` carries targets, ``pred_24h_*``, the recent-scale columns and
-    ``split``; calibration is fitted on the validation part alone."""
+    ``scored`` has the columns of :func:`scored_columns` and should be a written
+    table: fitting and applying read it several times. Calibration is fitted on
+    the validation part alone."""
     rows = scored.filter(F.col("split") != "train")
     rows = add(rows, {"prediction_segment": labels.prediction_segment(segments)})
     spec = calibration.fit_calibration(rows.filter(F.col("split") == "valid"), rules=rules)

@@ -1,7 +1,10 @@
-"""Session settings the jobs rely on."""
+"""Session settings the jobs rely on, and the shared folder for written tables."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
@@ -16,20 +19,22 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared folder named by the cluster. ``fallback`` is only for a session
-    that names none, such as a test."""
-    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder the cluster names. Only a local session that names none,
+    such as a test, gets a temporary one."""
+    context = spark.sparkContext
+    named = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if named:
         return named
-    if fallback is None:
+    if not context.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder every executor can reach")
-    return fallback
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return context.getCheckpointDir()
 
 
-def cut(df: DataFrame, fallback: str | None = None) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_dir(spark, fallback))
-    return df.checkpoint()
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, however
+    often it is read, and safe when executors are lost."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

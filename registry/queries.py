@@ -7,8 +7,6 @@ of the same hours of the last seven days (6h). Label rules run on every ad and d
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kpicast import session
@@ -47,18 +45,20 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Plain output types: times as text, whole numbers as bigint, doubles rounded
     so that the order of a sum does not show."""
     out = []
-    for field in df.schema:
-        c, kind = F.col(f"`{field.name}`"), field.dataType
-        if isinstance(kind, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        elif isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits) + 0.0
-        elif isinstance(kind, (T.IntegerType, T.ShortType, T.LongType)):
-            c = c.cast("bigint")
-        out.append(c.alias(field.name))
-    return df.select(*out)
+    for name, kind in df.dtypes:
+        sql = f"`{name}`"
+        if kind == "date":
+            sql = f"date_format({sql}, 'yyyy-MM-dd')"
+        elif kind.startswith("timestamp"):
+            sql = f"date_format({sql}, 'yyyy-MM-dd HH:mm:ss')"
+        elif kind in ("double", "float") or kind.startswith("decimal"):
+            sql = f"round(CAST({sql} AS double), {digits}) + 0D"
+        elif kind == "boolean":
+            sql = f"CAST({sql} AS string)"
+        elif kind in ("tinyint", "smallint", "int", "bigint"):
+            sql = f"CAST({sql} AS bigint)"
+        out.append(f"{sql} AS `{name}`")
+    return df.selectExpr(*out)
 
 
 # -- building blocks ---------------------------------------------------------
@@ -104,7 +104,8 @@ def _scored_days(spark: SparkSession, d: str) -> DataFrame:
     """Training rows with split and stand-in prediction."""
     rows = train.daily_samples([lens.daily_facts(spark, d)])
     rows = samples.time_split(rows, "local_date", TRAIN_END, VALID_END)
-    return score.recent_mean(rows)
+    # Read several times by calibration and its metrics, so written once.
+    return session.written(train.scored_columns(score.recent_mean(rows)), "scored")
 
 
 def _segmented(spark: SparkSession, d: str) -> DataFrame:
@@ -678,7 +679,7 @@ def time_split(spark, d):
 
 
 def sample_weights(spark, d):
-    rows = train.daily_samples([lens.daily_facts(spark, d)])
+    rows = session.written(train.daily_samples([lens.daily_facts(spark, d)]), "samples")
     weights = [
         samples.sample_weight(rows, m, RECENCY_START, revenue_focus=True).alias(f"weight_{m}")
         for m in METRICS
@@ -696,7 +697,7 @@ def best_model(spark, d):
     """The better of two stand-ins per target by R2 on the test days."""
     rows = _scored_days(spark, d).filter("split = 'test'")
     tables = {}
-    for name, suffix in (("mean_7d", "roll_mean_7d"), ("last_day", "lag_1d")):
+    for name, suffix in (("mean_7d", "recent_mean_7d"), ("last_day", "recent_lag_1d")):
         pairs = {f"target_24h_{m}": (f"target_24h_{m}", f"{m}_{suffix}") for m in METRICS}
         long = metrics.target_rows(rows, ["split"], pairs)
         tables[name] = metrics.regression_metrics(long, ["target", "split"], "actual", "predicted")
@@ -704,29 +705,23 @@ def best_model(spark, d):
     return metrics.selection_report(tables, names)
 
 
-def _scratch(spark: SparkSession) -> str:
-    """Model folder of a query run, in the shared folder the cluster names."""
-    root = spark.conf.get(session.CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
-    return tempfile.mkdtemp(prefix="run-") if root is None else f"{root}/models"
-
-
 def fit_predict_24h(spark, d):
-    path = f"{_scratch(spark)}/daily"
-    rows = train.daily_samples([lens.daily_facts(spark, d)])
+    path = f"{session.shared_dir(spark)}/models/daily"
+    rows = session.written(train.daily_samples([lens.daily_facts(spark, d)]), "samples")
     out = train.train_24h(rows, path, TRAIN_END, VALID_END, RECENCY_START, iterations=5)
     return out.select("local_date", "ad_id", "split", *[f"pred_24h_{m}" for m in METRICS])
 
 
 def fit_predict_6h(spark, d):
-    path = f"{_scratch(spark)}/hourly"
-    rows = train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS)
+    path = f"{session.shared_dir(spark)}/models/hourly"
+    rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
     out = train.train_6h(rows, path, iterations=3)
     return out.select("anchor_ts", "ad_id", "split", *[f"pred_6h_{m}" for m in METRICS])
 
 
 def objective_search(spark, d):
-    path = f"{_scratch(spark)}/sparse"
-    rows = train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS)
+    path = f"{session.shared_dir(spark)}/models/sparse"
+    rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
     table, _ = train.search_6h(rows, path, iterations=3)
     return table
 
