@@ -11,12 +11,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.clean import is_active, text_id
-from ..operators.joins import dimension_lookup
-from ..operators.topk import keep_top_ads
+from ..names import ENTITY
+from ..operators.joins import dimension_lookup, spread_lookup
+from ..operators.topk import top_ads
 
 ACCOUNT_KEYS = ["account_id", "company_id", "traffic_source_id", "traffic_source_config_id"]
 # An id list longer than this is joined instead of inlined.
 _INLINE_IDS = 1000
+# A top-k of at most this many ads is broadcast.
+MAX_BROADCAST_ADS = 10_000
 
 
 @dataclass(frozen=True)
@@ -109,6 +112,29 @@ def attach_timezone(
     return joined.withColumn("timezone", F.coalesce(F.col("timezone"), F.lit("")))
 
 
+def _totals(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Spend and latest row per combination of ids: one row per ad and hierarchy,
+    however many rows the ads have."""
+    return rows.groupBy(*keys).agg(
+        F.sum(F.coalesce(F.col("spend"), F.lit(0))).alias("spend"), F.max("date").alias("date")
+    )
+
+
+def _restrict(
+    rows: DataFrame, entities: DataFrame, keys: list[str], carry: list[str], ad_limit: int
+) -> DataFrame:
+    """Rows of the kept combinations of ids, with the ``carry`` columns of each.
+    With a limit the few ads kept are broadcast first, which leaves little to
+    join; without one the rows are shuffled once."""
+    if ad_limit > 0:
+        ads = top_ads(entities, ad_limit).select("ad_id")
+        small = F.broadcast(ads) if ad_limit <= MAX_BROADCAST_ADS else ads
+        rows = rows.join(small, "ad_id", "left_semi")
+        entities = entities.join(small, "ad_id", "left_semi")
+    kept = entities.select(*keys, *carry)
+    return spread_lookup(rows, kept, keys, ["date"], "inner" if carry else "left_semi")
+
+
 def extract_hourly(
     reports: DataFrame,
     dims: Hierarchy,
@@ -117,18 +143,23 @@ def extract_hourly(
     ad_limit: int = 500,
     ad_ids: list[str] | None = None,
     account_ids: list[str] | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Reports of the active hierarchy inside the lookback with their timezone,
-    for the largest ads (0 = all)."""
+    for the largest ads (0 = all).
+
+    The dimensions are joined with the distinct ids of the reports and not with
+    the reports, so these are never shuffled once per level."""
     rows = reports.filter(
         lookback(F.col("date"), anchor, lookback_days) & F.col("ad_id").isNotNull()
     )
     rows = filter_ids(filter_ids(rows, "ad_id", ad_ids), "account_id", account_ids)
-    rows = attach_timezone(rows, dims.accounts, broadcast_rows)
-    rows = rows.filter(is_active(F.col("account_status")))
-    rows = keep_active(rows, dims, ["campaign", "adset", "ad"], broadcast_rows)
-    return keep_top_ads(rows.drop("account_status"), ad_limit)
+    rows = rows.withColumns({name: text_id(F.col(name)) for name in ACCOUNT_KEYS})
+    keys = [*ACCOUNT_KEYS, "campaign_id", "adset_id", "ad_id"]
+    entities = spread_lookup(
+        _totals(rows, keys), unique_accounts(dims.accounts), ACCOUNT_KEYS, ["ad_id"], "inner"
+    ).filter(is_active(F.col("account_status")))
+    entities = keep_active(entities, dims, ["campaign", "adset", "ad"])
+    return _restrict(rows, entities, keys, ["timezone"], ad_limit)
 
 
 def extract_daily(
@@ -139,7 +170,6 @@ def extract_daily(
     ad_limit: int = 500,
     ad_ids: list[str] | None = None,
     account_ids: list[str] | None = None,
-    broadcast_rows: int = 0,
 ) -> DataFrame:
     """Daily facts at ad grain of the active hierarchy inside the lookback, for
     the largest ads (0 = all)."""
@@ -149,8 +179,8 @@ def extract_daily(
         & lookback(F.col("date").cast("timestamp"), anchor.cast("timestamp"), lookback_days)
     )
     rows = filter_ids(filter_ids(rows, "ad_id", ad_ids), "account_id", account_ids)
-    rows = keep_active(rows, dims, ["account", "campaign", "adset", "ad"], broadcast_rows)
-    return keep_top_ads(rows, ad_limit)
+    entities = keep_active(_totals(rows, ENTITY), dims, ["account", "campaign", "adset", "ad"])
+    return _restrict(rows, entities, ENTITY, [], ad_limit)
 
 
 def active_accounts(accounts: DataFrame) -> DataFrame:

@@ -13,12 +13,20 @@ import math
 from kpicast.names import KPIS, METRICS, SHORT
 from kpicast.operators import daily, hourly
 
+# Same as on the Spark side: keeps values that end in a 5 behind the last shown
+# digit from being rounded either way.
+TIE_SHIFT = 1.3e-8
+
 SPARSE = ["tracker_conversions", "tracker_revenue"]
 LONG = daily.LONG_METRICS
 
 
-def r(sql: str, name: str) -> str:
-    return f"round(CAST({sql} AS DOUBLE), 6) + 0 AS {name}"
+def r(sql: str, name: str, digits: int = 6) -> str:
+    return f"round(CAST({sql} AS DOUBLE) + {TIE_SHIFT!r}, {digits}) AS {name}"
+
+
+def r4(sql: str, name: str) -> str:
+    return r(sql, name, 4)
 
 
 def big(sql: str, name: str) -> str:
@@ -385,8 +393,8 @@ def _extract_statements() -> dict[str, str]:
     dirty = """CASE event_id % 6 WHEN 0 THEN 'x' WHEN 1 THEN NULL WHEN 2 THEN 'NaN'
  WHEN 3 THEN 'Infinity' ELSE CAST(value AS VARCHAR) END"""
     out["clean_numbers"] = f"""SELECT event_id,
- round(CASE WHEN n IS NULL OR isnan(n) THEN 0.0 WHEN isinf(n) THEN -1.0 ELSE n END, 6) + 0 AS number,
- round(CASE WHEN n IS NULL OR isnan(n) OR isinf(n) THEN 0.0 ELSE n END, 6) + 0 AS model_value
+ {r("CASE WHEN n IS NULL OR isnan(n) THEN 0.0 WHEN isinf(n) THEN -1.0 ELSE n END", "number")},
+ {r("CASE WHEN n IS NULL OR isnan(n) OR isinf(n) THEN 0.0 ELSE n END", "model_value")}
  FROM (SELECT event_id, TRY_CAST({dirty} AS DOUBLE) AS n FROM events)"""
     dirty = """CASE o_orderkey % 4 WHEN 0 THEN 'not a date'
  WHEN 1 THEN strftime(o_orderdate, '%Y-%m-%d')
@@ -1181,19 +1189,19 @@ FLAG = """CASE WHEN act_impressions < 100 THEN 'LOW_IMPRESSIONS'
 def _scores(bias: str, under: bool = True) -> str:
     cols = [
         "count(*) AS rows",
-        r("avg(abs(p - y))", "mae"),
-        r("sqrt(avg((p - y) * (p - y)))", "rmse"),
-        r(
+        r4("avg(abs(p - y))", "mae"),
+        r4("sqrt(avg((p - y) * (p - y)))", "rmse"),
+        r4(
             "CASE WHEN count(*) <= 1 THEN 0.0 WHEN var_pop(y) > 0 "
             "THEN 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) "
             "WHEN sum((p - y) * (p - y)) = 0 THEN 1.0 ELSE 0.0 END",
             "r2",
         ),
-        r("CASE WHEN sum(abs(y)) != 0 THEN sum(abs(p - y)) / sum(abs(y)) ELSE 0.0 END", "wmape"),
-        r(f"CASE WHEN {bias} != 0 THEN sum(p - y) / {bias} ELSE 0.0 END", "bias"),
+        r4("CASE WHEN sum(abs(y)) != 0 THEN sum(abs(p - y)) / sum(abs(y)) ELSE 0.0 END", "wmape"),
+        r4(f"CASE WHEN {bias} != 0 THEN sum(p - y) / {bias} ELSE 0.0 END", "bias"),
     ]
     if under:
-        cols.append(r("avg(CASE WHEN p < y THEN 1.0 ELSE 0.0 END)", "underprediction_rate"))
+        cols.append(r4("avg(CASE WHEN p < y THEN 1.0 ELSE 0.0 END)", "underprediction_rate"))
     return ", ".join(cols)
 
 
@@ -1307,12 +1315,12 @@ def _monitor() -> str:
     ape = "abs(p - y) / greatest(abs(y), 1.0)"
     return with_(
         [*CALS, BT],
-        f"""SELECT group_name, group_value, metric, count(*) AS rows, {r('sum(y)', 'actual_sum')},
- {r('sum(p)', 'predicted_sum')}, {r('sum(abs(p - y)) / greatest(sum(abs(y)), 1.0)', 'wmape')},
- {r('sum(p - y) / greatest(sum(abs(y)), 1.0)', 'bias')},
- {r(f'quantile_cont({ape} * 100.0, 0.5)', 'median_abs_pct_error')},
- {r(f'quantile_cont({ape} * 100.0, 0.75)', 'p75_abs_pct_error')},
- {r('CASE WHEN var_pop(y) > 0 THEN 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) ELSE 0.0 END', 'r2')},
+        f"""SELECT group_name, group_value, metric, count(*) AS rows, {r4('sum(y)', 'actual_sum')},
+ {r4('sum(p)', 'predicted_sum')}, {r4('sum(abs(p - y)) / greatest(sum(abs(y)), 1.0)', 'wmape')},
+ {r4('sum(p - y) / greatest(sum(abs(y)), 1.0)', 'bias')},
+ {r4(f'quantile_cont({ape} * 100.0, 0.5)', 'median_abs_pct_error')},
+ {r4(f'quantile_cont({ape} * 100.0, 0.75)', 'p75_abs_pct_error')},
+ {r4('CASE WHEN var_pop(y) > 0 THEN 1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) ELSE 0.0 END', 'r2')},
  prediction_column FROM ({long}) GROUP BY group_name, group_value, metric, prediction_column""",
     )
 
@@ -1330,11 +1338,11 @@ def _accounts() -> str:
     gaps = []
     for family, p in (("base", "pred"), ("calibrated", "pred_calibrated")):
         for m in ("revenue", "spend"):
-            gaps.append(r(ratio(f"abs({p}_{m} - actual_{m})", f"actual_{m}"), f"{family}_{m}_gap_pct"))
+            gaps.append(r4(ratio(f"abs({p}_{m} - actual_{m})", f"actual_{m}"), f"{family}_{m}_gap_pct"))
     return with_(
         [*CALS, BT],
-        f"""SELECT account_id, rows, ads, {', '.join(r(n, n) for n in sums)},
- {r('bad', 'kpi_unstable_rate')}, {', '.join(gaps)} FROM (
+        f"""SELECT account_id, rows, ads, {', '.join(r4(n, n) for n in sums)},
+ {r4('bad', 'kpi_unstable_rate')}, {', '.join(gaps)} FROM (
  SELECT CAST(u % 5 AS VARCHAR) AS account_id, count(*) AS rows, count(DISTINCT u) AS ads, {inner},
  avg(CASE WHEN {FLAG} != 'OK' THEN 1.0 ELSE 0.0 END) AS bad FROM bt WHERE split = 'test' GROUP BY u % 5)
  ORDER BY calibrated_revenue_gap_pct DESC, account_id LIMIT 30""",

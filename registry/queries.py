@@ -41,9 +41,14 @@ RECENCY_START = "2024-01-20"
 TRAIN_END, VALID_END = "2024-01-20", "2024-01-25"
 
 
+# Also used by the SQL side.
+TIE_SHIFT = 1.3e-8
+
+
 def portable(df: DataFrame, digits: int = 6) -> DataFrame:
     """Plain output types: times as text, whole numbers as bigint, doubles rounded
-    so that the order of a sum does not show."""
+    so that the order of a sum does not show. Means of cents often end in a 5 right
+    behind the last digit, so a shift far below it comes before the rounding."""
     out = []
     for name, kind in df.dtypes:
         sql = f"`{name}`"
@@ -52,7 +57,7 @@ def portable(df: DataFrame, digits: int = 6) -> DataFrame:
         elif kind.startswith("timestamp"):
             sql = f"date_format({sql}, 'yyyy-MM-dd HH:mm:ss')"
         elif kind in ("double", "float") or kind.startswith("decimal"):
-            sql = f"round(CAST({sql} AS double), {digits}) + 0D"
+            sql = f"round(CAST({sql} AS double) + {TIE_SHIFT!r}D, {digits})"
         elif kind == "boolean":
             sql = f"CAST({sql} AS string)"
         elif kind in ("tinyint", "smallint", "int", "bigint"):
@@ -648,7 +653,8 @@ def metrics_by_anchor(spark, d):
 
 
 def quality_monitor(spark, d):
-    return metrics.quality_monitor(_backtest(spark, d))
+    table = session.written(_backtest(spark, d), "backtest")
+    return metrics.quality_monitor(table, broadcast_labels=1000)
 
 
 def account_summary(spark, d):
@@ -846,12 +852,25 @@ _NAMES = [
 ]
 
 
+# Sums of long columns of doubles: shown with fewer digits.
+_SUMMED = {
+    name: 4
+    for name in (
+        "quality_monitor",
+        "regression_metrics",
+        "metrics_by_anchor",
+        "account_summary",
+        "best_model",
+    )
+}
+
+
 def registered() -> dict:
-    def runner(query):
+    def runner(name):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             session.prepare(spark)
-            return portable(query(spark, sf_dir))
+            return portable(globals()[name](spark, sf_dir), _SUMMED.get(name, 6))
 
         return run
 
-    return {name: runner(globals()[name]) for name in _NAMES}
+    return {name: runner(name) for name in _NAMES}
