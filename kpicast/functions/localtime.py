@@ -13,6 +13,8 @@ from pyspark.sql import Column, functions as F
 HOUR_MICROS = 3_600_000_000
 # Names the operating system lists but that are no zones.
 _NOT_ZONES = {"Factory", "localtime", "posixrules"}
+# Zones the JVM knows by another name only.
+_RENAMED = {"ROC": "Asia/Taipei"}
 
 
 def known_zones() -> list[str]:
@@ -32,7 +34,8 @@ def zone_or_utc(timezone: str) -> Column:
     """Zone in the named column when it is known, UTC otherwise (empty, null,
     invalid). The list of zones is a constant set: no join."""
     name = f"trim(coalesce({timezone}, ''))"
-    return F.expr(f"CASE WHEN {name} IN ({_zone_list()}) THEN {name} ELSE 'UTC' END")
+    renamed = " ".join(f"WHEN {name} = '{old}' THEN '{new}'" for old, new in _RENAMED.items())
+    return F.expr(f"CASE {renamed} WHEN {name} IN ({_zone_list()}) THEN {name} ELSE 'UTC' END")
 
 
 def _floor_hours(micros: Column) -> Column:

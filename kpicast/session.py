@@ -16,6 +16,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    # Feature windows cost far more time per byte than a scan: small partitions
+    # are merged only up to this size.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     return spark
 
 
