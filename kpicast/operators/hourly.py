@@ -72,7 +72,9 @@ def hour_blocks(hourly: DataFrame) -> DataFrame:
     Block ``b`` covers the hours after 6(b-1) up to and including 6b, so 6b is its
     anchor. Blocks without a row are filled with 0 by opening each gap from the
     block before it; ids and timezone carry forward."""
-    hours = add(keep_last(hourly, "hour_idx"), {"_ahead": f"pmod(-hour_idx, {_STEP})"})
+    # Hashed by ad once, for the blocks and all windows after them.
+    hours = keep_last(hourly, "hour_idx").repartition("ad_id")
+    hours = add(hours, {"_ahead": f"pmod(-hour_idx, {_STEP})"})
     hours = add(hours, {"block": f"(hour_idx + _ahead) div {_STEP}"})
     sums = {f"{m}_6": f"sum({m})" for m in METRICS}
     for n in (3, 1):

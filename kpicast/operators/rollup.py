@@ -86,16 +86,12 @@ def daily_rollup(facts: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
 
 
 def keep_last(rows: DataFrame, time: str) -> DataFrame:
-    """One row per ad and ``time``: the last by timezone and hierarchy. The rows
-    are hashed by ad alone, so later windows per ad need no further shuffle."""
+    """One row per ad and ``time``: the last by timezone and hierarchy. Grouped by
+    ad and time, so an id shared by very many hierarchies (a blank one, say) is
+    spread over its hours before anything is gathered per ad."""
     order = [F.col(name).desc() for name in ["timezone", *_HIERARCHY]]
     same_slot = Window.partitionBy("ad_id", time).orderBy(*order)
-    return (
-        rows.repartition("ad_id")
-        .withColumn("_n", F.row_number().over(same_slot))
-        .filter("_n = 1")
-        .drop("_n")
-    )
+    return rows.withColumn("_n", F.row_number().over(same_slot)).filter("_n = 1").drop("_n")
 
 
 def merge_sources(sources: list[DataFrame]) -> DataFrame:
