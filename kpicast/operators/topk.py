@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+# A top-k of at most this many ads is broadcast.
+MAX_BROADCAST_ADS = 10_000
+
+
 def top_ads(rows: DataFrame, limit: int, time: str = "date") -> DataFrame:
     """Ads by total spend, then by their latest row; the ad id breaks ties."""
     ranked = rows.groupBy("ad_id").agg(
@@ -16,8 +20,14 @@ def top_ads(rows: DataFrame, limit: int, time: str = "date") -> DataFrame:
     ).limit(limit)
 
 
+def limited(ads: DataFrame, limit: int) -> DataFrame:
+    """The ids of a top-k, broadcast while the limit itself bounds them."""
+    ids = ads.select("ad_id")
+    return F.broadcast(ids) if limit <= MAX_BROADCAST_ADS else ids
+
+
 def keep_top_ads(rows: DataFrame, limit: int, time: str = "date") -> DataFrame:
     """All rows of the largest ads; limit 0 keeps every ad."""
     if limit <= 0:
         return rows
-    return rows.join(top_ads(rows, limit, time).select("ad_id"), "ad_id", "left_semi")
+    return rows.join(limited(top_ads(rows, limit, time), limit), "ad_id", "left_semi")

@@ -6,11 +6,11 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..config import AnchorRules, GuardRules, HistoryRules
-from ..functions.clean import align_features
+from ..config import AnchorRules, ExtractRules, GuardRules, HistoryRules
 from ..functions.text import add
 from ..names import ENTITY, METRICS
-from ..operators import daily, grid, hourly, models, recommend, rollup
+from ..operators import daily, grid, hourly, models, recommend, rollup, topk
+from ..sources import extract
 
 Predictor = Callable[[DataFrame], DataFrame]
 
@@ -167,19 +167,47 @@ def score_24h(
     )
 
 
-def forecast_6h(reports: DataFrame, predict: Predictor = same_window_mean, **options) -> DataFrame:
+def features_6h(
+    reports: DataFrame,
+    account_ids: list[str] | None = None,
+    max_ads: int = 0,
+    recent_days: int | None = ExtractRules.hourly_recent_days,
+) -> DataFrame:
+    """Features at the latest anchors from raw hourly reports with timezone: rows
+    of the last days, of the accounts in scope, of the largest ads (0 = all)."""
+    rows = rollup.clean_hourly(reports)
+    if recent_days is not None:
+        rows = extract.recent_rows(rows, "date", recent_days)
+    rows = rollup.hourly_rollup(extract.filter_ids(rows, "account_id", account_ids))
+    return latest_features_6h(topk.keep_top_ads(rows, max_ads, "hour_idx"))
+
+
+def forecast_6h(
+    reports: DataFrame,
+    predict: Predictor = same_window_mean,
+    account_ids: list[str] | None = None,
+    max_ads: int = 0,
+    recent_days: int | None = ExtractRules.hourly_recent_days,
+    **options,
+) -> DataFrame:
     """Raw hourly reports with timezone to the 6h forecast."""
-    rows = rollup.hourly_rollup(rollup.clean_hourly(reports))
-    return score_6h(latest_features_6h(rows), predict, **options)
+    features = features_6h(reports, account_ids, max_ads, recent_days)
+    return score_6h(features, predict, **options)
 
 
-def forecast_24h(facts: DataFrame, predict: Predictor = recent_mean, **options) -> DataFrame:
-    """Raw daily facts to the 24h forecast."""
+def forecast_24h(
+    facts: DataFrame,
+    predict: Predictor = recent_mean,
+    account_ids: list[str] | None = None,
+    max_ads: int = 0,
+    recent_days: int = ExtractRules.daily_recent_days,
+    **options,
+) -> DataFrame:
+    """Raw daily facts to the 24h forecast. Counters come from the whole history,
+    features from the last days of it."""
     rows = rollup.daily_rollup(rollup.clean_daily(facts))
-    features = next_day_features(rows, summary=rollup.lifetime_summary(rows))
+    rows = extract.filter_ids(rows, "account_id", account_ids)
+    rows = topk.keep_top_ads(rows, max_ads, "local_date")
+    recent = extract.recent_rows(rows, "local_date", recent_days)
+    features = next_day_features(recent, summary=rollup.lifetime_summary(rows))
     return score_24h(features, predict, **options)
-
-
-def aligned(features: DataFrame, names: list[str]) -> DataFrame:
-    """Features as a model expects them, for a cache shared between models."""
-    return align_features(features, names)

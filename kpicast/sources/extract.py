@@ -13,13 +13,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.clean import is_active, text_id
 from ..names import ENTITY
 from ..operators.joins import dimension_lookup, spread_lookup
-from ..operators.topk import top_ads
+from ..operators.topk import limited, top_ads
 
 ACCOUNT_KEYS = ["account_id", "company_id", "traffic_source_id", "traffic_source_config_id"]
 # An id list longer than this is joined instead of inlined.
 _INLINE_IDS = 1000
-# A top-k of at most this many ads is broadcast.
-MAX_BROADCAST_ADS = 10_000
 
 
 @dataclass(frozen=True)
@@ -127,8 +125,7 @@ def _restrict(
     With a limit the few ads kept are broadcast first, which leaves little to
     join; without one the rows are shuffled once."""
     if ad_limit > 0:
-        ads = top_ads(entities, ad_limit).select("ad_id")
-        small = F.broadcast(ads) if ad_limit <= MAX_BROADCAST_ADS else ads
+        small = limited(top_ads(entities, ad_limit), ad_limit)
         rows = rows.join(small, "ad_id", "left_semi")
         entities = entities.join(small, "ad_id", "left_semi")
     kept = entities.select(*keys, *carry)

@@ -949,6 +949,21 @@ def _serving_statements() -> dict[str, str]:
     out["forecast_rows"] = with_(
         [*ALLDAYS, latest, pn, label_table("lb", "pd"), rec], f"SELECT {', '.join(cols)} FROM rc"
     )
+    # The whole job: features from the last 18 days, counters from all of them.
+    recent = """rd AS (SELECT * FROM dd WHERE d >= (SELECT max(d) FROM dd) - 18),
+l16 AS (SELECT * FROM rd QUALIFY row_number() OVER (PARTITION BY u ORDER BY d DESC) <= 16)"""
+    life = "life AS (SELECT u, count(DISTINCT d) AS days FROM dd GROUP BY u)"
+    nx = """nx AS (SELECT fe.* EXCLUDE days_active, CAST(days AS DOUBLE) AS days_active
+ FROM fe JOIN life USING (u) WHERE d = last_d + 1)"""
+    out["forecast_24h"] = with_(
+        [*DAYS, recent, life, grid("dn16", "l16", 1), feature_table("fe", "dn16"), nx, pn,
+         label_table("lb", "pd"), rec],
+        f"SELECT {day('d', 'forecast_anchor_local_date')}, "
+        f"{day('last_d', 'history_cutoff_local_date')}, {IDS}, {r('days_active', 'days_active')}, "
+        "history_segment, benchmark_source, "
+        + ", ".join(r(f"rec_{m}", f"recommended_24h_{m}") for m in METRICS)
+        + " FROM rc",
+    )
     return out | _serving_6h()
 
 

@@ -553,7 +553,9 @@ def forecast_rows_6h(spark, d):
 
 def forecast_6h(spark, d):
     """Next-6-hour forecast with hierarchical fallback, from raw reports."""
-    out = score.forecast_6h(lens.hourly_facts(spark, d), anchors=ENOUGH_ANCHORS)
+    out = score.forecast_6h(
+        lens.hourly_facts(spark, d), recent_days=None, anchors=ENOUGH_ANCHORS
+    )
     return out.select(
         "anchor_ts",
         "forecast_window_start",
@@ -570,6 +572,19 @@ def forecast_6h(spark, d):
     )
 
 
+def forecast_24h(spark, d):
+    """Next-day forecast from raw daily facts."""
+    return score.forecast_24h(lens.daily_facts(spark, d)).select(
+        "forecast_anchor_local_date",
+        "history_cutoff_local_date",
+        *ENTITY,
+        "days_active",
+        "history_segment",
+        "benchmark_source",
+        *[f"recommended_24h_{m}" for m in METRICS],
+    )
+
+
 def payload_json(spark, d):
     """Feature payload written as JSON and read back."""
     rows = _daily(spark, d).withColumn(
@@ -824,6 +839,7 @@ _NAMES = [
     "forecast_rows",
     "forecast_rows_6h",
     "forecast_6h",
+    "forecast_24h",
     "payload_json",
     "prediction_segment",
     "calibration_factors",
