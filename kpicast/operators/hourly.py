@@ -129,6 +129,47 @@ def block_windows(blocks: DataFrame) -> DataFrame:
     return pick(blocks, ["timezone", *ENTITY, *_AD_COLUMNS], anchor | out)
 
 
+def latest_windows(hourly: DataFrame) -> DataFrame:
+    """The windows of each ad's latest anchor alone, straight from the hours.
+
+    Scoring needs one anchor per ad, so its windows are conditional sums of one
+    aggregation: no calendar and no sliding frame. Equal to :func:`latest_anchors`
+    of :func:`block_windows`, without the target."""
+    hours = add(
+        keep_last(hourly, "hour_idx"),
+        {
+            "first_hour": "min(hour_idx) OVER (PARTITION BY ad_id)",
+            "last_hour": "max(hour_idx) OVER (PARTITION BY ad_id)",
+        },
+    )
+    # Hours back from the anchor: 0 is the anchor itself.
+    back = f"last_hour - pmod(last_hour, {_STEP}) - hour_idx"
+    hours = add(hours, {"_back": back}).filter("_back >= 0")
+    out = {
+        "observed_history_hours": "count_if(_back < 168)",
+        "observed_recent_24h": "count_if(_back < 24)",
+    }
+    for m in METRICS:
+        for w in WINDOWS:
+            out[f"{m}_sum_{w}h"] = f"sum(CASE WHEN _back < {w} THEN {m} ELSE 0D END)"
+        for d in SAME_WINDOW_DAYS:
+            ahead = f"_back BETWEEN {24 * d - _STEP} AND {24 * d - 1}"
+            out[f"{m}_same_target_6h_d{d}"] = f"sum(CASE WHEN {ahead} THEN {m} ELSE 0D END)"
+        out[f"{m}_cum"] = f"sum({m})"
+        out[f"target_{m}"] = "CAST(NULL AS double)"
+    latest = ", ".join(["hour_idx", "timezone", *ENTITY[:3]])
+    grouped = hours.groupBy("ad_id", "first_hour", "last_hour").agg(
+        F.expr(f"max(struct({latest}))").alias("_latest"),
+        *[F.expr(sql).alias(name) for name, sql in out.items()],
+    )
+    return pick(
+        grouped,
+        ["ad_id", "first_hour", "last_hour", *out],
+        {"anchor_idx": f"last_hour - pmod(last_hour, {_STEP})"}
+        | {name: f"_latest.{name}" for name in ["timezone", *ENTITY[:3]]},
+    )
+
+
 def latest_anchors(windows: DataFrame) -> DataFrame:
     """One row per ad: the last anchor at or before its last hour. An ad seen
     only after that anchor has no history yet and yields no row."""
@@ -156,7 +197,7 @@ def same_window_stats(anchors: DataFrame) -> DataFrame:
     days = {m: [f"{m}_same_target_6h_d{d}" for d in SAME_WINDOW_DAYS] for m in METRICS}
     lists, stats = {}, {}
     for m in METRICS:
-        lists[f"_{m}_up"] = f"array_sort(array({', '.join(days[m])}))"
+        lists[f"_{m}_up"] = f"sort_array(array({', '.join(days[m])}))"
         lists[f"{m}_same_6h_7d_mean"] = f"({' + '.join(days[m])}) / {len(days[m])}"
         up, mean, name = f"_{m}_up", f"{m}_same_6h_7d_mean", f"{m}_same_6h_7d"
         squares = " + ".join(f"pow({day} - {mean}, 2)" for day in days[m])

@@ -125,13 +125,13 @@ def guarded(metric: str, prediction: str, history: str, rules: GuardRules) -> tu
 
 
 def most_common(labels_: list[str]) -> str:
-    """Most frequent of a row's labels; the smallest one among ties."""
-    every = f"array({', '.join(labels_)})"
-    counted = (
-        f"transform(array_distinct({every}), label -> "
-        f"struct(-size(filter({every}, other -> other = label)) AS n, label AS label))"
-    )
-    return f"array_min({counted}).label"
+    """Most frequent of a row's labels; the smallest one among ties. Plain
+    comparisons keep it inside generated code, which lambdas would leave."""
+    counted = []
+    for label in labels_:
+        same = " + ".join(f"CAST({label} = {other} AS int)" for other in labels_)
+        counted.append(f"struct(-({same}) AS n, {label} AS label)")
+    return f"array_min(array({', '.join(counted)})).label"
 
 
 def recommend_6h(

@@ -46,8 +46,7 @@ def model_24h(routing: models.Routing) -> Predictor:
 
 def latest_features_6h(hourly_rows: DataFrame) -> DataFrame:
     """Features of every ad at its latest anchor. Takes the hourly rollup."""
-    windows = hourly.block_windows(hourly.hour_blocks(hourly_rows))
-    return hourly.hourly_features(hourly.latest_anchors(windows))
+    return hourly.hourly_features(hourly.latest_windows(hourly_rows))
 
 
 def score_6h(

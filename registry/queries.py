@@ -475,9 +475,9 @@ def hierarchical_choice(spark, d):
 
 
 def source_mode(spark, d):
-    rows = _day_peers(spark, d)
-    sources = [peers.fallback_source(m) for m in METRICS]
-    return pick(rows, ["local_date", "ad_id"], {"source": recommend.most_common(sources)})
+    sources = {f"source_{m}": peers.fallback_source(m) for m in METRICS}
+    rows = pick(_day_peers(spark, d), ["local_date", "ad_id"], sources)
+    return pick(rows, ["local_date", "ad_id"], {"source": recommend.most_common(list(sources))})
 
 
 def history_segments(spark, d):

@@ -107,6 +107,25 @@ def test_block_windows_equal_sums_over_hours(spark, series):
         assert (r["first_hour"], r["last_hour"]) == (min(hours), max(hours))
 
 
+@settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(hours_of_ads)
+def test_scoring_windows_equal_training_windows(spark, series):
+    rows = [
+        hour_row(h, ad, [v, v * 10, v, v + 1, v % 2, v * 2], tz="UTC" if h % 2 else "")
+        for ad, hours in series.items()
+        for h, v in hours.items()
+    ]
+    df = spark.createDataFrame(rows, HOURLY)
+    direct = hourly.latest_windows(df)
+    names = sorted(c for c in direct.columns if not c.startswith("target_"))
+    blocks = hourly.latest_anchors(hourly.block_windows(hourly.hour_blocks(df)))
+    assert sorted(map(tuple, direct.select(names).collect())) == sorted(
+        map(tuple, blocks.select(names).collect())
+    )
+
+
 def test_latest_anchor(spark):
     # 473 004 is an anchor; ad 2 is first seen after its only anchor.
     rows = [hour_row(473_004), hour_row(473_009), hour_row(473_005, ad="2"), hour_row(473_010, ad="3")]
