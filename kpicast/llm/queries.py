@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, mixing
-from kpicast.llm.common import documents, prepare
+from kpicast.llm import chat, crf, mixing, token_fst
+from kpicast.llm.common import documents, fold, prepare
 
 MIX_SEED = 11
 
@@ -30,7 +30,41 @@ def op8_source_mix(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op8_source_mix)}
+def quality_model(spark, sf_dir, docs):
+    """Fitted without the fold that is held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return crf.fit(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
+
+
+def op10_crf_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    scored = crf.score(docs, quality_model(spark, sf_dir, docs))
+    return scored.select(
+        "doc_id",
+        (fold(F.col("doc_id"), 5) == 0).alias("held_out"),
+        F.col("_score").alias("score"),
+        F.col("_predicted").alias("predicted"),
+    )
+
+
+def vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op7_token_counts(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    counted = token_fst.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id",
+        F.col("_bytes").alias("n_bytes"),
+        F.col("_tokens").alias("n_tokens"),
+        (F.col("_tokens") > 512).alias("over_limit"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (op2_chat_format, op7_token_counts, op8_source_mix, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
