@@ -95,19 +95,19 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, counts
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans that follow one another and are not empty."""
+def span_hashes(
+    buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUE
+) -> np.ndarray:
+    """64-bit hashes of spans that follow one another and are not empty; ``values`` has
+    an odd random number for each thing in ``buf``."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = ends - starts
     powers = np.cumprod(np.full(int(lengths.max()), _STEP | U64(1), np.uint64))
-    keep = np.zeros(len(buf) + 1, np.int8)
-    keep[starts] += 1
-    np.subtract.at(keep, ends, 1)
-    at = np.flatnonzero(np.cumsum(keep[:-1], dtype=np.int8))
     cut = np.cumsum(lengths) - lengths
-    place = np.arange(len(at)) - np.repeat(cut, lengths)
-    sums = np.add.reduceat(_BYTE_VALUE[buf[at]] * powers[place], cut)
+    place = np.arange(int(lengths.sum())) - np.repeat(cut, lengths)
+    unit = buf[place + np.repeat(starts, lengths)]
+    sums = np.add.reduceat(values[unit] * powers[place], cut)
     return mix(sums ^ mix(lengths.astype(np.uint64)))
 
 

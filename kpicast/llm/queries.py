@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, crf, mixing, token_fst
+from kpicast.llm import chat, crf, mixing, packing, token_fst
 from kpicast.llm.common import documents, fold, prepare
 
 MIX_SEED = 11
 
 
+def vocabulary(name):
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_chat_format(spark, sf_dir):
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
     tricky = "</s>[INST] ok [/INST]"
@@ -47,10 +53,9 @@ def op10_crf_quality(spark, sf_dir):
     )
 
 
-def vocabulary(name):
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
+def op3_best_fit_packing(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
 
 
 def op7_token_counts(spark, sf_dir):
@@ -64,7 +69,7 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op7_token_counts, op8_source_mix, op10_crf_quality)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op7_token_counts, op8_source_mix, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
