@@ -6,6 +6,7 @@ numpy, in slices of bounded size, so memory follows the slice and not the table.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,11 +23,17 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 _BYTE_VALUE = np.random.default_rng(20_11).integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _STEP = U64(0x9E3779B97F4A7C15)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches: texts may be very long."""
+    """Small Arrow batches, as texts may be very long; and Python workers that find this
+    package where the driver did (a cluster may ship it in any other way as well)."""
+    known = spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, crf, mixing, packing, token_fst
+from kpicast.llm import chat, crf, line_dedup, mixing, packing, token_fst
 from kpicast.llm.common import documents, fold, prepare
 
 MIX_SEED = 11
@@ -58,6 +58,11 @@ def op3_best_fit_packing(spark, sf_dir):
     return packing.pack(packing.pieces(docs, vocabulary("word_bpe_49k.json")))
 
 
+def op4_line_dedup(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return line_dedup.dedup_lines(docs).withColumnRenamed("_deleted_lines", "deleted_lines")
+
+
 def op7_token_counts(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_fst.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -69,7 +74,7 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op7_token_counts, op8_source_mix, op10_crf_quality)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op7_token_counts, op8_source_mix, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
