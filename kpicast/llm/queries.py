@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, crf, line_dedup, mixing, packing, token_fst
+from kpicast.llm import chat, crf, line_dedup, mixing, packing, partenum, token_fst
 from kpicast.llm.common import documents, fold, prepare
 
 MIX_SEED = 11
@@ -42,6 +42,10 @@ def quality_model(spark, sf_dir, docs):
     return crf.fit(docs, labels.filter(fold(F.col("doc_id"), 5) != 0))
 
 
+def op9_ngram_jaccard(spark, sf_dir):
+    return partenum.near_duplicates(documents(spark, sf_dir))
+
+
 def op10_crf_quality(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     scored = crf.score(docs, quality_model(spark, sf_dir, docs))
@@ -74,7 +78,7 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op7_token_counts, op8_source_mix, op10_crf_quality)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
