@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, crf, line_dedup, mixing, packing, partenum, token_fst
+from kpicast.llm import chat, crf, itq, line_dedup, mixing, packing, partenum, pstable, token_fst
 from kpicast.llm.common import documents, fold, prepare
+from kpicast.llm.vectors import usable
+from kpicast.session import written
 
 MIX_SEED = 11
 
@@ -67,6 +69,19 @@ def op4_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(docs).withColumnRenamed("_deleted_lines", "deleted_lines")
 
 
+def embeddings(spark, sf_dir):
+    return prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet")
+
+
+def op5_multiprobe_neighbours(spark, sf_dir):
+    rows = written(usable(embeddings(spark, sf_dir), ["vec_id"]), "vectors")
+    return pstable.search(rows, rows.filter("vec_id % 100 = 0"), pstable.fit(rows))
+
+
+def op6_itq_near_dup(spark, sf_dir):
+    return itq.near_duplicates(embeddings(spark, sf_dir))
+
+
 def op7_token_counts(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     counted = token_fst.count_tokens(docs, vocabulary("byte_bpe_50k.json"))
@@ -78,7 +93,7 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
+QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
