@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from kpicast.llm import chat, crf, itq, line_dedup, mixing, packing, partenum, pstable, token_fst
+from kpicast.llm import (
+    chat,
+    crf,
+    itq,
+    line_dedup,
+    mixing,
+    ngram_lm,
+    packing,
+    partenum,
+    pstable,
+    token_fst,
+)
 from kpicast.llm.common import documents, fold, prepare
 from kpicast.llm.vectors import usable
 from kpicast.session import written
@@ -18,6 +29,20 @@ def vocabulary(name):
     return public_tokenizers.path(name)
 
 
+def op1_ngram_lm(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = ngram_lm.train(docs.filter(fold(F.col("doc_id"), 7) != 2))
+    return ngram_lm.score(docs, model).select(
+        "doc_id",
+        (fold(F.col("doc_id"), 7) == 2).alias("held_out"),
+        F.col("_tokens").alias("n_tokens"),
+        F.col("_known").alias("n_known"),
+        F.lit(model.total).cast("long").alias("train_tokens"),
+        F.col("_base").alias("base_score"),
+        F.col("_score").alias("score"),
+    )
+
+
 def op2_chat_format(spark, sf_dir):
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
     tricky = "</s>[INST] ok [/INST]"
@@ -93,7 +118,7 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
+QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
 
 OP2_SQL = r"""
 WITH turns AS (
