@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line classifier takes for good."""
     prepare(spark)
     scored = crf.score(docs, quality_model(spark, sf_dir, docs))
-    return scored.filter("_predicted = 1").drop("_score", "_predicted")
+    return scored.filter("_predicted = 1").select(docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +33,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(cut, length).otherwise(F.col("n_chars")))
-    return found.drop("_deleted_lines")
+    return found.select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

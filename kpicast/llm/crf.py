@@ -213,15 +213,12 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
                 continue
             features = with_neighbours(own, counts).astype(np.float32)
             cut = np.cumsum(counts) - counts
-            ids = batch.column("doc_id").to_pylist()
-            rows = [(ids[k], s, min(s + CHAIN, counts[k])) for k in range(len(counts)) for s in range(0, counts[k], CHAIN)]
-            kept = batch.column("_quality").to_pylist()
-            label = dict(zip(ids, kept, strict=True))
-            at = {i: c for i, c in zip(ids, cut, strict=True)}
+            chains = [(k, s, min(s + CHAIN, counts[k])) for k in range(len(counts)) for s in range(0, counts[k], CHAIN)]
+            row = pa.array([k for k, _, _ in chains], pa.int64())
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.array([r[0] for r in rows], pa.int64()),
-                "label": pa.array([label[r[0]] for r in rows], pa.int32()),
-                "features": pa.array([features[at[i] + s : at[i] + e].tobytes() for i, s, e in rows], pa.binary()),
+                "doc_id": batch.column("doc_id").take(row),
+                "label": batch.column("_quality").take(row),
+                "features": pa.array([features[cut[k] + s : cut[k] + e].tobytes() for k, s, e in chains], pa.binary()),
             })
 
     chains = sample.mapInArrow(lines, "doc_id long, label int, features binary").toPandas()
@@ -250,9 +247,11 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     """``docs`` with _score (0 to 1, high is good) and _predicted (0 or 1).
 
     Texts that are null, empty or blank get the share of good labels the model was
-    fitted on. Every row is scored by itself, so repeated rows agree. The model is a
+    fitted on. Every row is scored by itself, so repeated rows agree. Columns that have
+    the names of the results are replaced. The model is a
     few hundred numbers in the task's closure.
     """
+    docs = docs.drop("_score", "_predicted")
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -177,17 +177,20 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     The text stays in the document with the smallest id. Documents with one id are
     one: nothing is deleted between them, and repeated rows end alike. Null and empty
-    texts stay as they are; a text may become empty; other columns pass through.
+    texts stay as they are; a text may become empty; other columns pass through, but for
+    one named _deleted_lines.
     """
     inside = lambda i: F.exists("_blocks", lambda b: (i >= b["start"]) & (i <= b["stop"]))
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda x, i: ~inside(i))
     hit = F.col("_blocks").isNotNull()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    columns = [F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns if c != "_deleted_lines"]
     return (
-        _keyed(docs)
-        .join(deletions(docs, min_words), list(_KEY), "left")
+        _keyed(docs.select("doc_id", "text", whole))
+        .join(deletions(docs.select("doc_id", "text"), min_words), list(_KEY), "left")
         .withColumn("_kept", F.when(hit, kept))
         .withColumn("_deleted_lines", F.when(hit, (F.size(lines) - F.size("_kept")).cast("long")).otherwise(F.lit(0).cast("long")))
         .withColumn("text", F.when(hit, F.array_join("_kept", "\n")).otherwise(F.col("text")))
-        .select(*[F.col(f"`{c}`") for c in docs.columns], "_deleted_lines")
+        .select(*columns, "_deleted_lines")
     )

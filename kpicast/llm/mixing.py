@@ -65,12 +65,13 @@ def copies(rate: Column, doc_id: Column, seed: int) -> Column:
 
 
 def planned(docs: DataFrame, seed: int = 11, max_rate: float = MAX_RATE) -> DataFrame:
-    """``docs`` with _size, _source_size, _target and _copies.
+    """doc_id, _size, _source_size, _target, _copies and the whole row as _row.
 
     Null or blank texts have size 0 and follow the rate of their source; a source of
     size 0 has rate 0. Rows repeated with one id share one draw.
     """
-    sized = docs.withColumn("_size", text_size(F.col("text")))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    sized = docs.select("doc_id", "source", text_size(F.col("text")).alias("_size"), whole)
     targets = source_targets(source_totals(sized, size="_size"), max_rate).select(
         F.coalesce(F.concat(F.lit("="), "source"), F.lit("")).alias("_key"),
         F.col("source_size").alias("_source_size"),
@@ -84,6 +85,7 @@ def planned(docs: DataFrame, seed: int = 11, max_rate: float = MAX_RATE) -> Data
         .join(targets, "_key")
         .drop("_key")
         .withColumn("_copies", copies(rate, F.col("doc_id"), seed))
+        .drop("source")
     )
 
 
@@ -91,4 +93,4 @@ def mix_sources(docs: DataFrame, seed: int = 11, max_rate: float = MAX_RATE) ->
     """Every document as often as the mix takes it, with the columns of ``docs``."""
     rows = planned(docs, seed, max_rate).filter("_copies > 0")
     each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "_copies")))
-    return each.select([F.col(f"`{c}`") for c in docs.columns])
+    return each.select("_row.*")

@@ -456,9 +456,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` without text, with _tokens, _known, _base and _score: the tokens and
     those seen in training, the add-one unigram score and the model's log10
     probability. A null, empty or blank text is its end alone. Rows are scored alone;
-    extra columns pass through."""
-    kept = [f for f in docs.schema.fields if f.name != "text"]
+    extra columns pass through, but for those that have the names of the results."""
     new = [("_tokens", T.LongType()), ("_known", T.LongType()), ("_base", T.DoubleType()), ("_score", T.DoubleType())]
+    kept = [f for f in docs.schema.fields if f.name not in ("text", *dict(new))]
     schema = T.StructType([*kept, *(T.StructField(*f) for f in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

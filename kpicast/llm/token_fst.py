@@ -297,9 +297,10 @@ def count_tokens(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """``docs`` without its text column, with _bytes and _tokens of every row.
 
     Null and empty texts have 0 of both; any length of text works in bounded memory
-    beside the text itself; other columns pass through.
+    beside the text itself; other columns pass through, but for those that have the names
+    of the results.
     """
-    kept = [f for f in docs.schema.fields if f.name != text]
+    kept = [f for f in docs.schema.fields if f.name not in (text, "_bytes", "_tokens")]
     schema = T.StructType([*kept, T.StructField("_bytes", T.LongType()), T.StructField("_tokens", T.LongType())])
     names = [f.name for f in kept]
 
