@@ -43,9 +43,11 @@ def platform_tenant(name: str, table_prefix: str = "", **overrides) -> Tenant:
 class ExtractRules:
     hourly_lookback_days: int = 8
     daily_lookback_days: int = 21
-    ad_limit: int = 500
-    # (lookback days, ad limit) tried in order until one extract has rows.
-    daily_attempts: tuple = ((21, 500), (7, 500), (3, 200))
+    # Largest ads of every account; 0 takes all.
+    ads_per_account: int = 0
+    # (lookback days, ads per account) tried in order while an extract is empty.
+    # None: the one extract above and no other.
+    daily_attempts: tuple | None = None
     hourly_recent_days: int = 10
     daily_recent_days: int = 18
 

@@ -22,6 +22,9 @@ from ..functions.text import add, all_of, num, pick
 from ..names import ENTITY, METRICS, SHORT
 from .rollup import keep_last
 
+# Totals at an anchor and the hours since the first row cover this many hours, however
+# long a history is passed in: training and scoring see the same.
+HISTORY_HOURS = 168
 WINDOWS = [1, 3, 6, 12, 24, 48, 72, 168]
 SAME_WINDOW_DAYS = [1, 2, 3, 4, 5, 6, 7]
 STATS = ["mean", "median", "std", "min", "max", "p75", "p90", "last_over_mean"]
@@ -100,6 +103,7 @@ def hour_blocks(hourly: DataFrame) -> DataFrame:
         {"block": "_block"}
         | {name: f"_latest.{name}" for name in ["timezone", *ENTITY[:3]]}
         | {"hours_6": "CASE WHEN _block = block THEN hours_6 ELSE 0 END"}
+        | {"first_6": "CASE WHEN _block = block THEN _first END"}
         | {name: f"CASE WHEN _block = block THEN {name} ELSE 0D END" for name in sums},
     )
 
@@ -114,8 +118,8 @@ def block_windows(blocks: DataFrame) -> DataFrame:
     out = {
         "observed_history_hours": f"sum(hours_6) OVER {_trailing(168)}",
         "observed_recent_24h": f"sum(hours_6) OVER {_trailing(24)}",
+        "recent_first": f"min(first_6) OVER {_trailing(HISTORY_HOURS)}",
     }
-    everything = f"({_BY_BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     for m in METRICS:
         for w in WINDOWS:
             short = f"{m}_{w}"
@@ -123,7 +127,7 @@ def block_windows(blocks: DataFrame) -> DataFrame:
         for d in SAME_WINDOW_DAYS:
             back = 24 * d // _STEP - 1
             out[f"{m}_same_target_6h_d{d}"] = f"lag({m}_6, {back}, 0D) OVER ({_BY_BLOCK})"
-        out[f"{m}_cum"] = f"sum({m}_6) OVER {everything}"
+        out[f"{m}_cum"] = f"sum({m}_6) OVER {_trailing(HISTORY_HOURS)}"
         out[f"target_{m}"] = f"lead({m}_6, 1, 0D) OVER ({_BY_BLOCK})"
     anchor = {"anchor_idx": f"block * {_STEP}"}
     return pick(blocks, ["timezone", *ENTITY, *_AD_COLUMNS], anchor | out)
@@ -148,6 +152,7 @@ def latest_windows(hourly: DataFrame) -> DataFrame:
     out = {
         "observed_history_hours": "count_if(_back < 168)",
         "observed_recent_24h": "count_if(_back < 24)",
+        "recent_first": f"min(CASE WHEN _back < {HISTORY_HOURS} THEN hour_idx END)",
     }
     for m in METRICS:
         for w in WINDOWS:
@@ -155,7 +160,7 @@ def latest_windows(hourly: DataFrame) -> DataFrame:
         for d in SAME_WINDOW_DAYS:
             ahead = f"_back BETWEEN {24 * d - _STEP} AND {24 * d - 1}"
             out[f"{m}_same_target_6h_d{d}"] = f"sum(CASE WHEN {ahead} THEN {m} ELSE 0D END)"
-        out[f"{m}_cum"] = f"sum({m})"
+        out[f"{m}_cum"] = f"sum(CASE WHEN _back < {HISTORY_HOURS} THEN {m} ELSE 0D END)"
         out[f"target_{m}"] = "CAST(NULL AS double)"
     latest = ", ".join(["hour_idx", "timezone", *ENTITY[:3]])
     grouped = hours.groupBy("ad_id", "first_hour", "last_hour").agg(
@@ -232,7 +237,7 @@ def calendar_features(anchors: DataFrame) -> DataFrame:
             "dow_sin": f"sin({dow} * {by_day})",
             "dow_cos": f"cos({dow} * {by_day})",
             "observed_history_ratio": "observed_history_hours / 168D",
-            "hours_active": "CAST(anchor_idx - first_hour + 1 AS double)",
+            "hours_active": "CAST(coalesce(anchor_idx - recent_first + 1, 0) AS double)",
         },
     )
 

@@ -33,9 +33,11 @@ def time_split(
     train_end=None,
     valid_end=None,
     at_least_first: bool = False,
+    on_empty: str = "fallback",
 ) -> DataFrame:
     """Adds ``split``: train, valid or test. The given end times are used when all
-    three parts have rows, else the 70 % and 85 % points of the distinct times.
+    three parts have rows, else the 70 % and 85 % points of the distinct times, or,
+    with ``on_empty="error"``, the job stops.
     ``at_least_first`` keeps the validation part from being empty by position."""
     fallback = _cutoffs(rows, time, at_least_first)
     if train_end is None or valid_end is None:
@@ -49,6 +51,9 @@ def time_split(
             F.bool_or((t > low) & (t <= high)).alias("b"),
             F.bool_or(t > high).alias("c"),
         ).select((F.col("a") & F.col("b") & F.col("c")).alias("usable"))
+        if on_empty == "error":
+            message = f"a part is empty for train_end={train_end}, valid_end={valid_end}"
+            parts = parts.select(F.when(F.col("usable"), True).otherwise(F.raise_error(F.lit(message)).cast("boolean")))
         ends = fallback.select(
             F.when(parts.scalar(), F.struct(low.alias("train_end"), high.alias("valid_end")))
             .otherwise(F.struct("train_end", "valid_end"))

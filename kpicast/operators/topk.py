@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 # A top-k of at most this many ads is broadcast.
@@ -20,6 +20,23 @@ def top_ads(rows: DataFrame, limit: int, time: str = "date") -> DataFrame:
     ).limit(limit)
 
 
+def top_ads_per_account(
+    rows: DataFrame, limit: int, time: str = "date", account: str = "account_id"
+) -> DataFrame:
+    """The ``limit`` largest ads of every account. Rows are summed per ad first, and
+    Spark keeps no more than ``limit`` ads an account in each task before the ads of
+    an account meet, so a very large account moves few rows."""
+    totals = rows.groupBy(account, "ad_id").agg(
+        F.sum(F.coalesce(F.col("spend"), F.lit(0))).alias("total_spend"),
+        F.max(time).alias("last_seen"),
+    )
+    order = Window.partitionBy(account).orderBy(
+        F.col("total_spend").desc(), F.col("last_seen").desc(), F.col("ad_id")
+    )
+    ranked = totals.withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= limit).drop("_rank")
+
+
 def limited(ads: DataFrame, limit: int) -> DataFrame:
     """The ids of a top-k, broadcast while the limit itself bounds them."""
     ids = ads.select("ad_id")

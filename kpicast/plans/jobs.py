@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from .. import session
 from ..config import AnchorRules, ExtractRules, Tenant
 from ..names import METRICS
-from ..operators import metrics, models
+from ..operators import metrics, models, rollup
 from ..sources import extract, readers, sinks
 from . import score, train
 
 Reader = Callable[[str], DataFrame]
+HISTORY_DAYS = 7
+_EXTRACTS = "run string, tenant string, lookback_days long, ads_per_account long"
 
 
 def hierarchy(read: Reader, tenant: Tenant) -> extract.Hierarchy:
@@ -29,6 +31,12 @@ def hierarchy(read: Reader, tenant: Tenant) -> extract.Hierarchy:
     )
 
 
+def run_label(spark: SparkSession, anchor: Column, *scope) -> str:
+    """Name of a run: equal for a rerun with the same anchor, tenant and scope."""
+    moment = spark.range(1).select(F.date_format(anchor, "yyyyMMddHHmm")).first()[0]
+    return sinks.run_name(moment, *scope)
+
+
 def run_6h(
     read: Reader,
     tenant: Tenant,
@@ -41,9 +49,11 @@ def run_6h(
     cache_root: str | None = None,
     reuse_features: bool = False,
 ) -> DataFrame:
-    """Next-6-hour forecast of a tenant, appended to the forecast table."""
+    """Next-6-hour forecast of a tenant, written to the forecast table. A rerun with the
+    same anchor and scope replaces its rows."""
 
     def features() -> DataFrame:
+        # A week before the oldest anchor that is scored, so that its windows are whole.
         reports = readers.tenant_metrics(
             readers.tenant_table(read, tenant, "traffic_source_reports"), tenant, "6h"
         )
@@ -51,11 +61,14 @@ def run_6h(
             reports,
             hierarchy(read, tenant),
             anchor,
-            rules.hourly_lookback_days,
-            rules.ad_limit,
+            rules.hourly_lookback_days + HISTORY_DAYS,
+            ads_per_account=rules.ads_per_account,
             account_ids=account_ids,
         )
-        return score.features_6h(readers.require_non_empty(rows, "hourly", tenant=tenant.name))
+        rows = readers.require_non_empty(rows, "hourly", tenant=tenant.name)
+        return score.features_6h(
+            rows, recent_days=None, active_hours=24 * rules.hourly_lookback_days
+        )
 
     if cache_root is None:
         frame = features()
@@ -63,11 +76,15 @@ def run_6h(
         # The anchor names the cache entry, so it has to be a value.
         spark = SparkSession.active()
         label = spark.range(1).select(F.date_format(anchor, "yyyyMMddHH")).first()[0]
-        path = sinks.feature_cache_path(f"{cache_root}/{tenant.feature_table}", "6h", label)
+        # Everything that changes the rows is part of the name.
+        scope = (tenant.name, tenant.table_prefix, rules, sorted(account_ids or []))
+        root = f"{cache_root}/{tenant.feature_table}"
+        path = sinks.feature_cache_path(root, "6h", label, sinks.run_name(*scope))
         frame = sinks.cached_features(spark, features, path, reuse_features)
     scored = score.score_6h(frame, predict, anchors=anchors, hourly_source=tenant.name)
     rows = session.written(sinks.forecast_rows(scored, "6h", ranges=False), "forecast-6h")
-    sinks.write_forecasts(rows, f"{forecast_path}/{tenant.forecast_table}")
+    run = run_label(rows.sparkSession, anchor, tenant, "6h", rules, account_ids)
+    sinks.write_forecasts(rows, f"{forecast_path}/{tenant.forecast_table}", run)
     return rows
 
 
@@ -80,22 +97,31 @@ def run_24h(
     rules: ExtractRules = ExtractRules(),
     account_ids: list[str] | None = None,
 ) -> DataFrame:
-    """Next-day forecast of a tenant, appended to the forecast table. The extract
-    shrinks its period and ads until it succeeds."""
+    """Next-day forecast of a tenant, written to the forecast table; counters come from
+    all facts of the tenant, other features from the extract. What the extract was made
+    with is reported beside the table."""
     facts = readers.tenant_metrics(
         readers.tenant_table(read, tenant, "daily_breakdown_kpis"), tenant, "24h"
     )
     dims = hierarchy(read, tenant)
 
     def one(days: int, limit: int) -> DataFrame:
-        return extract.extract_daily(facts, dims, anchor, days, limit, account_ids=account_ids)
+        return extract.extract_daily(
+            facts, dims, anchor, days, ads_per_account=limit, account_ids=account_ids
+        )
 
-    rows = readers.extract_with_fallback(
-        one, rules.daily_lookback_days, rules.ad_limit, rules.daily_attempts
+    rows, used = readers.extract_with_fallback(
+        one, rules.daily_lookback_days, rules.ads_per_account, rules.daily_attempts
     )
-    scored = score.forecast_24h(rows, predict, daily_source=tenant.name)
+    past = facts.filter(F.col("date").cast("timestamp") <= anchor.cast("timestamp"))
+    past = extract.filter_ids(past.filter(F.lower("entity_type") == "ad"), "account_id", account_ids)
+    history = rollup.daily_rollup(rollup.clean_daily(past))
+    scored = score.forecast_24h(rows, predict, history=history, daily_source=tenant.name)
     out = session.written(sinks.forecast_rows(scored, "24h"), "forecast-24h")
-    sinks.write_forecasts(out, f"{forecast_path}/{tenant.forecast_table}")
+    run = run_label(out.sparkSession, anchor, tenant, "24h", rules, account_ids)
+    sinks.write_forecasts(out, f"{forecast_path}/{tenant.forecast_table}", run)
+    made = out.sparkSession.createDataFrame([(run, tenant.name, *used.values())], _EXTRACTS)
+    sinks.write_report(made, f"{forecast_path}/extracts", mode="append")
     return out
 
 
@@ -127,7 +153,7 @@ def run_training_6h(
     sparse_model_path: str,
     report_path: str,
     rules: AnchorRules = AnchorRules(),
-    search_iterations: int = 100,
+    search_iterations: int | None = None,
     train_end=None,
     valid_end=None,
     **options,

@@ -171,14 +171,22 @@ def features_6h(
     account_ids: list[str] | None = None,
     max_ads: int = 0,
     recent_days: int | None = ExtractRules.hourly_recent_days,
+    active_hours: int | None = None,
 ) -> DataFrame:
     """Features at the latest anchors from raw hourly reports with timezone: rows
-    of the last days, of the accounts in scope, of the largest ads (0 = all)."""
+    of the last days, of the accounts in scope, of the largest ads (0 = all), and
+    only of ads seen in the last ``active_hours``, if given."""
     rows = rollup.clean_hourly(reports)
     if recent_days is not None:
         rows = extract.recent_rows(rows, "date", recent_days)
     rows = rollup.hourly_rollup(extract.filter_ids(rows, "account_id", account_ids))
-    return latest_features_6h(topk.keep_top_ads(rows, max_ads, "hour_idx"))
+    rows = topk.keep_top_ads(rows, max_ads, "hour_idx")
+    if active_hours is not None:
+        seen = rows.groupBy("ad_id").agg(F.max("hour_idx").alias("_last"))
+        newest = seen.agg(F.max("_last"))
+        active = seen.filter(F.col("_last") > newest.scalar() - active_hours).select("ad_id")
+        rows = rows.join(active, "ad_id", "left_semi")
+    return latest_features_6h(rows)
 
 
 def forecast_6h(
@@ -200,13 +208,14 @@ def forecast_24h(
     account_ids: list[str] | None = None,
     max_ads: int = 0,
     recent_days: int = ExtractRules.daily_recent_days,
+    history: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """Raw daily facts to the 24h forecast. Counters come from the whole history,
-    features from the last days of it."""
+    """Raw daily facts to the 24h forecast. Counters come from ``history`` (daily
+    rollup; else from all of ``facts``), features from the last days of the facts."""
     rows = rollup.daily_rollup(rollup.clean_daily(facts))
     rows = extract.filter_ids(rows, "account_id", account_ids)
     rows = topk.keep_top_ads(rows, max_ads, "local_date")
     recent = extract.recent_rows(rows, "local_date", recent_days)
-    features = next_day_features(recent, summary=rollup.lifetime_summary(rows))
+    features = next_day_features(recent, summary=rollup.lifetime_summary(rows if history is None else history))
     return score_24h(features, predict, **options)

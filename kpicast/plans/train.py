@@ -105,6 +105,14 @@ def _limited(trees: dict, iterations: int | None) -> dict:
     return {m: replace(params, iterations=iterations) for m, params in trees.items()}
 
 
+def used_cutoffs(rows: DataFrame, time: str, train_end, valid_end) -> dict:
+    """The end times asked for, and the last time of each part as split."""
+    last = dict(rows.groupBy("split").agg(F.max(F.col(time).cast("string"))).collect())
+    return {"train_end": train_end, "valid_end": valid_end} | {
+        f"{part}_last": last.get(part) for part in ("train", "valid", "test")
+    }
+
+
 def train_24h(
     feature_rows: DataFrame,
     path: str,
@@ -120,7 +128,7 @@ def train_24h(
 
     ``feature_rows`` (see :func:`daily_samples`) should be a written table: every
     fit reads it again."""
-    rows = samples.time_split(feature_rows, "local_date", train_end, valid_end)
+    rows = samples.time_split(feature_rows, "local_date", train_end, valid_end, on_empty="error")
     train = rows.filter(F.col("split") == "train")
     models.fit_targets(
         rows,
@@ -132,7 +140,7 @@ def train_24h(
             m: samples.sample_weight(train, m, recency_start, revenue_focus) for m in METRICS
         },
         labels={m: samples.clipped_target(train, m, revenue_focus) for m in SPARSE},
-        metadata={"train_end": train_end, "valid_end": valid_end, "basis": "daily_24h"},
+        metadata={"basis": "daily_24h", **used_cutoffs(rows, "local_date", train_end, valid_end)},
     )
     models.mark_ready(feature_rows.sparkSession, path, sampled)
     return models.predict_targets(
@@ -159,7 +167,7 @@ def train_6h(
         path,
         loss="absolute",
         early_stop=True,
-        metadata={"train_end": train_end, "valid_end": valid_end, "basis": "hourly_6h"},
+        metadata={"basis": "hourly_6h", **used_cutoffs(rows, "anchor_ts", train_end, valid_end)},
     )
     return models.predict_targets(
         rows, models.Routing.single(path), TARGETS_6H, {m: f"pred_6h_{m}" for m in METRICS}
@@ -167,14 +175,15 @@ def train_6h(
 
 
 def search_6h(
-    feature_rows: DataFrame, path: str, iterations: int = 100, train_end=None, valid_end=None
+    feature_rows: DataFrame, path: str, iterations: int | None = None, train_end=None, valid_end=None
 ) -> tuple[DataFrame, DataFrame]:
-    """Objective search for conversions and revenue."""
+    """Objective search for conversions and revenue; ``iterations`` shortens the trees'
+    fit, for tests."""
     rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True)
     return models.objective_search(
         rows,
         hourly.hourly_feature_names(),
         {m: TARGETS_6H[m] for m in SPARSE},
-        replace(models.HOURLY_TREES["tracker_revenue"], iterations=iterations),
+        _limited(models.HOURLY_TREES, iterations)["tracker_revenue"],
         path,
     )

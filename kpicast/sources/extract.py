@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.clean import is_active, text_id
 from ..names import ENTITY
 from ..operators.joins import dimension_lookup, spread_lookup
-from ..operators.topk import limited, top_ads
+from ..operators.topk import limited, top_ads, top_ads_per_account
 
 ACCOUNT_KEYS = ["account_id", "company_id", "traffic_source_id", "traffic_source_config_id"]
 # An id list longer than this is joined instead of inlined.
@@ -119,7 +119,12 @@ def _totals(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def _restrict(
-    rows: DataFrame, entities: DataFrame, keys: list[str], carry: list[str], ad_limit: int
+    rows: DataFrame,
+    entities: DataFrame,
+    keys: list[str],
+    carry: list[str],
+    ad_limit: int,
+    ads_per_account: int,
 ) -> DataFrame:
     """Rows of the kept combinations of ids, with the ``carry`` columns of each.
     With a limit the few ads kept are broadcast first, which leaves little to
@@ -128,6 +133,9 @@ def _restrict(
         small = limited(top_ads(entities, ad_limit), ad_limit)
         rows = rows.join(small, "ad_id", "left_semi")
         entities = entities.join(small, "ad_id", "left_semi")
+    if ads_per_account > 0:
+        largest = top_ads_per_account(entities, ads_per_account).select("account_id", "ad_id")
+        entities = entities.join(largest, ["account_id", "ad_id"], "left_semi")
     kept = entities.select(*keys, *carry)
     return spread_lookup(rows, kept, keys, ["date"], "inner" if carry else "left_semi")
 
@@ -137,12 +145,13 @@ def extract_hourly(
     dims: Hierarchy,
     anchor: Column,
     lookback_days: int = 8,
-    ad_limit: int = 500,
+    ad_limit: int = 0,
+    ads_per_account: int = 0,
     ad_ids: list[str] | None = None,
     account_ids: list[str] | None = None,
 ) -> DataFrame:
     """Reports of the active hierarchy inside the lookback with their timezone,
-    for the largest ads (0 = all).
+    for the largest ads of all accounts or of each (0 = all).
 
     The dimensions are joined with the distinct ids of the reports and not with
     the reports, so these are never shuffled once per level."""
@@ -156,7 +165,7 @@ def extract_hourly(
         _totals(rows, keys), unique_accounts(dims.accounts), ACCOUNT_KEYS, ["ad_id"], "inner"
     ).filter(is_active(F.col("account_status")))
     entities = keep_active(entities, dims, ["campaign", "adset", "ad"])
-    return _restrict(rows, entities, keys, ["timezone"], ad_limit)
+    return _restrict(rows, entities, keys, ["timezone"], ad_limit, ads_per_account)
 
 
 def extract_daily(
@@ -164,12 +173,13 @@ def extract_daily(
     dims: Hierarchy,
     anchor: Column,
     lookback_days: int = 21,
-    ad_limit: int = 500,
+    ad_limit: int = 0,
+    ads_per_account: int = 0,
     ad_ids: list[str] | None = None,
     account_ids: list[str] | None = None,
 ) -> DataFrame:
     """Daily facts at ad grain of the active hierarchy inside the lookback, for
-    the largest ads (0 = all)."""
+    the largest ads of all accounts or of each (0 = all)."""
     rows = facts.filter(
         (F.lower("entity_type") == "ad")
         & F.col("ad_id").isNotNull()
@@ -177,7 +187,7 @@ def extract_daily(
     )
     rows = filter_ids(filter_ids(rows, "ad_id", ad_ids), "account_id", account_ids)
     entities = keep_active(_totals(rows, ENTITY), dims, ["account", "campaign", "adset", "ad"])
-    return _restrict(rows, entities, ENTITY, [], ad_limit)
+    return _restrict(rows, entities, ENTITY, [], ad_limit, ads_per_account)
 
 
 def active_accounts(accounts: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .. import session
 from ..config import ExtractRules, Tenant
 from ..functions.clean import first_column
 
@@ -26,13 +27,35 @@ def read_parquet(spark: SparkSession, path: str, columns: list[str] | None = Non
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None
 ) -> DataFrame:
-    """CSV with a header. Every column of ``schema`` that the file has is read as
-    text, for lenient typing by the cleaning step; columns it lacks are left out."""
-    header = spark.read.option("header", True).csv(path).columns
-    text = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    """CSV with a header in every file. Every column of ``schema`` that a file has is
+    read as text, for lenient typing by the cleaning step; columns that no file has are
+    left out. Files may order their columns differently: those with one header are
+    read together, and their rows are matched by name."""
+    first = (
+        spark.read.text(path)
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+        .withColumn("line", F.monotonically_increasing_id())
+        .filter("at = 0")
+        .groupBy("file")
+        .agg(F.min_by("value", "line").alias("header"))
+    )
+    # One row a file; the driver lists the files of a read anyway.
+    files: dict[str, list[str]] = {}
+    for row in first.collect():
+        files.setdefault(row["header"], []).append(row["file"])
+    parts = []
+    for header in sorted(files):
+        names = spark.read.option("header", True).csv(files[header][:1]).columns
+        text = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        # A header that is not the one read for the group is an error, not a mix-up.
+        parts.append(spark.read.schema(text).option("header", True).option("enforceSchema", False).csv(files[header]))
+    if not parts:
+        return spark.createDataFrame([], T.StructType([]))
+    df = parts[0]
+    for part in parts[1:]:
+        df = df.unionByName(part, allowMissingColumns=True)
     wanted = columns or [field.name for field in schema]
-    df = spark.read.schema(text).option("header", True).csv(path)
-    return df.select(*[name for name in wanted if name in header])
+    return df.select(*[name for name in wanted if name in df.columns])
 
 
 def read_jdbc(
@@ -99,7 +122,9 @@ def resolve_columns(df: DataFrame) -> DataFrame:
 
 
 def require_non_empty(df: DataFrame, name: str, **arguments) -> DataFrame:
-    """The frame itself, or :class:`EmptyExtract` when it has no row."""
+    """The frame written once, or :class:`EmptyExtract` when it has no row. Whatever
+    reads the result doesn't run the extract again."""
+    df = session.written(df, name)
     if df.isEmpty():
         raise EmptyExtract(name, arguments)
     return df
@@ -108,18 +133,20 @@ def require_non_empty(df: DataFrame, name: str, **arguments) -> DataFrame:
 def extract_with_fallback(
     extract: Callable[[int, int], DataFrame],
     lookback_days: int = ExtractRules.daily_lookback_days,
-    ad_limit: int = ExtractRules.ad_limit,
-    attempts: tuple = ExtractRules.daily_attempts,
-) -> DataFrame:
-    """The first attempt that succeeds with rows, each one over a shorter period
-    and fewer ads; the error of the last one when none does."""
-    error: Exception = RuntimeError("no extract attempts are configured")
-    for days, limit in attempts:
-        days, limit = min(days, lookback_days), min(limit, ad_limit)
+    ads_per_account: int = ExtractRules.ads_per_account,
+    attempts: tuple | None = ExtractRules.daily_attempts,
+    retry_on: tuple[type[Exception], ...] = (EmptyExtract,),
+) -> tuple[DataFrame, dict]:
+    """The first attempt with rows, and the days and the limit it was made with.
+
+    One attempt unless others are asked for. Only the errors in ``retry_on`` (an empty
+    extract; name a timeout to add it) lead to the next one; any other is raised."""
+    attempts = attempts or ((lookback_days, ads_per_account),)
+    for n, (days, limit) in enumerate(attempts, 1):
+        used = {"lookback_days": days, "ads_per_account": limit}
         try:
-            return require_non_empty(
-                extract(days, limit), "daily", lookback_days=days, ad_limit=limit
-            )
-        except Exception as failure:  # noqa: BLE001 - any failure leads to the next attempt
-            error = failure
-    raise error
+            return require_non_empty(extract(days, limit), "daily", **used), used
+        except retry_on:
+            if n == len(attempts):
+                raise
+    raise AssertionError("unreachable")

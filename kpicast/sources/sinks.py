@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import labels, localtime
@@ -139,13 +142,32 @@ def forecast_rows(
     return align_to_schema(out.withColumns(instants | {"created_at": written}), schema)
 
 
-def write_forecasts(rows: DataFrame, path: str) -> None:
-    """Append to the forecast table, partitioned by horizon and local day. One
-    day's rows are few per ad, so each day is written by few tasks, spread by ad."""
+_RUN = "run"
+ROWS_PER_WRITER = 1_000_000
+
+
+def run_name(*scope) -> str:
+    """A short name for everything that decides what a run returns."""
+    return hashlib.sha256(repr(scope).encode()).hexdigest()[:16]
+
+
+def write_forecasts(rows: DataFrame, path: str, run: str | None = None) -> None:
+    """Write to the forecast table, partitioned by horizon, local day and run. A run
+    replaces the rows of its own name and no others, so a rerun doubles nothing; rows
+    without a run name get one of their own and are added. A day is split by ad over
+    as many tasks as its rows ask for (``ROWS_PER_WRITER`` each). ``rows`` should be a
+    written table: it is counted first."""
+    days = rows.groupBy("forecast_horizon", "forecast_local_date").count()
+    most = days.agg(F.max("count")).first()[0] or 0
+    writers = -(-most // ROWS_PER_WRITER) or 1
+    spread = F.pmod(F.xxhash64("ad_id"), F.lit(writers))
     (
-        rows.repartition("forecast_horizon", "forecast_local_date", F.pmod(F.xxhash64("ad_id"), F.lit(16)))
-        .write.mode("append")
-        .partitionBy("forecast_horizon", "forecast_local_date")
+        rows.withColumn(_RUN, F.lit(run or uuid.uuid4().hex[:16]))
+        .repartition("forecast_horizon", "forecast_local_date", spread)
+        .sortWithinPartitions("forecast_horizon", "forecast_local_date", "ad_id", "forecast_window_start")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("forecast_horizon", "forecast_local_date", _RUN)
         .parquet(path)
     )
 
@@ -156,7 +178,7 @@ def write_forecasts_jdbc(
     """Append to a database table in batches, over a bounded number of
     connections."""
     (
-        rows.coalesce(writers)
+        rows.repartition(writers)
         .write.format("jdbc")
         .mode("append")
         .option("url", url)
@@ -189,8 +211,9 @@ def write_report(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ov
         writer.format(fmt).save(path)
 
 
-def feature_cache_path(root: str, horizon: str, anchor: str) -> str:
-    return f"{root}/features/horizon={horizon}/anchor={anchor}"
+def feature_cache_path(root: str, horizon: str, anchor: str, scope: str = "all") -> str:
+    """Folder of the features of one horizon, anchor and scope (see :func:`run_name`)."""
+    return f"{root}/features/horizon={horizon}/scope={scope}/anchor={anchor}"
 
 
 def cached_features(

@@ -452,14 +452,43 @@ def _extract_statements() -> dict[str, str]:
         f"SELECT {ts('date', 'date')}, {TZ} AS timezone, {IDS}, {fields} FROM act "
         "WHERE u IN (SELECT u FROM top)",
     )
+    hours = rows
     rows = f"""act AS (SELECT *, d AS date FROM dd WHERE
  CAST(d AS TIMESTAMP) BETWEEN {anchor} - INTERVAL 21 DAY AND {anchor}
  AND u % 5 IN (0, 1, 3, 4) AND {_ALL_ON})"""
+    out["extract_hourly_all"] = with_(
+        [EV, REP, hours],
+        f"SELECT {ts('date', 'date')}, {TZ} AS timezone, {IDS}, {fields} FROM act",
+    )
     out["extract_daily"] = with_(
         [*DAYS, rows, _top("act", 50)],
         f"SELECT {day('date', 'date')}, {TZ} AS timezone, {IDS}, {fields} FROM act "
         "WHERE u IN (SELECT u FROM top)",
     )
+    everyone = rows.replace("AND u % 5 IN (0, 1, 3, 4) ", "")
+    out["extract_daily_all"] = with_(
+        [*DAYS, everyone],
+        f"SELECT {day('date', 'date')}, {TZ} AS timezone, {IDS}, {fields} FROM act",
+    )
+    out["extract_daily_per_account"] = with_(
+        [*DAYS, everyone],
+        f"""SELECT {day('date', 'date')}, {TZ} AS timezone, {IDS}, {fields} FROM act
+ WHERE u IN (SELECT u FROM act GROUP BY u QUALIFY row_number() OVER (PARTITION BY u % 5
+ ORDER BY sum(spend) DESC, max(date) DESC, CAST(u AS VARCHAR)) <= 3)""",
+    )
+    out["top_ads_per_account"] = with_(
+        [EV, REP],
+        f"""SELECT CAST(u % 5 AS VARCHAR) AS account_id, {AD}, {r('sum(spend)', 'total_spend')},
+ {ts('max(date)', 'last_seen')} FROM rep GROUP BY u QUALIFY row_number() OVER (PARTITION BY u % 5
+ ORDER BY sum(spend) DESC, max(date) DESC, CAST(u AS VARCHAR)) <= 4""",
+    )
+    out["csv_by_name"] = (
+        "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+        "CASE WHEN o_orderkey % 2 = 1 THEN o_orderstatus END AS o_orderstatus FROM orders"
+    )
+    out["log_transform"] = (
+        f"SELECT o_orderkey, {r('ln(1 + o_totalprice)', 'logged')}, {r('o_totalprice', 'back')} FROM orders"
+    )
     out["active_rows"] = with_(
         [EV, REP], f"SELECT {ts('date', 'date')}, {AD}, {r('spend', 'spend')} FROM rep WHERE {_ALL_ON}"
     )
@@ -596,6 +625,7 @@ def anchor_sums() -> str:
     cols = [
         f"count(*) FILTER ({_in('a - 167', 'a')}) AS observed_history_hours",
         f"count(*) FILTER ({_in('a - 23', 'a')}) AS observed_recent_24h",
+        f"min(hr.h) FILTER ({_in('a - 167', 'a')}) AS w0",
     ]
     for m in METRICS:
         for w in hourly.WINDOWS:
@@ -603,7 +633,7 @@ def anchor_sums() -> str:
         for n in hourly.SAME_WINDOW_DAYS:
             span = _in(f"a + 1 - {24 * n}", f"a + 6 - {24 * n}")
             cols.append(f"CAST({_hours_sum(m, span)} AS DOUBLE) AS {m}_same_target_6h_d{n}")
-        cols.append(f"CAST({_hours_sum(m, 'hr.h <= a')} AS DOUBLE) AS {m}_cum")
+        cols.append(f"CAST({_hours_sum(m, _in('a - 167', 'a'))} AS DOUBLE) AS {m}_cum")
         cols.append(f"CAST({_hours_sum(m, _in('a + 1', 'a + 6'))} AS DOUBLE) AS target_{m}")
         cols.append(f"CAST(sum(hr.{m}) AS DOUBLE) AS total_{m}")
     return (
@@ -656,7 +686,7 @@ def anchor_calendar() -> dict[str, str]:
         "observed_history_hours": "observed_history_hours",
         "observed_history_ratio": "observed_history_hours / 168.0",
         "observed_recent_24h": "observed_recent_24h",
-        "hours_active": "a - h0 + 1",
+        "hours_active": "coalesce(a - w0 + 1, 0)",
     }
 
 

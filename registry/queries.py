@@ -7,6 +7,8 @@ of the same hours of the last seven days (6h). Label rules run on every ad and d
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from kpicast import session
@@ -249,6 +251,51 @@ def extract_daily(spark, d):
     return rows.select("date", "timezone", *ENTITY, "spend", "impressions", "tracker_revenue")
 
 
+def _anchor_day():
+    return F.lit("2024-01-28 00:00:00").cast("timestamp")
+
+
+_EXTRACTED = ["date", "timezone", *ENTITY, "spend", "impressions", "tracker_revenue"]
+
+
+def extract_hourly_all(spark, d):
+    rows = extract.extract_hourly(lens.hourly_reports(spark, d), lens.hierarchy(spark, d), _anchor_day())
+    return rows.select(*_EXTRACTED)
+
+
+def extract_daily_all(spark, d):
+    rows = extract.extract_daily(lens.daily_facts(spark, d), lens.hierarchy(spark, d), _anchor_day())
+    return rows.select(*_EXTRACTED)
+
+
+def extract_daily_per_account(spark, d):
+    rows = extract.extract_daily(
+        lens.daily_facts(spark, d), lens.hierarchy(spark, d), _anchor_day(), ads_per_account=3
+    )
+    return rows.select(*_EXTRACTED)
+
+
+def top_ads_per_account(spark, d):
+    ads = topk.top_ads_per_account(lens.hourly_reports(spark, d), 4)
+    return ads.select("account_id", "ad_id", "total_spend", "last_seen")
+
+
+def csv_by_name(spark, d):
+    """Orders written as CSV with two orders and sets of columns, read back by name."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    path = f"{session.shared_dir(spark)}/csv-{uuid.uuid4().hex}"
+    for part, names in enumerate((["o_orderkey", "o_custkey"], ["o_orderstatus", "o_custkey", "o_orderkey"])):
+        rows = orders.filter(F.col("o_orderkey") % 2 == part).select(*names)
+        rows.write.mode("append").option("header", True).csv(path)
+    wanted = T.StructType().add("o_orderkey", "string").add("o_custkey", "string").add("o_orderstatus", "string")
+    return readers.read_csv(spark, path, wanted)
+
+
+def log_transform(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet").withColumn("logged", ratios.to_log(F.col("o_totalprice").cast("double")))
+    return orders.select("o_orderkey", "logged", ratios.from_log(F.col("logged")).alias("back"))
+
+
 def active_rows(spark, d):
     dims = lens.hierarchy(spark, d)
     rows = extract.keep_active(
@@ -798,6 +845,12 @@ _NAMES = [
     "extract_hourly",
     "extract_daily",
     "active_rows",
+    "extract_hourly_all",
+    "extract_daily_all",
+    "extract_daily_per_account",
+    "top_ads_per_account",
+    "csv_by_name",
+    "log_transform",
     "recent_hours",
     "account_scope",
     "top_ads",

@@ -1,7 +1,7 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from kpicast.functions import clean, localtime
 from kpicast.operators import rollup
@@ -106,21 +106,40 @@ def test_empty_extract_names_its_arguments(spark):
         readers.require_non_empty(empty, "daily", days=3)
 
 
-def test_extract_shrinks_until_it_succeeds(spark):
+def test_one_attempt_unless_others_are_asked_for(spark):
     tried = []
 
     def extract(days, limit):
         tried.append((days, limit))
-        if len(tried) < 3:
-            raise TimeoutError
-        return spark.range(1)
+        return spark.range(len(tried) // 3)
 
-    assert readers.extract_with_fallback(extract).count() == 1
-    assert tried == [(21, 500), (7, 500), (3, 200)]
+    steps = ((21, 500), (7, 500), (3, 200))
+    rows, used = readers.extract_with_fallback(extract, attempts=steps)
+    assert rows.count() == 1 and used == {"lookback_days": 3, "ads_per_account": 200}
+    assert tried == list(steps)
+    with pytest.raises(readers.EmptyExtract):
+        readers.extract_with_fallback(lambda days, limit: spark.range(0), attempts=steps)
     with pytest.raises(readers.EmptyExtract):
         readers.extract_with_fallback(lambda days, limit: spark.range(0))
 
 
+def test_a_failing_read_is_raised(spark):
+    def extract(days, limit):
+        raise PermissionError("no access")
+
+    with pytest.raises(PermissionError):
+        readers.extract_with_fallback(extract, attempts=((21, 0), (7, 0)))
+
+
+def test_csv_files_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("ad_id,spend\n7,1.5\n")
+    (tmp_path / "b.csv").write_text("spend,ad_id\n2.5,8\n")
+    (tmp_path / "c.csv").write_text("ad_id,clicks\n9,3\n")
+    wanted = T.StructType().add("ad_id", "string").add("spend", "string").add("other", "string")
+    rows = readers.read_csv(spark, str(tmp_path), wanted).collect()
+    assert sorted(map(tuple, rows)) == [("7", "1.5"), ("8", "2.5"), ("9", None)]
+
+
 def test_feature_cache_is_built_once(spark, tmp_path):
     built = []
 

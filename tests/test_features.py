@@ -100,7 +100,9 @@ def test_block_windows_equal_sums_over_hours(spark, series):
             assert r[f"spend_sum_{w}h"] == total(a - w + 1, a)
         for d in hourly.SAME_WINDOW_DAYS:
             assert r[f"spend_same_target_6h_d{d}"] == total(a + 1 - 24 * d, a + 6 - 24 * d)
-        assert r["spend_cum"] == total(0, a)
+        assert r["spend_cum"] == total(a - 167, a)
+        recent = [h for h in hours if a - 168 < h <= a]
+        assert r["recent_first"] == min(recent, default=None)
         assert r["target_spend"] == total(a + 1, a + 6)
         assert r["observed_history_hours"] == sum(a - 168 < h <= a for h in hours)
         assert r["observed_recent_24h"] == sum(a - 24 < h <= a for h in hours)

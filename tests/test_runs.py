@@ -38,11 +38,14 @@ def test_forecasts_of_both_horizons_share_a_table(spark, tmp_path):
     )
     drop = ["created_at"]
     assert sorted(map(str, first.drop(*drop).collect())) == sorted(map(str, again.drop(*drop).collect()))
-    days = jobs.run_24h(reader(spark), tenant, anchor, out, rules=ExtractRules(ad_limit=3))
-    assert days.count() == 3
+    days = jobs.run_24h(reader(spark), tenant, anchor, out, rules=ExtractRules(ads_per_account=1))
+    accounts = days.select("account_id").distinct().count()
+    assert days.count() == accounts > 1
     stored = sinks.read_forecasts(spark, f"{out}/{tenant.forecast_table}")
     counts = {r["forecast_horizon"]: r["count"] for r in stored.groupBy("forecast_horizon").count().collect()}
-    assert counts == {"6h": 2 * first.count(), "24h": 3}
+    assert counts == {"6h": first.count(), "24h": accounts}
+    used = spark.read.parquet(f"{out}/extracts").collect()
+    assert [(r["lookback_days"], r["ads_per_account"]) for r in used] == [(21, 1)]
 
 
 def test_training_to_monitor(spark, tmp_path):
