@@ -18,6 +18,8 @@ from ..operators.topk import limited, top_ads, top_ads_per_account
 ACCOUNT_KEYS = ["account_id", "company_id", "traffic_source_id", "traffic_source_config_id"]
 # An id list longer than this is joined instead of inlined.
 _INLINE_IDS = 1000
+# A dimension of at most this many rows (of a few short columns) is broadcast.
+BROADCAST_ROWS = 100_000
 
 
 @dataclass(frozen=True)
@@ -84,6 +86,14 @@ def keep_active(
     return rows
 
 
+def active_rows(rows: DataFrame, dims: Hierarchy, levels: list[str]) -> DataFrame:
+    """Facts whose hierarchy is active at every named level. The levels are checked on
+    the distinct combinations of ids, so the facts themselves are shuffled once."""
+    ids = [f"{level}_id" for level in levels]
+    active = keep_active(rows.select(*ids).distinct(), dims, levels)
+    return rows.join(active, ids, "left_semi")
+
+
 def unique_accounts(accounts: DataFrame) -> DataFrame:
     """Timezone and status per account key. Of repeated keys one row is kept: the
     last by timezone and status."""
@@ -99,10 +109,11 @@ def unique_accounts(accounts: DataFrame) -> DataFrame:
 
 
 def attach_timezone(
-    reports: DataFrame, accounts: DataFrame, broadcast_rows: int = 0
+    reports: DataFrame, accounts: DataFrame, broadcast_rows: int = BROADCAST_ROWS
 ) -> DataFrame:
     """Timezone of each report's account by the four normalised keys; '' where no
-    account matches."""
+    account matches. The accounts are broadcast if a count shows that they are few,
+    so the reports stay where they are; else both are shuffled."""
     keyed = reports.withColumns({name: text_id(F.col(name)) for name in ACCOUNT_KEYS})
     joined = dimension_lookup(
         keyed, unique_accounts(accounts), ACCOUNT_KEYS, ["ad_id", "date"], "left", broadcast_rows
@@ -137,7 +148,9 @@ def _restrict(
         largest = top_ads_per_account(entities, ads_per_account).select("account_id", "ad_id")
         entities = entities.join(largest, ["account_id", "ad_id"], "left_semi")
     kept = entities.select(*keys, *carry)
-    return spread_lookup(rows, kept, keys, ["date"], "inner" if carry else "left_semi")
+    # The keys hold the ad, so no key is hot beyond one ad's rows, which adaptive
+    # execution splits if need be.
+    return rows.join(kept, keys, "inner" if carry else "left_semi")
 
 
 def extract_hourly(

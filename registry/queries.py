@@ -298,7 +298,7 @@ def log_transform(spark, d):
 
 def active_rows(spark, d):
     dims = lens.hierarchy(spark, d)
-    rows = extract.keep_active(
+    rows = extract.active_rows(
         lens.hourly_reports(spark, d), dims, ["account", "campaign", "adset", "ad"]
     )
     return rows.select("date", "ad_id", "spend")
