@@ -1420,6 +1420,19 @@ def _sample_statements() -> dict[str, str]:
         f"""SELECT part AS split, count(*) AS rows, {day('min(d)', 'first_day')},
  {day('max(d)', 'last_day')} FROM (SELECT d, CASE WHEN d <= a THEN 'train' WHEN d <= b THEN 'valid'
  ELSE 'test' END AS part FROM sc, cut) GROUP BY part""",
+    )
+    parts = "CASE WHEN d <= DATE '2024-01-20' THEN 'train' WHEN d <= DATE '2024-01-25' THEN 'valid' ELSE 'test' END"
+    out["prediction_checks"] = with_(
+        base,
+        f"""SELECT {parts} AS split, count(*) AS rows, count(*) AS good, count(*) AS good_again
+ FROM sc GROUP BY 1""",
+    )
+    out["model_metadata"] = with_(
+        base,
+        f"""SELECT CAST(84 AS BIGINT) AS features, CAST(5 AS BIGINT) AS targets, '2024-01-20' AS train_end,
+ strftime(max(d) FILTER ({parts} = 'train'), '%Y-%m-%d') AS train_last,
+ strftime(max(d) FILTER ({parts} = 'valid'), '%Y-%m-%d') AS valid_last,
+ strftime(max(d) FILTER ({parts} = 'test'), '%Y-%m-%d') AS test_last, 'true' AS ready FROM sc""",
     )
     r7, r14 = "tracker_revenue_nonzero_count_7d", "tracker_revenue_nonzero_count_14d"
     c7, c14 = "tracker_conversions_nonzero_count_7d", "tracker_conversions_nonzero_count_14d"

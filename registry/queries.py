@@ -22,6 +22,7 @@ from kpicast.operators import (
     grid,
     hourly,
     metrics,
+    models,
     peers,
     recommend,
     rollup,
@@ -773,24 +774,66 @@ def best_model(spark, d):
     return metrics.selection_report(tables, names)
 
 
-def fit_predict_24h(spark, d):
-    path = f"{session.shared_dir(spark)}/models/daily"
+# Test settings: boosting rounds of the fits below. The jobs use the full numbers.
+TEST_ROUNDS_24H, TEST_ROUNDS_6H = 5, 3
+
+
+def _models(spark):
+    """A folder of its own for every run."""
+    return f"{session.shared_dir(spark)}/models-{uuid.uuid4().hex}"
+
+
+def _fitted_24h(spark, d, path):
     rows = session.written(train.daily_samples([lens.daily_facts(spark, d)]), "samples")
-    out = train.train_24h(rows, path, TRAIN_END, VALID_END, RECENCY_START, iterations=5)
+    return train.train_24h(
+        rows, path, TRAIN_END, VALID_END, RECENCY_START, iterations=TEST_ROUNDS_24H
+    )
+
+
+def fit_predict_24h(spark, d):
+    out = _fitted_24h(spark, d, _models(spark))
     return out.select("local_date", "ad_id", "split", *[f"pred_24h_{m}" for m in METRICS])
 
 
+def prediction_checks(spark, d):
+    """Per split the rows and how many have five finite predictions that are not
+    negative, also after the models were read again."""
+    path = _models(spark)
+    out = _fitted_24h(spark, d, path)
+    names = [f"pred_24h_{m}" for m in METRICS]
+    good = " AND ".join(f"{n} >= 0 AND {n} < double('infinity')" for n in names)
+    again = score.model_24h(models.Routing.single(path))(out.drop(*names))
+    kept = [F.count(F.lit(1)).alias("rows"), F.count_if(F.expr(good)).alias("good")]
+    first = out.groupBy("split").agg(*kept)
+    second = again.groupBy("split").agg(F.count_if(F.expr(good)).alias("good_again"))
+    return first.join(second, "split").select("split", "rows", "good", "good_again")
+
+
+def model_metadata(spark, d):
+    """What the daily model folder says about itself."""
+    path = _models(spark)
+    _fitted_24h(spark, d, path)
+    rows = spark.read.schema(
+        "feature_cols array<string>, target_cols array<string>, settings map<string,string>"
+    ).json(f"{path}/metadata")
+    settings = [F.col("settings")[n].alias(n) for n in ("train_end", "train_last", "valid_last", "test_last")]
+    return rows.select(
+        F.size("feature_cols").alias("features"), F.size("target_cols").alias("targets"), *settings,
+        F.lit(models.is_ready(spark, path)).alias("ready"),
+    )
+
+
 def fit_predict_6h(spark, d):
-    path = f"{session.shared_dir(spark)}/models/hourly"
+    path = _models(spark)
     rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
-    out = train.train_6h(rows, path, iterations=3)
+    out = train.train_6h(rows, path, iterations=TEST_ROUNDS_6H)
     return out.select("anchor_ts", "ad_id", "split", *[f"pred_6h_{m}" for m in METRICS])
 
 
 def objective_search(spark, d):
-    path = f"{session.shared_dir(spark)}/models/sparse"
+    path = _models(spark)
     rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
-    table, _ = train.search_6h(rows, path, iterations=3)
+    table, _ = train.search_6h(rows, path, iterations=TEST_ROUNDS_6H)
     return table
 
 
@@ -912,6 +955,8 @@ _NAMES = [
     "revenue_clip",
     "best_model",
     "fit_predict_24h",
+    "prediction_checks",
+    "model_metadata",
     "fit_predict_6h",
     "objective_search",
     "range_scan",
