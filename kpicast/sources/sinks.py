@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from .. import session
 from ..functions import labels, localtime
 from ..functions.ratios import fill_kpis
 from ..functions.text import add, pick
@@ -152,26 +153,43 @@ def run_name(*scope) -> str:
 
 
 def write_forecasts(rows: DataFrame, path: str, run: str | None = None) -> None:
-    """Write to the forecast table, partitioned by horizon, local day and run. A run
-    replaces the rows of its own name and no others, so a rerun doubles nothing; rows
-    without a run name get one of their own and are added. A day is split by ad over
-    as many tasks as its rows ask for (``ROWS_PER_WRITER`` each). ``rows`` should be a
-    written table: it is counted first."""
-    days = rows.groupBy("forecast_horizon", "forecast_local_date").count()
-    most = days.agg(F.max("count")).first()[0] or 0
-    writers = -(-most // ROWS_PER_WRITER) or 1
-    spread = F.pmod(F.xxhash64("ad_id"), F.lit(writers))
+    """Write to the forecast table, partitioned by horizon and local day.
+
+    Rows of a named run replace those the run wrote to these days before, so a rerun
+    doubles nothing: the days' other rows are kept and written with the new ones. Rows
+    without a name are appended. A day is split by ad over as many tasks as its rows ask
+    for (``ROWS_PER_WRITER`` each). ``rows`` should be a written table: it is counted
+    first. One job at a time may write a day."""
+    day = ["forecast_horizon", "forecast_local_date"]
+    out = rows.withColumn(_RUN, F.lit(run).cast("string"))
+    stored = _stored(rows.sparkSession, path) if run else None
+    if stored is not None:
+        if _RUN not in stored.columns:
+            stored = stored.withColumn(_RUN, F.lit(None).cast("string"))
+        same = stored.join(rows.select(*day).distinct(), day, "left_semi")
+        others = session.written(same.filter(~F.col(_RUN).eqNullSafe(run)), "forecasts")
+        out = out.unionByName(others, allowMissingColumns=True)
+    most = out.groupBy(*day).count().agg(F.max("count")).first()[0] or 0
+    spread = F.pmod(F.xxhash64("ad_id"), F.lit(-(-most // ROWS_PER_WRITER) or 1))
     (
-        rows.withColumn(_RUN, F.lit(run or uuid.uuid4().hex[:16]))
-        .repartition("forecast_horizon", "forecast_local_date", spread)
-        .sortWithinPartitions("forecast_horizon", "forecast_local_date", "ad_id", "forecast_window_start")
-        .write.mode("overwrite")
+        out.repartition(*day, spread)
+        .sortWithinPartitions(*day, "ad_id", "forecast_window_start")
+        .write.mode("overwrite" if run else "append")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("forecast_horizon", "forecast_local_date", _RUN)
+        .partitionBy(*day)
         .parquet(path)
     )
 
 
+def _stored(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.option("mergeSchema", True).parquet(path)
+    except Exception as missing:  # noqa: BLE001
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return None
+
+
 def write_forecasts_jdbc(
     rows: DataFrame, url: str, table: str, batch: int = 1000, writers: int = 8, **options: str
 ) -> None:
@@ -221,12 +239,8 @@ def cached_features(
 ) -> DataFrame:
     """Features from the cache, or built and written to it first. ``build`` is
     called only when they have to be made."""
-    if reuse:
-        try:
-            return spark.read.parquet(path)
-        except Exception as missing:  # noqa: BLE001
-            if "PATH_NOT_FOUND" not in str(missing):
-                raise
+    if reuse and (found := _stored(spark, path)) is not None:
+        return found
     build().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
