@@ -11,9 +11,11 @@ n1 has a few partitions more than needed, so a set loses no partner by that unle
 and the partner have more such partitions than these; both then also have the
 elements of a prefix filter as signatures, which finds any similar pair.
 
-Sets that share a signature are candidates and are compared element by element. First
-each with the smallest of its bucket; later all those of a bucket that are still in
-different components, so a bucket of copies costs no pairs and no link is lost.
+Sets that share a signature are candidates. Those that hang together by candidates go
+to one task with their elements, each once; the task compares the pairs of a bucket that
+are not in one group yet, so buckets of near copies cost few comparisons and emit no
+pairs. Where very many hang together they are dealt into parts, compared inside a part
+and, for buckets that are still in several groups, part by part.
 """
 
 from __future__ import annotations
@@ -32,6 +34,8 @@ from kpicast.session import written
 WORDS = 5
 SIMILAR, OF = 80, 100  # linked if OF * intersection >= SIMILAR * union
 SHARD_SIGNATURES = 2 << 20
+PART_ELEMENTS, TASK_ELEMENTS = 8 << 20, 2 << 20
+BROADCAST_ROWS = 1 << 19
 FILTER_BITS = 24
 _PLACE = np.random.default_rng(905).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _GOLD = 0x9E3779B97F4A7C15
@@ -105,7 +109,7 @@ def signatures(elements: np.ndarray) -> np.ndarray:
         spread = mix(elements ^ tag)
         part = (spread % np.uint64(3 * n1)).astype(np.int64)
         sums = np.zeros(3 * n1, np.uint64)
-        np.add.at(sums, part, mix(spread))
+        np.add.at(sums, part, spread)
         sums = sums.reshape(n1, 3)
         full = np.bincount(part, minlength=3 * n1).reshape(n1, 3) > 0
         pair = sums.sum(1)[:, None] - sums  # all but one part
@@ -118,6 +122,17 @@ def signatures(elements: np.ndarray) -> np.ndarray:
     return np.concatenate(out)
 
 
+def packed(elements: np.ndarray) -> bytes:
+    """The top 48 bits of sorted elements, for comparing two sets."""
+    return (elements >> np.uint64(16)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.view("<u8").ravel()
+
+
 def _described(docs: DataFrame) -> DataFrame:
     """doc_id, size and name of every document's set."""
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("sid", T.LongType())])
@@ -135,8 +150,9 @@ def _described(docs: DataFrame) -> DataFrame:
 
 def _dealt_signatures(docs: DataFrame, shards: int) -> DataFrame:
     """Signatures packed by shard: per slice of documents and shard one row of names,
-    sizes and counts of sets, and of the low 48 bits of their signatures. A few
-    unlike signatures that agree in shard and 48 bits only add candidates."""
+    sizes and counts of sets, and of the low 40 bits of their signatures. A few
+    unlike signatures that agree in shard and 40 bits only add candidates, and shards
+    grow with the data."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -163,7 +179,7 @@ def _dealt_signatures(docs: DataFrame, shards: int) -> DataFrame:
                 if not len(own):
                     continue
                 sets, counts = np.unique(owner[own], return_counts=True)
-                low = sigs[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+                low = sigs[own].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
                 rows.append((s, names[sets].tobytes(), sizes[sets].tobytes(), counts.astype(np.int32).tobytes(), low.tobytes()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(1, 5))],
@@ -180,15 +196,21 @@ def _buckets(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in group:
         for row in batch.to_pylist():
             counts = np.frombuffer(row["counts"], np.int32)
-            low = np.zeros((len(row["sigs"]) // 6, 8), np.uint8)
-            low[:, :6] = np.frombuffer(row["sigs"], np.uint8).reshape(-1, 6)
+            low = np.zeros((len(row["sigs"]) // 5, 8), np.uint8)
+            low[:, :5] = np.frombuffer(row["sigs"], np.uint8).reshape(-1, 5)
             names = np.frombuffer(row["names"], np.int64)
             sizes = np.frombuffer(row["sizes"], np.int64)
             parts.setdefault(row["shard"], []).append((low.view("<u8").ravel(), names, sizes, counts))
     for shard, own in parts.items():
         sigs = np.concatenate([p[0] for p in own])
-        order = np.argsort(sigs, kind="stable")
-        runs = np.flatnonzero(np.concatenate([[True], sigs[order][1:] != sigs[order][:-1], [True]]))
+        if len(sigs) <= 1 << 24:  # signature and place in one number sort fastest
+            packed = np.sort(sigs << np.uint64(24) | np.arange(len(sigs), dtype=np.uint64))
+            order = (packed & np.uint64((1 << 24) - 1)).astype(np.int64)
+            packed >>= np.uint64(24)
+        else:
+            order = np.argsort(sigs)
+            packed = sigs[order]
+        runs = np.flatnonzero(np.concatenate([[True], packed[1:] != packed[:-1], [True]]))
         many = np.flatnonzero(np.diff(runs) > 1)
         names = np.concatenate([np.repeat(p[1], p[3]) for p in own])
         sizes = np.concatenate([np.repeat(p[2], p[3]) for p in own])
@@ -236,9 +258,9 @@ def _bit_filter(ids: DataFrame) -> np.ndarray:
 
 
 def _sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame:
-    """sid and elements of the wanted sets. A Bloom filter on ids drops most other
-    documents before their elements are shuffled; what it lets through by chance is
-    dropped by the join."""
+    """sid and elements of the wanted sets. A Bloom filter on the ids of one document a
+    set drops most others before their elements are written; what it lets through by
+    chance finds no pair or repeats a set."""
     one = described.join(wanted, "sid").groupBy("sid").agg(F.min("doc_id").alias("doc_id"))
     held = docs.sparkSession.sparkContext.broadcast(_bit_filter(one.select(F.col("doc_id").alias("sid"))))
     bits = 1 << FILTER_BITS
@@ -249,31 +271,80 @@ def _sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame
             places = np.array(batch.column("_p").to_pylist(), np.int64).reshape(-1, 2)
             inside = ((held.value[places >> 6] >> (places & 63)) & 1).all(1)
             for part in slices(iter([batch.filter(pa.array(inside))])):
-                rows = [(set_id(s), s.tobytes()) for s in shingle_sets(part.column("text"))]
+                rows = [(set_id(s), packed(s)) for s in shingle_sets(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
                     ["doc_id", "sid", "elements"],
                 )
 
     schema = T.StructType([docs.schema["doc_id"], T.StructField("sid", T.LongType()), T.StructField("elements", T.BinaryType())])
-    found = maybe.mapInArrow(run, schema).join(one, ["sid", "doc_id"]).select("sid", "elements")
-    return found.dropDuplicates(["sid"])
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, by exact counts."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            keep = np.zeros(len(part), bool)
-            for k, (x, y) in enumerate(zip(part["x"], part["y"])):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep[k] = OF * both >= SIMILAR * (len(x) + len(y) - both)
-            yield part.loc[keep, ["a", "b"]]
-
-    joined = pairs.join(sets.selectExpr("sid AS a", "elements AS x"), "a").join(sets.selectExpr("sid AS b", "elements AS y"), "b")
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return maybe.mapInArrow(run, schema).select("sid", "elements")
+
+
+def _compare(buckets: pd.DataFrame, sets: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) that join what the buckets of one task join. Pairs of a bucket that
+    are in one group already need no comparison; all others are compared once."""
+    held = {s: unpacked(e) for s, e in zip(sets["sid"], sets["elements"])}
+    up = {s: s for s in held}
+
+    def root(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    known: set[tuple[int, int]] = set()  # compared and not similar
+    links: list[tuple[int, int]] = []
+    rows = buckets[buckets["sid"].isin(held)].sort_values(["bucket", "sid"])
+    cells = np.flatnonzero(rows["bucket"].diff().ne(0).to_numpy())
+    sids, part = rows["sid"].to_list(), rows["part"].to_list()
+    crossing = len(set(part)) > 1
+
+    def joined(one: list[int], two: list[int]) -> tuple[int, int] | None:
+        """A similar pair between two groups of places, comparing each pair once."""
+        for i in one:
+            x = held[sids[i]]
+            for j in two:
+                pair = (sids[i], sids[j]) if sids[i] < sids[j] else (sids[j], sids[i])
+                if pair in known or (crossing and part[i] == part[j]):
+                    continue
+                y = held[sids[j]]
+                if OF * min(len(x), len(y)) >= SIMILAR * max(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    if OF * both >= SIMILAR * (len(x) + len(y) - both):
+                        return pair
+                known.add(pair)
+        return None
+
+    for begin, end in zip(cells.tolist(), [*cells.tolist()[1:], len(sids)]):
+        groups: dict[int, list[int]] = {}
+        for k in range(begin, end):
+            groups.setdefault(root(sids[k]), []).append(k)
+        if len(groups) == 1:
+            continue
+        apart: list[list[int]] = []  # groups that no compared pair joins
+        for group in sorted(groups.values(), key=len, reverse=True):
+            for other in list(apart):
+                if (pair := joined(group, other)) is not None:
+                    links.append(pair)
+                    up[root(pair[1])] = root(pair[0])
+                    group = [*other, *group]
+                    apart.remove(other)
+            apart.append(group)
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _compared(buckets: DataFrame, sets: DataFrame, tasks: DataFrame) -> DataFrame:
+    """Links found by tasks that hold sets and what they share: ``tasks`` (a written
+    table) has sid, task and part for every task that gets a set. It is three numbers a
+    row and broadcast up to ``BROADCAST_ROWS``, so that elements are shuffled once and
+    not twice; beyond that the join is a shuffle."""
+    left = buckets.join(tasks, "sid").select("task", "bucket", "sid", "part")
+    where = tasks.select("sid", F.col("task").alias("at"))
+    if where.count() <= BROADCAST_ROWS:
+        where = F.broadcast(where)
+    right = sets.join(where, "sid").select("at", "sid", "elements")
+    return left.groupBy("task").cogroup(right.groupBy("at")).applyInPandas(_compare, "a long, b long")
 
 
 def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -286,30 +357,44 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shards = n_shards(spark, int(0.8 * total), SHARD_SIGNATURES)
     dealt = _dealt_signatures(docs, shards).repartition(shards, "shard")
     buckets = written(dealt.mapInArrow(_buckets, "bucket long, sid long, n long").distinct(), "buckets")
-    least = buckets.groupBy("bucket").agg(F.min_by("sid", F.struct("n", "sid")).alias("a"), F.min("n").alias("m"))
-    near = f"{OF} * least(n, m) >= {SIMILAR} * greatest(n, m)"
-    first = (
-        buckets.join(least, "bucket").filter(f"sid <> a AND {near}")
-        .selectExpr("least(a, sid) AS a", "greatest(a, sid) AS b").distinct()
+    least = buckets.groupBy("bucket").agg(F.min("sid").alias("a"))
+    stars = buckets.join(least, "bucket").filter("a < sid").selectExpr("sid AS a", "a AS b").distinct()
+    candidates = written(components(stars), "candidates")
+    # Candidates that hang together go to one task, or to several if they are many.
+    sizes = written(buckets.select("sid", "n").distinct(), "sizes")
+    weighed = candidates.withColumnRenamed("id", "sid").join(sizes, "sid")
+    cut = F.ceil(F.sum("n") / PART_ELEMENTS).cast("int").alias("parts")
+    placed = (
+        weighed.join(weighed.groupBy("component").agg(cut), "component")
+        .withColumn("part", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int"))
+        .drop("n")
     )
-    first = written(first, "pairs")
+    placed = written(placed, "placed")
+    many = sizes.agg(F.sum("n")).first()[0] or 0
+    tasks = n_shards(spark, many, TASK_ELEMENTS)
+    task = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(tasks)).cast("int").alias("task")
     wanted = buckets.select("sid").distinct()
-    sets = written(_sets(docs, described, wanted), "elements")
-    links = written(_similar(first, sets), "links")
-    grouped = written(components(links), "groups")
-    # Buckets whose sets are not in one component yet: all pairs across components.
-    named = buckets.join(grouped.selectExpr("id AS sid", "component"), "sid", "left").withColumn(
-        "c", F.coalesce("component", "sid")
-    )
-    open_ = named.groupBy("bucket").agg((F.min("c") < F.max("c")).alias("open")).filter("open").select("bucket")
-    rest = written(named.join(open_, "bucket").select("bucket", "sid", "n", "c"), "open")
-    other = rest.selectExpr("bucket", "sid AS b", "n AS m", "c AS d")
-    second = (
-        rest.join(other, "bucket").filter(f"sid < b AND c <> d AND {near}")
-        .selectExpr("sid AS a", "b").distinct().join(first, ["a", "b"], "left_anti")
-    )
-    more = _similar(second, sets)
-    grouped = components(links.unionByName(more))
+    sets = _sets(docs, described, wanted)
+    once = placed.select("sid", task("component", "part"), F.lit(0).alias("part"))
+    links = _compared(buckets, sets, once)
+    links = written(links, "links")
+    # Buckets over several parts that are not in one group yet: parts two by two.
+    grouped = components(links)
+    wide = placed.filter("parts > 1")
+    if not wide.isEmpty():
+        groups = written(grouped.selectExpr("id AS sid", "component AS c"), "groups")
+        named = buckets.join(wide.select("sid"), "sid").join(groups, "sid", "left")
+        open_ = named.groupBy("bucket").agg(F.min(F.coalesce("c", "sid")).alias("l"), F.max(F.coalesce("c", "sid")).alias("m"))
+        rest = written(named.join(open_.filter("l < m"), "bucket").select("bucket", "sid"), "open")
+        # A set goes to the pairs of parts that its open buckets span, and no others.
+        at = rest.join(wide, "sid").select("bucket", "sid", "component", "part")
+        spans = at.groupBy("bucket").agg(F.collect_set("part").alias("spanned"))
+        other = F.explode(F.array_except("spanned", F.array("part"))).alias("other")
+        pairs = at.join(spans, "bucket").select("sid", "component", "part", other)
+        key = ("component", F.least("part", "other"), F.greatest("part", "other"))
+        pairs = written(pairs.select("sid", F.xxhash64(*key).alias("task"), "part").distinct(), "pairs")
+        more = _compared(rest, _sets(docs, described, pairs.select("sid").distinct()), pairs)
+        grouped = components(links.unionByName(written(more, "links")))
     return described, grouped
 
 
