@@ -9,19 +9,34 @@ from __future__ import annotations
 import numpy as np
 
 U = np.uint64
-_ONE, _FULL = U(1), U(0xFFFFFFFFFFFFFFFF)
+_ONE = U(1)
+_B01, _B0F, _B33, _B55, _B80 = (U(int(f"{x:02x}" * 8, 16)) for x in (0x01, 0x0F, 0x33, 0x55, 0x80))
+
+
+def _places_in_bytes() -> np.ndarray:
+    """Place of the r-th set bit of every byte, at byte * 8 + r."""
+    out = np.zeros((256, 8), np.uint8)
+    for byte in range(256):
+        bits = [k for k in range(8) if byte >> k & 1]
+        out[byte, : len(bits)] = bits
+    return out.ravel()
+
+
+_IN_BYTE = _places_in_bytes()
 
 
 def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Place of the set bit of that rank in every word."""
-    place, rank = np.zeros(len(words), np.int64), rank.astype(np.int64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(words & U((1 << width) - 1)).astype(np.int64)
-        on = rank >= low
-        rank = np.where(on, rank - low, rank)
-        place += np.where(on, width, 0)
-        words = np.where(on, words >> U(width), words)
-    return place
+    """Place of the set bit of that rank in every word: sums of set bits up to every
+    byte side by side, the byte by comparing all of them at once, then a table."""
+    rank = rank.astype(np.uint64)
+    sums = words - ((words >> U(1)) & _B55)
+    sums = (sums & _B33) + ((sums >> U(2)) & _B33)
+    sums = ((sums + (sums >> U(4))) & _B0F) * _B01
+    before = np.bitwise_count(((rank * _B01 | _B80) - sums) & _B80).astype(np.uint64) << U(3)
+    before = np.minimum(before, U(56))
+    rank -= ((sums << U(8)) >> before) & U(0xFF)
+    inside = _IN_BYTE[(((words >> before) & U(0xFF)) << U(3) | (rank & U(7))).astype(np.int64)]
+    return before.astype(np.int64) + inside
 
 
 class EliasFano:
@@ -30,6 +45,7 @@ class EliasFano:
     def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray):
         self.n, self.low_bits = n, low_bits
         self.low, self.high, self.zeros = low, high, zeros
+        self.ones: np.ndarray | None = None
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
@@ -71,12 +87,45 @@ class EliasFano:
         place = 64 * word + _select(~self.high[word], k - self.zeros[word])
         return np.where(inside, place, 64 * len(self.high))
 
+    def _at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if self.ones is None:
+            self.ones = 64 * np.arange(len(self.zeros)) - self.zeros
+        word = np.searchsorted(self.ones, at, "right") - 1
+        place = 64 * word + _select(self.high[word], at - self.ones[word])
+        return place, ((place - at).astype(np.uint64) << U(self.low_bits)) | self._low(at)
+
     def get(self, at: np.ndarray) -> np.ndarray:
         """Values at places (0 <= at < n)."""
-        ones = 64 * np.arange(len(self.zeros)) - self.zeros
-        word = np.searchsorted(ones, at, "right") - 1
-        place = 64 * word + _select(self.high[word], at - ones[word])
-        return ((place - at).astype(np.uint64) << U(self.low_bits)) | self._low(at)
+        return self._at(at)[1]
+
+    def _ones_from(self, bit: np.ndarray) -> np.ndarray:
+        """Number of set bits in a row from each place on."""
+        out, todo = np.zeros(len(bit), np.int64), np.arange(len(bit))
+        while len(todo):
+            at = bit[todo] + out[todo]
+            inside = at < 64 * len(self.high)
+            todo, at = todo[inside], at[inside]
+            shift = (at & 63).astype(np.uint64)
+            rest = ~(self.high[at >> 6] >> shift)
+            run = np.bitwise_count((rest & (~rest + _ONE)) - _ONE).astype(np.int64)
+            run = np.minimum(run, 64 - (at & 63))
+            out[todo] += run
+            todo = todo[(at & 63) + run == 64]
+        return out
+
+    def pair(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at places and at the places after them."""
+        place, value = self._at(at)
+        nxt = place + 1
+        todo = np.arange(len(at))
+        while len(todo):  # mostly in the same word
+            word = self.high[nxt[todo] >> 6] >> (nxt[todo] & 63).astype(np.uint64)
+            some = word != 0
+            skip = np.bitwise_count((word & (~word + _ONE)) - _ONE).astype(np.int64)
+            nxt[todo] = np.where(some, nxt[todo] + skip, (nxt[todo] | 63) + 1)
+            todo = todo[~some]
+        after = ((nxt - at - 1).astype(np.uint64) << U(self.low_bits)) | self._low(at + 1)
+        return value, after
 
     def find(self, values: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None):
         """First place in [begin, end) whose value is not less than the wanted one, and
@@ -87,8 +136,9 @@ class EliasFano:
         # Numbers past the last high part: no element can be there.
         top = int(self.zeros[-1])
         capped = np.minimum(want_high, top)
-        start = np.where(capped > 0, self._zero(np.maximum(capped - 1, 0)) - np.maximum(capped - 1, 0), 0)
-        stop = self._zero(capped) - capped
+        bit = np.where(capped > 0, self._zero(np.maximum(capped - 1, 0)) + 1, 0)
+        start = bit - capped
+        stop = start + self._ones_from(bit)
         low = np.clip(start, begin, end)
         high = np.clip(np.minimum(stop, self.n), begin, end)
         limit = high.copy()

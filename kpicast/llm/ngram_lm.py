@@ -3,9 +3,9 @@
 Words are 63-bit hashes. Level 1 holds the training words in order of hash with their
 counts; level n the n-grams (n = 2, 3) that occur at least ``MIN_COUNT`` times. An n-gram
 hangs below its first n - 1 words, and its last word is written relative to the shorter
-context: for a trigram, its place among the successors of the middle word. Parents,
-pointers to their children and the children of one parent after the other, each group
-raised by the end of the one before, are non-decreasing and stored as Elias-Fano
+context: for a trigram, its place among the successors of the middle word. Pointers to
+the children of every n-gram above, and the children of one parent after the other, each
+group raised by the end of the one before, are non-decreasing and stored as Elias-Fano
 sequences; finding a word is a successor search inside its parent's range.
 
 Smoothing is absolute discounting, interpolated:
@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from kpicast.llm.common import slices, word_hashes
+from kpicast.llm.common import mix, n_shards, slices, word_hashes
 from kpicast.llm.eliasfano import EliasFano
 from kpicast.session import shared_dir, written
 
@@ -47,7 +47,10 @@ MIN_COUNT = 2
 DISCOUNT = 0.75
 SEGMENT = 1 << 20
 ID_BITS = 31  # of a word's number, and of a place among successors
-FLUSH = 4 << 20
+_LOW = (1 << ID_BITS) - 1
+FLUSH = 2 << 20
+RECENT = 1 << 18
+SHARD_BYTES = 16 << 20  # of text whose n-grams one task merges
 END = 0x5E0D_0F_7E87 << 20  # stands for the end of a text; words have odd hashes
 
 
@@ -100,7 +103,7 @@ def _mapped(folder: str, name: str) -> tuple[dict[str, np.ndarray], dict]:
         local = os.path.join(_copies[0], name)
         arrow_fs.copy_files(file, local, source_filesystem=store, destination_filesystem=arrow_fs.LocalFileSystem())
         file = local
-    data = np.memmap(file, np.uint8, "r")
+    data = np.asarray(np.memmap(file, np.uint8, "r"))
     first = int(np.flatnonzero(data[: 1 << 16] == 0x0A)[0]) + 1
     about = json.loads(bytes(data[:first]))
     arrays = {
@@ -120,8 +123,8 @@ def _unpack(name: str, arrays: dict, about: dict) -> EliasFano:
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes and the code book: bins of equal population, each its mean."""
-    edges = np.unique(np.quantile(values, np.linspace(0, 1, 257)[1:-1])) if len(values) else np.zeros(0)
+    """Codes below 255 and the code book: bins of equal population, each its mean."""
+    edges = np.unique(np.quantile(values, np.linspace(0, 1, 256)[1:-1])) if len(values) else np.zeros(0)
     codes = np.searchsorted(edges, values, "left")
     sums = np.bincount(codes, weights=values, minlength=len(edges) + 1)
     return codes.astype(np.uint8), sums / np.maximum(np.bincount(codes, minlength=len(edges) + 1), 1)
@@ -154,29 +157,52 @@ class Level:
     def split(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(segment, places of the keys that belong there)."""
         of = np.searchsorted(self.first, keys, "right") - 1
-        for k in np.unique(of):
+        for k in _present(of):
             if k >= 0:
-                yield int(k), np.flatnonzero(of == k)
+                yield k, np.flatnonzero(of == k)
+
+
+def _present(segments: np.ndarray) -> list[int]:
+    """The segment numbers that occur, from -1 on."""
+    return (np.flatnonzero(np.bincount(segments + 1)) - 1).tolist()
 
 
 class Words(Level):
     def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers (-1: unseen) and counts of words."""
+        """Numbers (-1: unseen) and counts of words. The last word looked up at each of
+        ``RECENT`` places is remembered, as most words of a text are frequent ones."""
+        if "recent" not in self._maps:
+            self._maps["recent"] = tuple(np.full(RECENT, fill, np.int64) for fill in (-1, -1, 0))
+        known, ids, counts = self._maps["recent"]
+        place = (hashes >> 3) & (RECENT - 1)
+        found, seen = ids[place], counts[place]
+        missed = np.flatnonzero(known[place] != hashes)
+        some, back = np.unique(hashes[missed], return_inverse=True)
+        new, n = self._search(some)
+        found[missed], seen[missed] = new[back], n[back]
+        place = (some >> 3) & (RECENT - 1)
+        known[place], ids[place], counts[place] = some, new, n
+        return found, seen
+
+    def _search(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         for k, at in self.split(hashes):
             segment = self.segment(k)
             place, equal = segment["hashes"].find((hashes[at] - self.first[k]).astype(np.uint64))
             at, place = at[equal], place[equal]
             ids[at] = place + self.base[k]
-            upto = segment["upto"]
-            counts[at] = (upto.get(place + 1) - upto.get(place)).astype(np.int64)
+            counts[at] = _read_counts(segment, place)
         return ids, counts
 
 
 class Grams(Level):
-    def _parents(self, segment: dict, k: int, parent: np.ndarray):
-        place, equal = segment["parents"].find((parent - (self.first[k] >> ID_BITS)).astype(np.uint64))
-        return place[equal], equal
+    def _range(self, segment: dict, k: int, parent: np.ndarray):
+        """Places of the children of parents that the segment covers, and which it does.
+        Pointers are indexed by the parent's number, counted from the segment's first."""
+        at = parent - (self.first[k] >> ID_BITS)
+        inside = at < segment["pointers"].n - 1
+        begin, end = segment["pointers"].pair(at[inside])
+        return begin.astype(np.int64), end.astype(np.int64), inside
 
     def find(self, parent: np.ndarray, child: np.ndarray):
         """Numbers (-1: none) and first factors of n-grams, given the number of their
@@ -184,10 +210,9 @@ class Grams(Level):
         ids, share = np.full(len(parent), -1, np.int64), np.zeros(len(parent))
         for k, at in self.split((parent << ID_BITS) | child):
             segment = self.segment(k)
-            place, equal = self._parents(segment, k, parent[at])
-            at = at[equal]
-            begin = segment["pointers"].get(place).astype(np.int64)
-            end = segment["pointers"].get(place + 1).astype(np.int64)
+            begin, end, inside = self._range(segment, k, parent[at])
+            full = begin < end
+            at, begin, end = at[inside][full], begin[full], end[full]
             raised = np.zeros(len(at), np.uint64)
             later = begin > 0
             raised[later] = segment["children"].get(begin[later] - 1)
@@ -203,22 +228,23 @@ class Grams(Level):
         last = (np.int64(1) << ID_BITS) - 1
         for k, at in self.split((parent << ID_BITS) | last):
             segment = self.segment(k)
-            place, equal = self._parents(segment, k, parent[at])
-            out[at[equal]] = segment["left_book"][segment["left"][place]]
+            place = parent[at] - (self.first[k] >> ID_BITS)
+            inside = place < len(segment["left"])
+            out[at[inside]] = segment["left_book"][segment["left"][place[inside]]]
         return out
 
     def start(self, parent: np.ndarray) -> np.ndarray:
         """Number of the first n-gram of contexts that have some."""
-        key = parent << ID_BITS
-        of = np.searchsorted(self.first, key, "left") - 1  # the first may be in the next
+        of = np.searchsorted(self.first, parent << ID_BITS, "left") - 1
         out = np.zeros(len(parent), np.int64)
-        for k in np.unique(of):
+        for k in _present(of):
             at = np.flatnonzero(of == k)
+            # A context that is not in this segment starts the next one.
             start = np.full(len(at), self.base[k + 1] if k + 1 < len(self.base) else self.n)
             if k >= 0:
-                segment = self.segment(int(k))
-                place, equal = self._parents(segment, k, parent[at])
-                start[equal] = self.base[k] + segment["pointers"].get(place).astype(np.int64)
+                begin, end, inside = self._range(self.segment(k), k, parent[at])
+                full = begin < end
+                start[np.flatnonzero(inside)[full]] = self.base[k] + begin[full]
             out[at] = start
         return out
 
@@ -226,13 +252,19 @@ class Grams(Level):
         """Training counts of n-grams by number."""
         of = np.searchsorted(self.base, ids, "right") - 1
         out = np.zeros(len(ids), np.int64)
-        for k in np.unique(of):
+        for k in _present(of):
             at = np.flatnonzero(of == k)
-            upto, place = self.segment(int(k))["upto"], ids[at] - self.base[k]
-            out[at] = (upto.get(place + 1) - upto.get(place)).astype(np.int64)
+            out[at] = _read_counts(self.segment(k), ids[at] - self.base[k])
         return out
 
 
+def _read_counts(segment: dict, place: np.ndarray) -> np.ndarray:
+    out = segment["count"][place].astype(np.int64)
+    large = np.flatnonzero(out == 255)
+    out[large] = segment["large"][np.searchsorted(segment["large_at"], place[large])]
+    return out
+
+
 _levels: dict[str, Level] = {}
 
 
@@ -257,17 +289,14 @@ class Model:
     def score(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """log10 probability of every token, and its training count. ``counts``: tokens
         per text; contexts don't reach over the start of a text."""
-        some, back = np.unique(hashes, return_inverse=True)
-        ids, seen = _held(self.words).find(some)
-        ids, seen = ids[back], seen[back]
+        ids, seen = _held(self.words).find(hashes)
         p = self.unigram(seen)
         within = _place_in_text(counts)
         if len(self.grams) > 0:
             two = _bigrams(self, ids, within)
             at = np.flatnonzero((within >= 1) & (np.roll(ids, 1) >= 0))
             left, share = np.ones(len(ids)), np.zeros(len(ids))
-            context, where = np.unique(ids[at - 1], return_inverse=True)
-            left[at] = _held(self.grams[0]).left(context)[where]
+            left[at] = _held(self.grams[0]).left(ids[at - 1])
             share[two[1]] = two[2]
             p = share + left * p
         if len(self.grams) > 1:
@@ -275,10 +304,11 @@ class Model:
             number[two[1]] = two[0]
             at = np.flatnonzero((within >= 2) & (np.roll(number, 1) >= 0))
             left, share = np.ones(len(ids)), np.zeros(len(ids))
-            context, where = np.unique(number[at - 1], return_inverse=True)
-            left[at] = _held(self.grams[1]).left(context)[where]
+            left[at] = _held(self.grams[1]).left(number[at - 1])
             at, parent, child = _trigrams(self, ids, within, number)
-            share[at] = _held(self.grams[1]).find(parent, child)[1]
+            # In order, so that neighbours in the files are read one after the other.
+            keys, back = np.unique((parent << ID_BITS) | child, return_inverse=True)
+            share[at] = _held(self.grams[1]).find(keys >> ID_BITS, keys & _LOW)[1][back]
             p = share + left * p
         return np.log10(p), seen
 
@@ -291,7 +321,7 @@ def _bigrams(model: Model, ids: np.ndarray, within: np.ndarray):
     """Kept bigrams: (number, place of the second word, first factor)."""
     at = np.flatnonzero((within >= 1) & (ids >= 0) & (np.roll(ids, 1) >= 0))
     keys, back = np.unique((ids[at - 1] << ID_BITS) | ids[at], return_inverse=True)
-    number, share = _held(model.grams[0]).find(keys >> ID_BITS, keys & ((1 << ID_BITS) - 1))
+    number, share = _held(model.grams[0]).find(keys >> ID_BITS, keys & _LOW)
     number, share = number[back], share[back]
     kept = number >= 0
     return number[kept], at[kept], share[kept]
@@ -308,16 +338,29 @@ def _trigrams(model: Model, ids: np.ndarray, within: np.ndarray, number: np.ndar
 # -- building ----------------------------------------------------------------
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(k, c): counts of the 64-bit keys that ``keys_of`` gives for a text column.
-    Keys are summed in the task first, then by Spark."""
+def _counted(docs: DataFrame, keys_of, shards: int, least: int = 1) -> DataFrame:
+    """(k, c): counts of at least ``least`` of the 64-bit keys that ``keys_of`` gives for
+    a text column. A task sums its keys and sends each shard (by a hash of the key) the
+    sorted keys in one piece; a shard's pieces are merged by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(counts, pa.int64())], ["k", "c"])
+            shard = (mix(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+            # Keys met once come first in every shard and need no count.
+            order = np.argsort(2 * shard + (counts > 1), kind="stable")
+            cut = np.searchsorted((2 * shard + (counts > 1))[order], np.arange(2 * shards + 1))
+            keys, counts = keys[order], counts[order].astype(np.int32)
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array(range(shards), pa.int32()),
+                    pa.array([keys[cut[2 * s] : cut[2 * s + 2]].tobytes() for s in range(shards)], pa.binary()),
+                    pa.array([counts[cut[2 * s + 1] : cut[2 * s + 2]].tobytes() for s in range(shards)], pa.binary()),
+                ],
+                ["shard", "keys", "counts"],
+            )
 
         for batch in slices(batches):
             keys = keys_of(batch.column("text"))
@@ -326,10 +369,29 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
             if n > FLUSH:
                 yield flush()
                 held, n = [], 0
-        if held:
+        if n:
             yield flush()
 
-    return docs.select("text").mapInArrow(run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c"))
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: dict[int, list] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                keys, some = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["counts"], np.int32)
+                counts = np.ones(len(keys), np.int64)
+                counts[len(keys) - len(some) :] = some
+                parts.setdefault(row["shard"], []).append((keys, counts))
+        while parts:
+            own = parts.popitem()[1]
+            keys, counts = (np.concatenate([p[k] for p in own]) for k in (0, 1))
+            order = np.argsort(keys)
+            keys, counts = keys[order], counts[order]
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+            sums = np.add.reduceat(counts, first) if len(keys) else counts
+            kept = sums >= least
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first][kept]), pa.array(sums[kept])], ["k", "c"])
+
+    sent = docs.select("text").mapInArrow(run, "shard int, keys binary, counts binary")
+    return sent.repartition(shards, "shard").mapInArrow(merge, "k long, c long")
 
 
 def _segments(rows: DataFrame, folder: str, kind: type[Level], build, columns: list[str]) -> Level:
@@ -366,12 +428,15 @@ def _sequences(**sequences: EliasFano) -> tuple[dict, dict]:
     return arrays, about
 
 
-def _upto(counts: np.ndarray) -> EliasFano:
-    return EliasFano.build(np.concatenate([[0], np.cumsum(counts)]))
+def _counts(counts: np.ndarray) -> dict[str, np.ndarray]:
+    """A byte per count; those of 255 and more apart, with their places."""
+    large = np.flatnonzero(counts >= 255)
+    return {"count": np.minimum(counts, 255).astype(np.uint8), "large_at": large, "large": counts[large]}
 
 
 def _build_words(own: dict) -> tuple[dict, dict]:
-    return _sequences(hashes=EliasFano.build(own["k"] - own["k"][0]), upto=_upto(own["c"]))
+    arrays, about = _sequences(hashes=EliasFano.build(own["k"] - own["k"][0]))
+    return arrays | _counts(own["c"]), about
 
 
 def _build_grams(own: dict) -> tuple[dict, dict]:
@@ -381,15 +446,18 @@ def _build_grams(own: dict) -> tuple[dict, dict]:
     lengths = np.diff(np.append(first, len(key)))
     ends = child[np.append(first[1:], len(key)) - 1]
     raised = np.repeat(np.cumsum(ends) - ends, lengths)
+    every = np.arange(parent[0], parent[-1] + 2)
     arrays, about = _sequences(
-        parents=EliasFano.build(parent[first] - parent[0]),
-        pointers=EliasFano.build(np.append(first, len(key))),
+        pointers=EliasFano.build(np.searchsorted(parent, every)),
         children=EliasFano.build(child + raised),
-        upto=_upto(count),
     )
     share, share_book = quantised((count - DISCOUNT) / context)
-    left, left_book = quantised(np.clip(1 - own["s"][first] / context[first], 1e-9, 1.0))
-    return arrays | {"share": share, "share_book": share_book, "left": left, "left_book": left_book}, about
+    kept, left_book = quantised(np.clip(1 - own["s"][first] / context[first], 1e-9, 1.0))
+    # The last code stands for contexts without n-grams.
+    left = np.full(len(every) - 1, len(left_book), np.uint8)
+    left[parent[first] - parent[0]] = kept
+    left_book = np.append(left_book, 1.0)
+    return arrays | _counts(count) | {"share": share, "share_book": share_book, "left": left, "left_book": left_book}, about
 
 
 def _with_context(grams: DataFrame, model: Model, order: int) -> DataFrame:
@@ -415,7 +483,9 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     repeated rows count as often as they are there; an empty table gives a model in
     which every word is unseen."""
     folder = f"{shared_dir(docs.sparkSession)}/lm-{uuid.uuid4().hex}"
-    counts = written(_counted(docs, lambda text: tokens(text)[0]), "words")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = n_shards(docs.sparkSession, size, SHARD_BYTES)
+    counts = written(_counted(docs, lambda text: tokens(text)[0], shards), "words")
     total, distinct, once, twice = counts.agg(
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
         F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
@@ -426,16 +496,14 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
 
     def bigram_keys(text: pa.Array) -> np.ndarray:
         hashes, n = tokens(text)
-        some, back = np.unique(hashes, return_inverse=True)
-        ids, seen = _held(model.words).find(some)
-        ids = np.where(seen >= min_count, ids, -1)[back]
+        ids, seen = _held(model.words).find(hashes)
+        ids = np.where(seen >= min_count, ids, -1)
         at = np.flatnonzero((_place_in_text(n) >= 1) & (ids >= 0) & (np.roll(ids, 1) >= 0))
         return (ids[at - 1] << ID_BITS) | ids[at]
 
     def trigram_keys(text: pa.Array) -> np.ndarray:
         hashes, n = tokens(text)
-        some, back = np.unique(hashes, return_inverse=True)
-        ids = _held(model.words).find(some)[0][back]
+        ids = _held(model.words).find(hashes)[0]
         within = _place_in_text(n)
         number = np.full(len(ids), -1, np.int64)
         found, at, _ = _bigrams(model, ids, within)
@@ -446,7 +514,7 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     for n, keys in ((2, bigram_keys), (3, trigram_keys)):
         if n > order or not model.distinct:
             break
-        kept = written(_counted(docs, keys).filter(F.col("c") >= min_count), f"grams-{n}")
+        kept = written(_counted(docs, keys, shards, min_count), f"grams-{n}")
         rows = _with_context(kept, model, n)
         model.grams = [*model.grams, _segments(rows, f"{folder}/{n}", Grams, _build_grams, ["k", "c", "h", "s"])]
     return model
