@@ -1,10 +1,11 @@
 """Delete from later documents the blocks of lines they share with earlier ones.
 
-Lines that occur in one document only drop out at once. A document's run of
-neighbouring shared lines is worth aligning if it is long enough to be deleted, and
-its partners are the earliest documents that hold its lines, so the pairs grow with
-the shared lines and not with the square of how often a line occurs. Each pair is
-aligned with patience diff; aligned blocks of ``MIN_WORDS`` or more go.
+Lines that occur in one document only drop out at once. Neighbouring shared lines are
+keyed by the shortest runs that reach ``MIN_WORDS``, from every line on and back from
+every line: any common block is a union of such runs. A document's partners are the
+earliest documents that hold its runs, so the pairs grow with the shared lines and not
+with the square of how often a line or block occurs. Each pair is aligned with patience
+diff; aligned blocks of ``MIN_WORDS`` or more go.
 """
 
 from __future__ import annotations
@@ -13,10 +14,12 @@ from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from kpicast.llm.common import WORD
+from kpicast.llm.common import WORD, mix
 from kpicast.session import written
 
 MIN_WORDS = 50
@@ -65,6 +68,26 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _runs(owner: np.ndarray, n: np.ndarray, words: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and past-the-end places of the shortest runs of neighbouring lines of one
+    owner that reach ``min_words``, from every line on and back from every line, and of
+    two neighbours that each reach it. Every longer run is a union of these, and so is
+    every pair of neighbours in it."""
+    if not len(n):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    follows = (owner[1:] == owner[:-1]) & (n[1:] == n[:-1] + 1)
+    piece = np.concatenate([[0], np.cumsum(~follows)])
+    upto = np.concatenate([[0], np.cumsum(words)])
+    at = np.arange(len(n))
+    both = at[:-1][(words[1:] >= min_words) & (words[:-1] >= min_words)]
+    starts = np.concatenate([at, np.searchsorted(upto, upto[1:] - min_words, "right") - 1, both])
+    stops = np.concatenate([np.searchsorted(upto, upto[:-1] + min_words, "left"), at + 1, both + 2])
+    full = np.flatnonzero((starts >= 0) & (stops <= len(n)))
+    starts, stops = starts[full], stops[full]
+    whole = piece[starts] == piece[stops - 1]
+    return np.unique(np.stack([starts[whole], stops[whole]]), axis=1)
+
+
 def common_blocks(later: list, earlier: list, min_words: int) -> list[tuple[int, int]]:
     """First and last original line of the later document's blocks to delete. Lines
     are (n, line, hash, words), n counting the lines that are not blank."""
@@ -111,39 +134,59 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def shared_lines(docs: DataFrame) -> DataFrame:
     """Per document its lines that another document has too: array of (n, line, hash,
-    words, how often it occurs, first document)."""
+    words)."""
     lines = _keyed(docs).select(*_KEY, F.posexplode(_lines(F.col("text"))).alias("n", "x"))
     lines = lines.select(*_KEY, "n", "x.line", "x.hash", "x.words")
     key = F.struct(*_KEY)
     stats = (
         lines.groupBy("hash")
-        .agg(F.min(key).alias("first"), F.max(key).alias("last"), F.count("*").alias("often"))
+        .agg(F.min(key).alias("first"), F.max(key).alias("last"))
         .filter("first <> last")
-        .drop("last")
+        .select("hash")
     )
     shared = lines.join(stats, "hash")
-    row = F.struct("n", "line", "hash", "words", "often", "first")
+    row = F.struct("n", "line", "hash", "words")
     return shared.groupBy(*_KEY).agg(F.array_sort(F.collect_set(row)).alias("lines"))
 
 
-def _partners(rows: Iterator[pd.DataFrame], min_words: int) -> Iterator[pd.DataFrame]:
-    for part in rows:
-        out = []
-        for own, text, lines in zip(part["_id"], part["_text"], part["lines"]):
-            run: list = []
-            for x in [*lines, None]:
-                if run and (x is None or x["n"] != run[-1]["n"] + 1):
-                    if sum(y["words"] for y in run) >= min_words:
-                        # The rarest lines find the partners first; each partner once.
-                        for y in sorted(run, key=lambda y: y["often"]):
-                            first = y["first"]["_id"], y["first"]["_text"]
-                            if first[0] < own:
-                                out.append((own, text, *first))
-                    run = []
-                if x is not None:
-                    run.append(x)
-        frame = pd.DataFrame(out, columns=["_id", "_text", "e_id", "e_text"], dtype="int64")
-        yield frame.drop_duplicates()
+_BASE = 0x9E3779B97F4A7C15
+_BACK = np.uint64(pow(_BASE, -1, 1 << 64))
+
+
+def _keyed_runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    """(run, _id, _text): hashes of the runs of every document."""
+    for batch in batches:
+        lists = batch.column("lines")
+        lines = lists.flatten()
+        n, words, hashes = (lines.field(c).to_numpy(zero_copy_only=False) for c in ("n", "words", "hash"))
+        owner = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
+        starts, stops = _runs(owner, n.astype(np.int64), words.astype(np.int64), min_words)
+        step = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(n), _BASE, np.uint64)]))
+        back = np.cumprod(np.concatenate([[np.uint64(1)], np.full(len(n), _BACK, np.uint64)]))
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(mix(hashes.view(np.uint64)) * step[:-1], dtype=np.uint64)])
+        keys = mix((sums[stops] - sums[starts]) * back[starts] + (stops - starts).astype(np.uint64)).view(np.int64)
+        who, keys = np.unique(np.stack([owner[starts], keys]), axis=1)
+        own = [batch.column(c).take(pa.array(who)) for c in _KEY]
+        yield pa.RecordBatch.from_arrays([pa.array(keys), *own], ["run", *_KEY])
+
+
+def partners(shared: DataFrame, min_words: int) -> DataFrame:
+    """Pairs of a document and the earliest one that holds one of its runs."""
+    runs = shared.select(*_KEY, "lines").mapInArrow(
+        lambda rows: _keyed_runs(rows, min_words), "run long, _id long, _text long"
+    )
+    runs = written(runs, "runs")
+    first = (
+        runs.groupBy("run")
+        .agg(F.min(F.struct(*_KEY)).alias("first"), F.max("_id").alias("last"))
+        .filter("first._id < last")
+    )
+    return (
+        runs.join(first.select("run", "first"), "run")
+        .filter("first._id < _id")
+        .select(*_KEY, F.col("first._id").alias("e_id"), F.col("first._text").alias("e_text"))
+        .distinct()
+    )
 
 
 def _align(rows: Iterator[pd.DataFrame], min_words: int) -> Iterator[pd.DataFrame]:
@@ -158,11 +201,7 @@ def _align(rows: Iterator[pd.DataFrame], min_words: int) -> Iterator[pd.DataFram
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """_id, _text and the blocks (start, stop: first and last line) to delete."""
     shared = written(shared_lines(docs), "shared-lines")
-    pairs = shared.mapInPandas(
-        lambda rows: _partners(rows, min_words), "_id long, _text long, e_id long, e_text long"
-    ).distinct()
-    thin = F.transform("lines", lambda x: F.struct(x["n"], x["line"], x["hash"], x["words"]))
-    own = shared.select(*_KEY, thin.alias("lines"))
+    pairs, own = partners(shared, min_words), shared
     other = own.select(F.col("_id").alias("e_id"), F.col("_text").alias("e_text"), F.col("lines").alias("e_lines"))
     aligned = (
         pairs.join(own, list(_KEY)).join(other, ["e_id", "e_text"])
