@@ -5,7 +5,7 @@ keyed by the shortest runs that reach ``MIN_WORDS``, from every line on and back
 every line: any common block is a union of such runs. A document's partners are the
 earliest documents that hold its runs, so the pairs grow with the shared lines and not
 with the square of how often a line or block occurs. Each pair is aligned with patience
-diff; aligned blocks of ``MIN_WORDS`` or more go.
+diff, and what that leaves is matched run by run; common blocks of ``MIN_WORDS`` go.
 """
 
 from __future__ import annotations
@@ -89,8 +89,9 @@ def _runs(owner: np.ndarray, n: np.ndarray, words: np.ndarray, min_words: int) -
 
 
 def common_blocks(later: list, earlier: list, min_words: int) -> list[tuple[int, int]]:
-    """First and last original line of the later document's blocks to delete. Lines
-    are (n, line, hash, words), n counting the lines that are not blank."""
+    """First and last original line of the later document's blocks to delete: all that
+    are inside a common run of ``min_words`` or more, wherever the earlier document has
+    it. Lines are (n, line, hash, words), n counting the lines that are not blank."""
     matches = patience([x[2] for x in later], [x[2] for x in earlier])
     blocks, k = [], 0
     while k < len(matches):
@@ -100,11 +101,42 @@ def common_blocks(later: list, earlier: list, min_words: int) -> list[tuple[int,
             for s, rows in ((0, later), (1, earlier))
         ):
             stop += 1
-        block = [later[i] for i, _ in matches[k:stop]]
-        if sum(x[3] for x in block) >= min_words:
-            blocks.append((block[0][1], block[-1][1]))
+        if sum(later[i][3] for i, _ in matches[k:stop]) >= min_words:
+            blocks.append((matches[k][0], matches[stop - 1][0] + 1))
         k = stop
-    return blocks
+    blocks = _joined(blocks + _left_over(later, earlier, blocks, min_words))
+    return [(later[i][1], later[j - 1][1]) for i, j in blocks]
+
+
+def _left_over(later: list, earlier: list, blocks: list[tuple[int, int]], min_words: int) -> list[tuple[int, int]]:
+    """Common runs outside the aligned blocks: of lines that are not unique on both
+    sides, or in another order than the alignment."""
+
+    def keyed(rows: list) -> Iterator[tuple[tuple, int, int]]:
+        n, words = (np.array([x[k] for x in rows], np.int64) for k in (0, 3))
+        hashes = [x[2] for x in rows]
+        for i, j in zip(*(x.tolist() for x in _runs(np.zeros(len(n)), n, words, min_words))):
+            yield tuple(hashes[i:j]), i, j
+
+    block = np.full(len(later), -1)
+    for k, (i, j) in enumerate(blocks):
+        block[i:j] = k
+    left = [x for x in keyed(later) if block[x[1]] < 0 or block[x[1]] != block[x[2] - 1]]
+    if not left:
+        return []
+    held = {key for key, _, _ in keyed(earlier)}
+    return [(i, j) for key, i, j in left if key in held]
+
+
+def _joined(blocks: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Blocks in order, those that have lines in common as one."""
+    out: list[tuple[int, int]] = []
+    for i, j in sorted(blocks):
+        if out and i < out[-1][1]:
+            out[-1] = out[-1][0], max(j, out[-1][1])
+        else:
+            out.append((i, j))
+    return out
 
 
 def _lines(text: Column) -> Column:

@@ -1,8 +1,23 @@
-"""Results that an earlier version left out."""
+"""Results that an earlier version left out: blocks, alignments, n-grams, characters."""
+
+from hypothesis import given, settings, strategies as st
 
 from kpicast.llm import line_dedup
 
 
+def _common_lines(later, earlier, min_words):
+    """Places of the later document's lines in any common run of ``min_words``."""
+    gone = set()
+    for i in range(len(later)):
+        for j in range(len(earlier)):
+            k = 0
+            while i + k < len(later) and j + k < len(earlier) and later[i + k] == earlier[j + k]:
+                k += 1
+            if sum(x[1] for x in later[i : i + k]) >= min_words:
+                gone |= set(range(i, i + k))
+    return gone
+
+
 def _line(k, words):
     return " ".join(f"l{k}w{n}" for n in range(words))
 
@@ -18,3 +33,35 @@ def test_a_block_goes_though_each_line_is_in_an_earlier_document(spark):
     got = _deduped(spark, rows)
     assert got[4] == "g\nh"
     assert all(got[i] == text for i, text in rows[:3])
+
+
+def test_blocks_among_many_documents_are_found(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    sizes = [1, 20, 25, 30, 49, 60]
+    docs = [[(int(k), sizes[k]) for k in rng.integers(0, 6, int(rng.integers(1, 7)))] for _ in range(60)]
+    # A blank line between all lines, which goes only inside a block.
+    rows = [(i, "\n\n".join(_line(*x) for x in doc)) for i, doc in enumerate(docs)]
+    got = _deduped(spark, rows)
+    for i, doc in enumerate(docs):
+        gone = set().union(*(_common_lines(doc, docs[j], 50) for j in range(i)), set())
+        assert [x for x in got[i].split("\n") if x] == [_line(*x) for k, x in enumerate(doc) if k not in gone]
+
+
+LINES = st.lists(st.sampled_from([(0, 50), (1, 30), (2, 20), (3, 49), (4, 70)]), max_size=9)
+
+
+@settings(deadline=None, max_examples=300)
+@given(LINES, LINES)
+def test_common_blocks_are_all_common_runs(later, earlier):
+    lines = lambda rows: [(n, n, *x) for n, x in enumerate(rows)]
+    got = {k for a, b in line_dedup.common_blocks(lines(later), lines(earlier), 50) for k in range(a, b + 1)}
+    assert got == _common_lines(later, earlier, 50)
+
+
+def test_repeated_and_reordered_passages_go():
+    lines = lambda rows: [(n, n, x, 50) if x.isupper() else (n, n, x, 2) for n, x in enumerate(rows)]
+    assert line_dedup.common_blocks(lines(["h", "P", "f"]), lines(["g", "P", "s", "P", "e"]), 50) == [(1, 1)]
+    assert line_dedup.common_blocks(lines(["h", "P", "f", "P"]), lines(["g", "P", "s"]), 50) == [(1, 1), (3, 3)]
+    assert line_dedup.common_blocks(lines(["Q", "P"]), lines(["P", "Q"]), 50) == [(0, 0), (1, 1)]
