@@ -1,7 +1,7 @@
 """Language-model scoring with an n-gram trie in Elias-Fano levels.
 
 Words are 63-bit hashes. Level 1 holds the training words in order of hash with their
-counts; level n the n-grams (n = 2, 3) that occur at least ``MIN_COUNT`` times. An n-gram
+counts; level n all n-grams (n = 2, 3), or those met ``min_count`` times if asked. An n-gram
 hangs below its first n - 1 words, and its last word is written relative to the shorter
 context: for a trigram, its place among the successors of the middle word. Pointers to
 the children of every n-gram above, and the children of one parent after the other, each
@@ -12,7 +12,9 @@ Smoothing is absolute discounting, interpolated:
 
     p(w | h) = (c(h w) - D) / c(h) + left(h) p(w | shorter h)
 
-over kept n-grams; left(h) is what they leave of 1, so pruning keeps a distribution. A
+over kept n-grams; left(h) is what they leave of 1, so pruning keeps a distribution. D is
+n1 / (n1 + 2 n2) by how many n-grams of the level were met once and twice, or ``DISCOUNT``
+where either is none or those met once are left out. A
 word seen in training has (c - D1) / N, and all unseen words together the rest, D1 V / N.
 Both factors are quantised to 8 bits with a code book per segment.
 
@@ -33,6 +35,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +46,7 @@ from kpicast.llm.common import mix, n_shards, slices, word_hashes
 from kpicast.llm.eliasfano import EliasFano
 from kpicast.session import shared_dir, written
 
-MIN_COUNT = 2
+MIN_COUNT = 1
 DISCOUNT = 0.75
 SEGMENT = 1 << 20
 ID_BITS = 31  # of a word's number, and of a place among successors
@@ -394,9 +397,9 @@ def _counted(docs: DataFrame, keys_of, shards: int, least: int = 1) -> DataFrame
     return sent.repartition(shards, "shard").mapInArrow(merge, "k long, c long")
 
 
-def _segments(rows: DataFrame, folder: str, kind: type[Level], build, columns: list[str]) -> Level:
-    """Sort (k, c, ...) into segment files; a group of one context may span several."""
-    n = rows.count()
+def _segments(rows: DataFrame, n: int, folder: str, kind: type[Level], build, columns: list[str]) -> Level:
+    """Sort (k, c, ...), ``n`` rows, into segment files; a group of one context may span
+    several."""
     dealt = rows.repartitionByRange(max(1, -(-n // SEGMENT)), "k").sortWithinPartitions("k")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -439,7 +442,7 @@ def _build_words(own: dict) -> tuple[dict, dict]:
     return arrays | _counts(own["c"]), about
 
 
-def _build_grams(own: dict) -> tuple[dict, dict]:
+def _build_grams(own: dict, discount: float) -> tuple[dict, dict]:
     key, count, context = own["k"], own["c"], own["h"]
     parent, child = key >> ID_BITS, key & ((1 << ID_BITS) - 1)
     first = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
@@ -451,7 +454,7 @@ def _build_grams(own: dict) -> tuple[dict, dict]:
         pointers=EliasFano.build(np.searchsorted(parent, every)),
         children=EliasFano.build(child + raised),
     )
-    share, share_book = quantised((count - DISCOUNT) / context)
+    share, share_book = quantised((count - discount) / context)
     kept, left_book = quantised(np.clip(1 - own["s"][first] / context[first], 1e-9, 1.0))
     # The last code stands for contexts without n-grams.
     left = np.full(len(every) - 1, len(left_book), np.uint8)
@@ -460,9 +463,14 @@ def _build_grams(own: dict) -> tuple[dict, dict]:
     return arrays | _counts(count) | {"share": share, "share_book": share_book, "left": left, "left_book": left_book}, about
 
 
-def _with_context(grams: DataFrame, model: Model, order: int) -> DataFrame:
+def _discount(grams: DataFrame) -> float:
+    once, twice = grams.agg(F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))).first()
+    return once / (once + 2 * twice) if once and twice else DISCOUNT
+
+
+def _with_context(grams: DataFrame, model: Model, order: int, discount: float) -> DataFrame:
     """k, c and the context's count h and kept mass s."""
-    sums = grams.groupBy(F.shiftright("k", ID_BITS).alias("p")).agg(F.sum(F.col("c") - DISCOUNT).alias("s"))
+    sums = grams.groupBy(F.shiftright("k", ID_BITS).alias("p")).agg(F.sum(F.col("c") - discount).alias("s"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -490,7 +498,7 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
         F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
     ).first()
-    words = _segments(counts, f"{folder}/1", Words, _build_words, ["k", "c"])
+    words = _segments(counts, distinct, f"{folder}/1", Words, _build_words, ["k", "c"])
     discount = once / (once + 2 * twice) if once and twice else 0.5
     model = Model(words, [], total, distinct, discount)
 
@@ -515,8 +523,10 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
         if n > order or not model.distinct:
             break
         kept = written(_counted(docs, keys, shards, min_count), f"grams-{n}")
-        rows = _with_context(kept, model, n)
-        model.grams = [*model.grams, _segments(rows, f"{folder}/{n}", Grams, _build_grams, ["k", "c", "h", "s"])]
+        discount = _discount(kept)
+        rows = _with_context(kept, model, n, discount)
+        build = partial(_build_grams, discount=discount)
+        model.grams = [*model.grams, _segments(rows, kept.count(), f"{folder}/{n}", Grams, build, ["k", "c", "h", "s"])]
     return model
 
 

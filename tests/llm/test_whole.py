@@ -1,8 +1,14 @@
 """Results that an earlier version left out: blocks, alignments, n-grams, characters."""
 
+import math
+import zlib
+from collections import Counter
+
+import pytest
 from hypothesis import given, settings, strategies as st
+from reference import words
 
-from kpicast.llm import line_dedup
+from kpicast.llm import line_dedup, ngram_lm, queries
 
 
 def _common_lines(later, earlier, min_words):
@@ -65,3 +71,40 @@ def test_repeated_and_reordered_passages_go():
     assert line_dedup.common_blocks(lines(["h", "P", "f"]), lines(["g", "P", "s", "P", "e"]), 50) == [(1, 1)]
     assert line_dedup.common_blocks(lines(["h", "P", "f", "P"]), lines(["g", "P", "s"]), 50) == [(1, 1), (3, 3)]
     assert line_dedup.common_blocks(lines(["Q", "P"]), lines(["P", "Q"]), 50) == [(0, 0), (1, 1)]
+
+
+@pytest.mark.parametrize("least", [1, 2])
+def test_language_model_of_all_ngrams(spark, least):
+    folder = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    tokens = {r["doc_id"]: [*words(r["text"]), None] for r in rows.collect()}
+    train = [x for i, x in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    counts = [Counter(g for x in train for g in zip(*(x[k:] for k in range(n)))) for n in (1, 2, 3)]
+    total, distinct = sum(counts[0].values()), len(counts[0])
+    off = [sum(c == 1 for c in n.values()) / sum(c * (c < 3) for c in n.values()) for n in counts]
+    if least > 1:
+        off[1:] = ngram_lm.DISCOUNT, ngram_lm.DISCOUNT
+    kept = [counts[0], *({g: c for g, c in n.items() if c >= least} for n in counts[1:])]
+    mass = [Counter(), Counter(), Counter()]
+    for n in (1, 2):
+        for g, c in kept[n].items():
+            mass[n][g[:-1]] += c - off[n]
+
+    def logp(x, k):
+        own = counts[0][(x[k],)]
+        p = (own - off[0]) / total if own else off[0] * distinct / total
+        for n in (1, 2):
+            h = tuple(x[k - n : k]) if k >= n else ()
+            if h in kept[n - 1]:
+                below = kept[n - 1][h]
+                p = max(kept[n].get((*h, x[k]), 0) - off[n], 0) / below + (1 - mass[n][h] / below) * p
+        return math.log10(p)
+
+    if least == 1:
+        found = queries.op1_ngram_lm(spark, folder).selectExpr("doc_id", "score AS _score")
+    else:
+        held_out = queries.fold(rows["doc_id"], 7) == 2
+        found = ngram_lm.score(rows, ngram_lm.train(rows.filter(~held_out), min_count=2))
+    for r in found.collect():
+        x = tokens[r["doc_id"]]
+        assert abs(r["_score"] - sum(logp(x, k) for k in range(len(x)))) < 0.03 * len(x) + 0.05
