@@ -19,6 +19,7 @@ from kpicast.llm.token_fst import _LETTER, _MARK, _NUMBER, classes
 
 MAX_WORDS = 1 << 20
 _PLAIN = [*range(0x1100), *range(0x2010, 0x2070)]
+_POINTS = 0x2100
 
 
 def _plain_lower() -> np.ndarray:
@@ -29,6 +30,7 @@ def _plain_lower() -> np.ndarray:
         low = char.lower()
         if (
             len(low) == 1
+            and ord(low) < _POINTS  # the words' hashes know no others
             and char != "Σ"  # its lower case depends on what follows
             and not unicodedata.category(char).startswith("M")
             and unicodedata.category(char) != "Cn"
@@ -66,7 +68,7 @@ def _word_spans(points: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.n
     return starts, ends
 
 
-_POINT_VALUE = np.random.default_rng(49_000).integers(1, 1 << 63, 0x2100, dtype=np.uint64) | np.uint64(1)
+_POINT_VALUE = np.random.default_rng(49_000).integers(1, 1 << 63, _POINTS, dtype=np.uint64) | np.uint64(1)
 
 
 class Encoder:

@@ -4,11 +4,14 @@ import math
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from reference import words
 
 from kpicast.llm import line_dedup, ngram_lm, queries
+from kpicast.llm.encode import Encoder
+from kpicast.llm.queries import vocabulary
 
 
 def _common_lines(later, earlier, min_words):
@@ -108,3 +111,10 @@ def test_language_model_of_all_ngrams(spark, least):
     for r in found.collect():
         x = tokens[r["doc_id"]]
         assert abs(r["_score"] - sum(logp(x, k) for k in range(len(x)))) < 0.03 * len(x) + 0.05
+
+
+def test_lower_case_beyond_the_table():
+    encoder = Encoder(vocabulary("word_bpe_49k.json"))
+    texts = ["aȺb Ⱦ", "Ⴀ and ჅX", "plain words", "ȺȾ Ⱥ", "Ꭰ K Å"]
+    for text, ids in zip(texts, encoder.encode(pa.array(texts))):
+        assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids
