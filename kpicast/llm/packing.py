@@ -52,14 +52,32 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
+def _gifts(own: list[int], lengths: np.ndarray) -> dict[int, tuple[int, ...]]:
+    """One piece, or else two, for every size that those of a bin can add up to; at
+    most as many as the capacity."""
+    out: dict[int, tuple[int, ...]] = {}
+    twice: dict[int, list[int]] = {}
+    for x in own:
+        size = int(lengths[x])
+        out.setdefault(size, (x,))
+        if len(twice.setdefault(size, [])) < 2:
+            twice[size].append(x)
+    some = [x for same in twice.values() for x in same]
+    for i, x in enumerate(some):
+        for y in some[i + 1 :]:
+            out.setdefault(int(lengths[x] + lengths[y]), (x, y))
+    return out
+
+
 def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int, patience: int = PATIENCE) -> np.ndarray:
     """Exchange pieces between underfull bins so that the sum of squared fills grows,
     until bins are empty.
 
     The emptiest bin gives: a piece moves into the tightest gap that takes it; else one
     piece, or two, are exchanged for a smaller piece of a fuller bin, the largest gain
-    first. Ends at the lower bound on the bins, or when ``patience`` bins in a row
-    could not be emptied.
+    first; all sizes that one or two pieces make are tried. Ends at the lower bound on
+    the bins, or when ``patience`` bins in a row could not be emptied, so a few bins more
+    than needed may stay; no piece is left out.
     """
     bins = bins.copy()
     total = int(lengths.sum())
@@ -88,10 +106,8 @@ def local_search(lengths: np.ndarray, bins: np.ndarray, capacity: int, patience:
                     break
             if best is None and len(pool):
                 sizes, room = lengths[pool], gap[bins[pool]]
-                singles = [((x,), int(lengths[x])) for x in own]
-                doubles = [((x, y), int(lengths[x] + lengths[y])) for i, x in enumerate(own[:32]) for y in own[i + 1 : 32]]
                 top = 0
-                for given, size in [*singles, *doubles]:
+                for size, given in _gifts(own, lengths).items():
                     gain = np.where(size - sizes <= room, size - sizes, 0)
                     at = int(np.argmax(gain))
                     # The other bin is at least as full, so squared fills grow.

@@ -4,12 +4,13 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from reference import words
 
-from kpicast.llm import line_dedup, ngram_lm, queries
+from kpicast.llm import line_dedup, ngram_lm, packing, queries
 from kpicast.llm.encode import Encoder
 from kpicast.llm.queries import vocabulary
 
@@ -45,8 +46,6 @@ def test_a_block_goes_though_each_line_is_in_an_earlier_document(spark):
 
 
 def test_blocks_among_many_documents_are_found(spark):
-    import numpy as np
-
     rng = np.random.default_rng(3)
     sizes = [1, 20, 25, 30, 49, 60]
     docs = [[(int(k), sizes[k]) for k in rng.integers(0, 6, int(rng.integers(1, 7)))] for _ in range(60)]
@@ -118,3 +117,12 @@ def test_lower_case_beyond_the_table():
     texts = ["aȺb Ⱦ", "Ⴀ and ჅX", "plain words", "ȺȾ Ⱥ", "Ꭰ K Å"]
     for text, ids in zip(texts, encoder.encode(pa.array(texts))):
         assert ids.tolist() == encoder.library.encode(text, add_special_tokens=False).ids
+
+
+def test_exchanges_reach_all_pieces_of_a_bin():
+    # The only exchange gives the two last pieces of the emptiest bin for one of 19.
+    lengths = np.array([3] * 32 + [10] * 2 + [19, 980] * 120)
+    bins = np.array([0] * 34 + [k for k in range(1, 121) for _ in range(2)])
+    found = packing.local_search(lengths, bins, 1000)
+    fill = np.bincount(found, weights=lengths)
+    assert fill.max() == 1000 and fill.sum() == lengths.sum()
