@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kpicast.llm import (
+    byte_bpe,
     chat,
     crf,
     itq,
@@ -118,7 +119,22 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality)}
+def op13_byte_bpe(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(docs, path)
+    counted = encoded.select(
+        "doc_id",
+        F.expr("CAST(octet_length(_ids) DIV 4 AS long)").alias("n_tokens"),
+        F.sha2("_ids", 256).alias("ids_sha256"),
+        "_ids",
+    )
+    return byte_bpe.decode(counted, path).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("_bytes", 256).alias("decoded_sha256")
+    )
+
+
+QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality, op13_byte_bpe)}
 
 OP2_SQL = r"""
 WITH turns AS (
