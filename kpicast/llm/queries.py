@@ -14,6 +14,7 @@ from kpicast.llm import (
     ngram_lm,
     packing,
     partenum,
+    prefix_trie,
     pstable,
     token_fst,
 )
@@ -119,6 +120,32 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
+def op12_prefix_trie(spark, sf_dir):
+    turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
+    own = prefix_trie.conversations(turns.select("conv_id", "turn", "role", "text"))
+    heads = own.filter("id % 100 = 0").select(
+        F.col("id").alias("_head"), F.slice("elements", 1, 5).alias("_first")
+    )
+    h = fold(F.col("id"), 6).cast("int")
+    joined = own.withColumn("_h", h).join(heads, F.expr("id - id % 100 = _head"), "left")
+    rebuilt = joined.select(
+        "id",
+        F.expr(
+            "concat(slice(coalesce(_first, slice(elements, 1, 0)), 1, _h), slice(elements, _h + 1, size(elements)))"
+        ).alias("elements"),
+    )
+    return prefix_trie.nodes(prefix_trie.sequences(rebuilt)).select(
+        F.col("id").alias("conv_id"),
+        "depth",
+        F.col("parent_id").alias("parent_conv_id"),
+        F.col("members").alias("n_convs"),
+        F.col("children").alias("n_children"),
+        F.col("leaves").alias("n_leaves"),
+        F.col("saved").alias("saved_tokens"),
+        F.sha2(F.array_join(F.col("ends").cast("array<string>"), ","), 256).alias("ends_sha256"),
+    )
+
+
 def op13_byte_bpe(spark, sf_dir):
     docs = documents(spark, sf_dir).select("doc_id", "text")
     path = vocabulary("byte_bpe_multi_50k.tiktoken")
@@ -134,7 +161,7 @@ def op13_byte_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality, op12_prefix_trie, op13_byte_bpe)}
 
 OP2_SQL = r"""
 WITH turns AS (
@@ -182,4 +209,39 @@ SELECT doc_id, size, source_size, target,
 FROM rated
 """
 
-ORACLES = {"op2_chat_format": OP2_SQL, "op8_source_mix": OP8_SQL}
+OP12_SQL = r"""
+WITH own AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), hashed AS (
+  SELECT *, xor(4294967295, list_reduce(list_transform(string_split(CAST(conv_id AS varchar), ''), lambda c: CAST(ascii(c) AS bigint)),
+                lambda a, b: list_reduce(range(8), lambda v, k: xor(v >> 1, 3988292384 * (v & 1)), xor(a, b)),
+                CAST(4294967295 AS bigint))) % 6 AS h
+  FROM own
+), rebuilt AS (
+  SELECT o.conv_id, list_concat(coalesce(g.turns[1:o.h], []), o.turns[o.h + 1:]) AS turns
+  FROM hashed o LEFT JOIN own g ON g.conv_id = o.conv_id - o.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, len(turns) AS n, d AS depth, turns[1:d] AS prefix
+  FROM rebuilt, unnest(range(len(turns) + 1)) AS u(d)
+), nodes AS (
+  SELECT prefix, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(CAST(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (n = depth), '')) AS ends_sha256,
+         CASE WHEN depth = 0 THEN 0 ELSE length(prefix[depth].t) END AS size
+  FROM prefixes GROUP BY prefix, depth
+), children AS (
+  SELECT prefix[1:depth - 1] AS up, depth - 1 AS at, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), counted AS (
+  SELECT v.*, coalesce(c.n, 0) AS n_children FROM nodes v LEFT JOIN children c ON c.up = v.prefix AND c.at = v.depth
+), below AS (
+  SELECT prefix[1:d] AS top, d AS at, sum((n_children = 0)::int) AS n_leaves, sum((n_convs - 1) * size) AS saved_tokens
+  FROM counted, unnest(range(depth + 1)) AS u(d) GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, v.n_children,
+       CAST(b.n_leaves AS bigint) AS n_leaves, CAST(b.saved_tokens AS bigint) AS saved_tokens, v.ends_sha256
+FROM counted v JOIN below b ON b.top = v.prefix AND b.at = v.depth
+LEFT JOIN nodes p ON p.prefix = v.prefix[1:v.depth - 1] AND p.depth = v.depth - 1
+"""
+
+ORACLES = {"op12_prefix_trie": OP12_SQL, "op2_chat_format": OP2_SQL, "op8_source_mix": OP8_SQL}
