@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kpicast.llm import (
+    alignment,
     byte_bpe,
     chat,
     crf,
@@ -120,6 +121,12 @@ def op7_token_counts(spark, sf_dir):
     )
 
 
+def op11_token_alignment(spark, sf_dir):
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    paths = vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    return alignment.link_statistics(docs, *paths).withColumnRenamed("digest", "groups_sha256")
+
+
 def op12_prefix_trie(spark, sf_dir):
     turns = prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet")
     own = prefix_trie.conversations(turns.select("conv_id", "turn", "role", "text"))
@@ -161,7 +168,7 @@ def op13_byte_bpe(spark, sf_dir):
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality, op12_prefix_trie, op13_byte_bpe)}
+QUERIES = {f.__name__: f for f in (op1_ngram_lm, op2_chat_format, op3_best_fit_packing, op4_line_dedup, op5_multiprobe_neighbours, op6_itq_near_dup, op7_token_counts, op8_source_mix, op9_ngram_jaccard, op10_crf_quality, op11_token_alignment, op12_prefix_trie, op13_byte_bpe)}
 
 OP2_SQL = r"""
 WITH turns AS (
