@@ -41,7 +41,8 @@ from kpicast.session import written
 LONG = 1 << 20  # bytes from which a document is dealt into chunks
 CHUNK = 1 << 16  # characters
 FAN = 8
-UNIT_LINKS = 4 << 20
+UNIT_LINKS = 1 << 20
+SLICE = 1 << 20  # bytes of texts or ids that a task works on at a time
 SMALL = 64  # links of a group that are listed one by one
 
 
@@ -216,7 +217,7 @@ def _aligned_short(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = tokenizers(path_a, path_b)
         none = np.zeros(0, np.int32)
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             texts = [" " + t if t else "" for t in batch.column("text").to_pylist()]
             rows = []
             for text, a, b in zip(texts, one.encode(texts), two.encode(texts)):
@@ -476,7 +477,7 @@ def _units(aligned: DataFrame, base: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, ids, parts, held, kind = TaskContext.get().partitionId() << 32, [], [], 0, None
-        for batch in batches:
+        for batch in slices(batches, "_a", SLICE):
             kind = batch.column("doc_id").type
             a, n_a = _joined(batch.column("_a"))
             b, n_b = _joined(batch.column("_b"))

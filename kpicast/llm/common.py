@@ -71,15 +71,17 @@ def text_buffer(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndar
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about ``SLICE_BYTES`` of text, or one text."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about ``size`` bytes of text, or one text."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = text_buffer(batch.column(text))
         start = 0
         while start < batch.num_rows:
-            stop = int(np.searchsorted(offsets, offsets[start] + SLICE_BYTES, "right")) - 1
+            stop = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
             stop = min(max(stop, start + 1), batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
