@@ -209,10 +209,9 @@ def _packed(values: np.ndarray) -> bytes:
     return values.astype("<i4").tobytes()
 
 
-def _aligned_short(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """One row of groups per document; without tokens where there are none."""
-    kept = [f for f in docs.schema.fields if f.name not in ("text", *GROUPS)]
-    names = [f.name for f in kept]
+def _short(path_a: str, path_b: str):
+    """Batches of doc_id and text to batches with a row of groups per document; without
+    tokens where there are none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one, two = tokenizers(path_a, path_b)
@@ -227,9 +226,9 @@ def _aligned_short(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 rows.append((_packed(a), _packed(b), _packed(p), _packed(q)))
             made = [pa.array([r[k] for r in rows], pa.binary()) for k in range(4)]
             at = pa.array(np.zeros(len(rows), np.int64))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), at, *made], [*names, *GROUPS])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), at, *made], ["doc_id", *GROUPS])
 
-    return docs.mapInArrow(run, T.StructType([*kept, *_GROUP_FIELDS]))
+    return run
 
 
 _PART = "row long, no long, kind long, ok boolean, at_a long, a binary, at_b long, b binary"
@@ -357,7 +356,8 @@ def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     (no row, if long). Rows that repeat are documents of their own.
     """
     docs = docs.select("doc_id", "text")
-    short = _aligned_short(docs.filter(f"NOT coalesce({_is_long()}, false)"), path_a, path_b)
+    short = docs.filter(f"NOT coalesce({_is_long()}, false)")
+    short = short.mapInArrow(_short(path_a, path_b), T.StructType([docs.schema["doc_id"], *_GROUP_FIELDS]))
     long_ = docs.filter(_is_long())
     if long_.isEmpty():
         return short
@@ -470,14 +470,15 @@ def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(values), "<i4"), np.array([len(v) // 4 for v in values], np.int64)
 
 
-def _units(aligned: DataFrame, base: int) -> DataFrame:
+def _units(docs: DataFrame, path_a: str, path_b: str, base: int) -> DataFrame:
     """Units of documents that are one row of groups each."""
-    key = aligned.schema["doc_id"].dataType
+    key = docs.schema["doc_id"].dataType
     schema = T.StructType([T.StructField("unit", T.LongType()), T.StructField("ids", T.ArrayType(key)), *_UNIT])
+    aligned = _short(path_a, path_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, ids, parts, held, kind = TaskContext.get().partitionId() << 32, [], [], 0, None
-        for batch in slices(batches, "_a", SLICE):
+        for batch in aligned(batches):
             kind = batch.column("doc_id").type
             a, n_a = _joined(batch.column("_a"))
             b, n_b = _joined(batch.column("_b"))
@@ -507,7 +508,7 @@ def _units(aligned: DataFrame, base: int) -> DataFrame:
         if parts:
             yield _unit_row(unit, ids, parts, kind)
 
-    return aligned.mapInArrow(run, schema)
+    return docs.mapInArrow(run, schema)
 
 
 def _long_links(groups: DataFrame, base: int) -> DataFrame:
@@ -593,8 +594,8 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     base = tokenizers(path_a, path_b)[1].size
-    short = _aligned_short(docs.filter(f"NOT coalesce({_is_long()}, false)"), path_a, path_b)
-    units = written(_units(short, base), "units")
+    short = docs.filter(f"NOT coalesce({_is_long()}, false)")
+    units = written(_units(short, path_a, path_b, base), "units")
     zipped = F.explode(F.arrays_zip("codes", "holders")).alias("x")
     sent = units.select("unit", zipped).select("unit", F.col("x.codes").alias("code"), F.col("x.holders").cast("long").alias("holders"), F.lit(None).cast("long").alias("times"))
     long_ = docs.filter(_is_long())
