@@ -8,8 +8,7 @@ from ..functions.clean import first_column
 from ..functions.ratios import ratio
 from ..functions.text import add, pick
 from ..names import KPIS, METRICS
-from .joins import fits
-from .quantiles import exact_quantiles
+from .quantiles import merged, select_quantiles, sketch_of, thresholds
 
 MONITOR_GROUPS = [
     "split",
@@ -112,16 +111,15 @@ def metrics_by_anchor(rows: DataFrame, keys: list[str], actual: str, predicted:
     )
 
 
-def quality_monitor(
-    backtest: DataFrame, mode: str = "serving", broadcast_labels: int = 0
-) -> DataFrame:
+def quality_monitor(backtest: DataFrame, mode: str = "serving") -> DataFrame:
     """Quality per metric over all rows and over each value of every segment
     column the table has.
 
-    All sums are first taken per combination of the segment labels, which are
-    few, so only those totals are expanded into the segment groups. With
-    ``broadcast_labels`` the label combinations are counted first, and up to that
-    many the error quantiles are found without shuffling the rows."""
+    All sums and error sketches are first taken per combination of the segment labels,
+    which are few, so only those totals are expanded into the segment groups. The error
+    quantiles are exact: the thresholds that the merged sketches give, a table as long
+    as the report, reach the rows as one value, and every row is compared with those of
+    its groups without being shuffled or repeated."""
     groups = [name for name in MONITOR_GROUPS if name in backtest.columns]
     pairs = {}
     for metric, (actual, suffix) in MONITOR_METRICS.items():
@@ -134,8 +132,8 @@ def quality_monitor(
         f"coalesce(CAST({predicted} AS double), 0D) AS p)"
         for metric, (actual, predicted) in pairs.items()
     ]
-    labelled = pick(backtest, ["ad_id"], labels | {"_m": f"array({', '.join(values)})"})
-    long = labelled.selectExpr("ad_id", *groups, "inline(_m)")
+    labelled = pick(backtest, [], labels | {"_m": f"array({', '.join(values)})"})
+    long = labelled.selectExpr(*groups, "inline(_m)")
     y, error = F.col("y"), F.col("p") - F.col("y")
     combined = long.groupBy("metric", *groups).agg(
         F.count(F.lit(1)).alias("n"),
@@ -177,18 +175,7 @@ def quality_monitor(
         F.when(spread > 0, 1.0 - c("_sse") / spread).otherwise(0.0).alias("r2"),
     )
     percent = F.abs(error) / F.greatest(F.abs(y), F.lit(1.0)) * 100.0
-    errors = _per_group(long.withColumn("ape", percent), groups)
-    few = bool(broadcast_labels) and fits(
-        labelled.select(*groups).distinct(), broadcast_labels
-    )
-    quantiles = exact_quantiles(
-        errors,
-        keys,
-        "ape",
-        {"median_abs_pct_error": 0.5, "p75_abs_pct_error": 0.75},
-        spread_by=["ad_id"],
-        few_keys=few,
-    ).drop("n")
+    quantiles = _error_quantiles(long.select("metric", *groups, percent.alias("_v")), groups, list(pairs))
     source = F.create_map(
         *[F.lit(x) for metric, (_, predicted) in pairs.items() for x in (metric, predicted)]
     )
@@ -206,6 +193,38 @@ def quality_monitor(
     )
 
 
+_ERROR_PROBS = {"median_abs_pct_error": 0.5, "p75_abs_pct_error": 0.75}
+
+
+def _error_quantiles(errors: DataFrame, groups: list[str], names: list[str]) -> DataFrame:
+    """Quantiles of ``_v`` per group_name, group_value and metric."""
+    # One sketch per label combination and metric, side by side, then one per group.
+    wide = errors.groupBy(*groups).agg(
+        *(sketch_of(F.when(F.col("metric") == m, F.col("_v"))).alias(f"_{m}") for m in names)
+    )
+    each = wide.selectExpr(
+        *groups, f"inline(array({', '.join(f'struct({chr(39)}{m}{chr(39)} AS metric, _{m} AS _s)' for m in names)}))"
+    )
+    by_group = _per_group(each, groups).groupBy("group_name", "group_value", "metric")
+    limits = by_group.agg(thresholds(merged(F.col("_s")), _ERROR_PROBS).alias("_limits"))
+    place = F.concat_ws("/", "metric", "group_name")
+    of_place = limits.groupBy(place.alias("_place")).agg(
+        F.map_from_entries(F.collect_list(F.struct("group_value", "_limits"))).alias("_values")
+    )
+    known = of_place.agg(F.map_from_entries(F.collect_list(F.struct("_place", "_values"))).alias("_known"))
+    marked, sides = errors.withColumn("_known", known.scalar()), []
+    for k, name in enumerate(["all", *groups]):
+        value = F.lit("all") if name == "all" else F.col(name)
+        key = F.struct(
+            F.lit(name).alias("group_name"), value.alias("group_value"), F.col("metric").alias("metric")
+        )
+        values = F.element_at("_known", F.concat(F.col("metric"), F.lit(f"/{name}")))
+        marked = marked.withColumn(f"_limits{k}", F.element_at(values, value))
+        sides.append((key, F.col(f"_limits{k}")))
+    found = select_quantiles(marked, ["metric", *groups], sides, _ERROR_PROBS, few_keys=True)
+    return found.select("_key.*", *_ERROR_PROBS)
+
+
 def _per_group(rows: DataFrame, groups: list[str]) -> DataFrame:
     pairs = ["struct('all' AS group_name, 'all' AS group_value)"]
     pairs += [f"struct('{g}' AS group_name, {g} AS group_value)" for g in groups]

@@ -195,6 +195,6 @@ def run_monitor(
 ) -> DataFrame:
     """Quality of a stored backtest table per metric and segment."""
     table = spark.read.parquet(backtest_path)
-    report = metrics.quality_monitor(table, mode, broadcast_labels=1000)
+    report = metrics.quality_monitor(table, mode)
     sinks.write_report(report, report_path)
     return spark.read.parquet(report_path)

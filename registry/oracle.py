@@ -1327,12 +1327,14 @@ def _quality_statements() -> dict[str, str]:
         f"FROM ({longs}) GROUP BY target, anchor_hour HAVING count(*) >= 2",
     )
     out["quality_monitor"] = _monitor()
+    out["quality_monitor_calibrated"] = _monitor()
+    out["quality_monitor_base"] = _monitor("prd", "pred")
     out["account_summary"] = _accounts()
     out["best_model"] = _best()
     return out
 
 
-def _monitor() -> str:
+def _monitor(values: str = "cal", family: str = "pred_calibrated") -> str:
     pairs = {
         "spend": "spend",
         "impressions": "impressions",
@@ -1342,9 +1344,9 @@ def _monitor() -> str:
     }
     parts = []
     for name, m in pairs.items():
-        parts.append((name, f"act_{m}", f"cal_{m}", f"pred_calibrated_24h_{m}"))
+        parts.append((name, f"act_{m}", f"{values}_{m}", f"{family}_24h_{m}"))
     for k in ("roas", "ctr", "cvr", "cpm"):
-        parts.append((k, kpi_of("act_{m}", k), kpi_of("cal_{m}", k), f"pred_calibrated_24h_{k}"))
+        parts.append((k, kpi_of("act_{m}", k), kpi_of(values + "_{m}", k), f"{family}_24h_{k}"))
     groups = {
         "all": "'all'",
         "split": "split",

@@ -717,7 +717,22 @@ def metrics_by_anchor(spark, d):
 
 def quality_monitor(spark, d):
     table = session.written(_backtest(spark, d), "backtest")
-    return metrics.quality_monitor(table, broadcast_labels=1000)
+    return metrics.quality_monitor(table)
+
+
+def quality_monitor_calibrated(spark, d):
+    return _monitored(spark, d, "calibrated")
+
+
+def quality_monitor_base(spark, d):
+    return _monitored(spark, d, "base")
+
+
+def _monitored(spark, d, mode):
+    """Quality by one prediction family; the table has what was served as well."""
+    table = session.written(_backtest(spark, d), "backtest")
+    served = {f"recommended_24h_{m}": f"2D * pred_24h_{m}" for m in [*METRICS, *KPIS]}
+    return metrics.quality_monitor(add(table, served), mode)
 
 
 def account_summary(spark, d):
@@ -947,6 +962,8 @@ _NAMES = [
     "regression_metrics",
     "metrics_by_anchor",
     "quality_monitor",
+    "quality_monitor_calibrated",
+    "quality_monitor_base",
     "account_summary",
     "headline_counts",
     "run_counts",
@@ -971,6 +988,8 @@ _SUMMED = {
     name: 4
     for name in (
         "quality_monitor",
+        "quality_monitor_calibrated",
+        "quality_monitor_base",
         "regression_metrics",
         "metrics_by_anchor",
         "account_summary",

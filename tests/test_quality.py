@@ -115,10 +115,10 @@ def monitor_table(spark):
     )
 
 
-@pytest.mark.parametrize("broadcast_labels", [0, 100])
-def test_monitor(spark, broadcast_labels):
+
+def test_monitor(spark):
     table, df = monitor_table(spark)
-    got = {(r["group_name"], r["group_value"]): r for r in metrics.quality_monitor(df, broadcast_labels=broadcast_labels).collect()}
+    got = {(r["group_name"], r["group_value"]): r for r in metrics.quality_monitor(df).collect()}
     assert set(got) == {("all", "all"), ("split", "test"), ("split", "valid"), ("prediction_segment", "stable"),
                         ("prediction_segment", "spiky"), ("prediction_segment", "UNKNOWN")}
     for (name, value), r in got.items():
