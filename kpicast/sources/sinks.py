@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from .. import session
 from ..functions import labels, localtime
 from ..functions.ratios import fill_kpis
 from ..functions.text import add, pick
 from ..names import ENTITY, KPIS, SHORT
 from ..schema import FORECAST, FORECAST_RANGES, RANGE_NAMES
+from . import snapshots
 
 _LEGACY = ["results", "payload"]
 _LONG = {short: long for long, short in SHORT.items()}
@@ -143,42 +142,20 @@ def forecast_rows(
     return align_to_schema(out.withColumns(instants | {"created_at": written}), schema)
 
 
-_RUN = "run"
-ROWS_PER_WRITER = 1_000_000
-
-
 def run_name(*scope) -> str:
     """A short name for everything that decides what a run returns."""
     return hashlib.sha256(repr(scope).encode()).hexdigest()[:16]
 
 
 def write_forecasts(rows: DataFrame, path: str, run: str | None = None) -> None:
-    """Write to the forecast table, partitioned by horizon and local day.
-
-    Rows of a named run replace those the run wrote to these days before, so a rerun
-    doubles nothing: the days' other rows are kept and written with the new ones. Rows
-    without a name are appended. A day is split by ad over as many tasks as its rows ask
-    for (``ROWS_PER_WRITER`` each). ``rows`` should be a written table: it is counted
-    first. One job at a time may write a day."""
-    day = ["forecast_horizon", "forecast_local_date"]
-    out = rows.withColumn(_RUN, F.lit(run).cast("string"))
-    stored = _stored(rows.sparkSession, path) if run else None
-    if stored is not None:
-        if _RUN not in stored.columns:
-            stored = stored.withColumn(_RUN, F.lit(None).cast("string"))
-        same = stored.join(rows.select(*day).distinct(), day, "left_semi")
-        others = session.written(same.filter(~F.col(_RUN).eqNullSafe(run)), "forecasts")
-        out = out.unionByName(others, allowMissingColumns=True)
-    most = out.groupBy(*day).count().agg(F.max("count")).first()[0] or 0
-    spread = F.pmod(F.xxhash64("ad_id"), F.lit(-(-most // ROWS_PER_WRITER) or 1))
-    (
-        out.repartition(*day, spread)
-        .sortWithinPartitions(*day, "ad_id", "forecast_window_start")
-        .write.mode("overwrite" if run else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*day)
-        .parquet(path)
-    )
+    """Write to the forecast table, partitioned by horizon and local day, as one commit
+    (see :mod:`kpicast.sources.snapshots`).
+
+    Rows of a named run replace all that the run wrote before, so a rerun doubles nothing;
+    rows without a name are added. Other jobs may write the same days meanwhile. ``rows``
+    should be a written table: it is counted first."""
+    made = snapshots.write_attempt(rows, path)
+    snapshots.commit(rows.sparkSession, path, run or made["attempt"], made)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -207,10 +184,28 @@ def write_forecasts_jdbc(
     )
 
 
-def read_forecasts(spark: SparkSession, path: str) -> DataFrame:
-    """Forecast table with all columns, also those that old files lack."""
-    stored = spark.read.option("mergeSchema", True).parquet(path)
-    return align_to_schema(stored, T.StructType([*FORECAST, *FORECAST_RANGES]))
+def read_forecasts(
+    spark: SparkSession, path: str, horizon: str | None = None, first=None, last=None
+) -> DataFrame:
+    """Forecast table with all columns, also those that old files lack; of one horizon
+    and of the local days first..last, if given. Files of tables from before there were
+    manifests, which lie in day folders at the top, are read as well."""
+    schema = T.StructType([*FORECAST, *FORECAST_RANGES])
+    tables = snapshots.read(spark, path, horizon, first, last)
+    if snapshots.has_top_folders(spark, path):
+        old = spark.read.option("basePath", path).option("mergeSchema", True).parquet(f"{path}/forecast_horizon=*")
+        day = F.col("forecast_local_date").cast("date")
+        for wanted in (
+            horizon is None or F.col("forecast_horizon") == horizon,
+            first is None or day >= F.lit(first).cast("date"),
+            last is None or day <= F.lit(last).cast("date"),
+        ):
+            old = old if wanted is True else old.filter(wanted)
+        tables.append(old)
+    out = spark.createDataFrame([], schema)
+    for table in tables:
+        out = out.unionByName(align_to_schema(table, schema))
+    return out
 
 
 def screening(forecasts: DataFrame, limit: int = 100) -> DataFrame:
