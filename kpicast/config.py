@@ -154,4 +154,5 @@ class WeightRules:
     revenue_clip_quantile: float = 0.995
 
 
+FIRST_DAY = "2000-01-01"
 MIN_AD_DAYS = 8

@@ -69,14 +69,17 @@ def hourly_feature_names() -> list[str]:
     return names
 
 
-def hour_blocks(hourly: DataFrame) -> DataFrame:
-    """Dense 6-hour blocks per ad. Takes the hourly rollup.
+def hour_blocks(hourly: DataFrame, stored_by_ad: bool = False) -> DataFrame:
+    """Dense 6-hour blocks per ad. Takes the hourly rollup, which may be a table stored by
+    ad (:mod:`kpicast.sources.clustered`): it is then not shuffled at all.
 
     Block ``b`` covers the hours after 6(b-1) up to and including 6b, so 6b is its
     anchor. Blocks without a row are filled with 0 by opening each gap from the
     block before it; ids and timezone carry forward."""
     # Hashed by ad once, for the blocks and all windows after them.
-    hours = keep_last(hourly, "hour_idx").repartition("ad_id")
+    hours = keep_last(hourly, "hour_idx")
+    if not stored_by_ad:
+        hours = hours.repartition("ad_id")
     hours = add(hours, {"_ahead": f"pmod(-hour_idx, {_STEP})"})
     hours = add(hours, {"block": f"(hour_idx + _ahead) div {_STEP}"})
     sums = {f"{m}_6": f"sum({m})" for m in METRICS}

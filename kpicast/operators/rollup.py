@@ -10,24 +10,59 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
-from ..config import MIN_AD_DAYS
+from ..config import FIRST_DAY, MIN_AD_DAYS
 from ..functions import clean, localtime
 from ..names import ENTITY, HOURLY_METRICS, METRICS
 
 _HIERARCHY = ["account_id", "campaign_id", "adset_id"]
 
 
-def clean_hourly(reports: DataFrame, metrics: list[str] = HOURLY_METRICS) -> DataFrame:
-    """Typed hourly facts: ids as text, metrics as numbers, rows without a
-    readable instant dropped. Numeric columns keep their type."""
+_DATES = ("timestamp", "timestamp_ntz", "date")
+
+
+def _instant(kinds: dict[str, str]) -> Column:
+    return F.col("date").cast("timestamp") if kinds["date"] in _DATES else clean.instant(F.col("date"))
+
+
+def _possible(day: Column) -> Column:
+    """Whether a day can be one of a report: a single wrong date would open a calendar
+    of centuries. Two days ahead leave room for every zone."""
+    return day.between(F.lit(FIRST_DAY).cast("date"), F.date_add(F.current_date(), 2))
+
+
+def watched(reports: DataFrame, counts: Observation, metrics: list[str]) -> DataFrame:
+    """``reports``, counted while they pass: ``rows``, and how many have an unreadable or
+    impossible date, no ad, no timezone, or (per value) text in place of a number. The
+    counts are there once the rows have been computed; no second scan is made. Nulls are
+    no rejected numbers."""
     kinds = dict(reports.dtypes)
-    instant = (
-        F.col("date").cast("timestamp")
-        if kinds["date"] in ("timestamp", "timestamp_ntz", "date")
-        else clean.instant(F.col("date"))
+    instant = _instant(kinds)
+    texts = [F.col(m) for m in metrics if kinds.get(m) == "string"]
+    wrong = [F.when(c.isNotNull() & c.try_cast("double").isNull(), 1).otherwise(0) for c in texts]
+    count = lambda condition: F.count_if(condition)
+    return reports.observe(
+        counts,
+        F.count(F.lit(1)).alias("rows"),
+        count(instant.isNull()).alias("unreadable_dates"),
+        count(instant.isNotNull() & ~_possible(F.to_date(instant))).alias("impossible_dates"),
+        count(clean.text_id(F.col("ad_id")) == "").alias("blank_ads"),
+        count(F.trim(clean.text(F.col("timezone"))) == "").alias("unmatched_zones"),
+        F.sum(reduce(lambda a, b: a + b, wrong, F.lit(0))).cast("long").alias("rejected_numbers"),
     )
+
+
+def clean_hourly(
+    reports: DataFrame, metrics: list[str] = HOURLY_METRICS, counts: Observation | None = None
+) -> DataFrame:
+    """Typed hourly facts: ids as text, metrics as numbers; rows without a readable and
+    possible instant or without an ad are dropped, and counted on the way if ``counts`` is
+    given (:func:`watched`). Numeric columns keep their type."""
+    kinds = dict(reports.dtypes)
+    instant = _instant(kinds)
+    if counts is not None:
+        reports = watched(reports, counts, metrics)
     return (
         reports.select(
             instant.alias("date"),
@@ -35,12 +70,13 @@ def clean_hourly(reports: DataFrame, metrics: list[str] = HOURLY_METRICS) -> Dat
             *[clean.text_id(F.col(name)).alias(name) for name in ENTITY],
             *[_metric(reports, kinds, name) for name in metrics],
         )
-        .filter(F.col("date").isNotNull())
+        .filter(_possible(F.to_date("date")) & (F.col("ad_id") != ""))
     )
 
 
 def clean_daily(facts: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
-    """Typed daily facts at ad grain; the day is already account-local."""
+    """Typed daily facts at ad grain, of rows with an ad and a possible day; the day is
+    already account-local."""
     kinds = dict(facts.dtypes)
     if "entity_type" in facts.columns:
         facts = facts.filter(F.lower(F.col("entity_type").cast("string")) == "ad")
@@ -55,7 +91,7 @@ def clean_daily(facts: DataFrame, metrics: list[str] = METRICS) -> DataFrame:
         clean.text(timezone).alias("timezone"),
         *[clean.text_id(F.col(name)).alias(name) for name in ENTITY],
         *[_metric(facts, kinds, name) for name in metrics],
-    ).filter(F.col("local_date").isNotNull())
+    ).filter(_possible(F.col("local_date")) & (F.col("ad_id") != ""))
 
 
 def _metric(df: DataFrame, kinds: dict, name: str):

@@ -8,17 +8,16 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from .. import session
 from ..config import AnchorRules, ExtractRules, Tenant
-from ..names import METRICS
+from ..names import HOURLY_METRICS, METRICS
 from ..operators import metrics, models, rollup
 from ..sources import extract, readers, sinks
 from . import score, train
 
 Reader = Callable[[str], DataFrame]
-HISTORY_DAYS = 7
 _EXTRACTS = "run string, tenant string, lookback_days long, ads_per_account long"
 
 
@@ -50,7 +49,10 @@ def run_6h(
     reuse_features: bool = False,
 ) -> DataFrame:
     """Next-6-hour forecast of a tenant, written to the forecast table. A rerun with the
-    same anchor and scope replaces its rows."""
+    same anchor and scope replaces its rows. What was wrong with the extracted rows is
+    counted as they are written and reported beside the table (``runs``)."""
+    counts = Observation("extract")
+    counted = []
 
     def features() -> DataFrame:
         # A week before the oldest anchor that is scored, so that its windows are whole.
@@ -61,11 +63,13 @@ def run_6h(
             reports,
             hierarchy(read, tenant),
             anchor,
-            rules.hourly_lookback_days + HISTORY_DAYS,
+            rules.hourly_lookback_days + score.HISTORY_DAYS,
             ads_per_account=rules.ads_per_account,
             account_ids=account_ids,
         )
+        rows = rollup.watched(rows, counts, HOURLY_METRICS)
         rows = readers.require_non_empty(rows, "hourly", tenant=tenant.name)
+        counted.append(counts.get)
         return score.features_6h(
             rows, recent_days=None, active_hours=24 * rules.hourly_lookback_days
         )
@@ -85,9 +89,16 @@ def run_6h(
     rows = session.written(sinks.forecast_rows(scored, "6h", ranges=False), "forecast-6h")
     run = run_label(rows.sparkSession, anchor, tenant, "6h", rules, account_ids)
     sinks.write_forecasts(rows, f"{forecast_path}/{tenant.forecast_table}", run)
+    for found in counted:
+        report = rows.sparkSession.createDataFrame([(run, tenant.name, *found.values())], run_schema(found))
+        sinks.write_report(report, f"{forecast_path}/runs", mode="append")
     return rows
 
 
+def run_schema(counts: dict) -> str:
+    return ", ".join(["run string", "tenant string", *(f"{name} long" for name in counts)])
+
+
 def run_24h(
     read: Reader,
     tenant: Tenant,

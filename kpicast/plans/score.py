@@ -13,6 +13,7 @@ from ..operators import daily, grid, hourly, models, recommend, rollup, topk
 from ..sources import extract
 
 Predictor = Callable[[DataFrame], DataFrame]
+HISTORY_DAYS = 7
 
 
 def same_window_mean(features: DataFrame) -> DataFrame:
@@ -172,13 +173,15 @@ def features_6h(
     max_ads: int = 0,
     recent_days: int | None = ExtractRules.hourly_recent_days,
     active_hours: int | None = None,
+    newest=None,
 ) -> DataFrame:
     """Features at the latest anchors from raw hourly reports with timezone: rows
     of the last days, of the accounts in scope, of the largest ads (0 = all), and
-    only of ads seen in the last ``active_hours``, if given."""
+    only of ads seen in the last ``active_hours``, if given. ``newest`` is the time of the
+    newest report, if known (see :func:`kpicast.sources.extract.recent_rows`)."""
     rows = rollup.clean_hourly(reports)
     if recent_days is not None:
-        rows = extract.recent_rows(rows, "date", recent_days)
+        rows = extract.recent_rows(rows, "date", recent_days, newest)
     rows = rollup.hourly_rollup(extract.filter_ids(rows, "account_id", account_ids))
     rows = topk.keep_top_ads(rows, max_ads, "hour_idx")
     if active_hours is not None:
@@ -197,8 +200,16 @@ def forecast_6h(
     recent_days: int | None = ExtractRules.hourly_recent_days,
     **options,
 ) -> DataFrame:
-    """Raw hourly reports with timezone to the 6h forecast."""
-    features = features_6h(reports, account_ids, max_ads, recent_days)
+    """Raw hourly reports with timezone to the 6h forecast of the ads seen in the last
+    ``recent_days`` (None: of all). The history read reaches a week further back, so that
+    the windows of the oldest anchor are whole."""
+    if recent_days is None:
+        features = features_6h(reports, account_ids, max_ads, None)
+    else:
+        newest = extract.newest_time(rollup.clean_hourly(reports), "date")
+        features = features_6h(
+            reports, account_ids, max_ads, recent_days + HISTORY_DAYS, 24 * recent_days, newest
+        )
     return score_6h(features, predict, **options)
 
 

@@ -155,10 +155,12 @@ def train_6h(
     valid_end=None,
     iterations: int | None = None,
     trees: dict = models.HOURLY_TREES,
+    on_empty: str = "error",
 ) -> DataFrame:
     """Fits the five hourly models on the absolute log error with early stopping
-    and returns all rows with split and predictions."""
-    rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True)
+    and returns all rows with split and predictions. Given end times that leave a part
+    without rows stop the job, unless ``on_empty="fallback"`` asks for the usual ones."""
+    rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True, on_empty)
     models.fit_targets(
         rows,
         hourly.hourly_feature_names(),
@@ -175,11 +177,16 @@ def train_6h(
 
 
 def search_6h(
-    feature_rows: DataFrame, path: str, iterations: int | None = None, train_end=None, valid_end=None
+    feature_rows: DataFrame,
+    path: str,
+    iterations: int | None = None,
+    train_end=None,
+    valid_end=None,
+    on_empty: str = "error",
 ) -> tuple[DataFrame, DataFrame]:
     """Objective search for conversions and revenue; ``iterations`` shortens the trees'
-    fit, for tests."""
-    rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True)
+    fit, for tests. ``on_empty`` is that of :func:`train_6h`."""
+    rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True, on_empty)
     return models.objective_search(
         rows,
         hourly.hourly_feature_names(),

@@ -6,9 +6,11 @@ grain reach the scan.
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.clean import is_active, text_id
 from ..names import ENTITY
@@ -53,10 +55,29 @@ def split_ids(text: str | None) -> list[str]:
     return [part.strip() for part in (text or "").split(",") if part.strip()]
 
 
-def recent_rows(rows: DataFrame, time: str, days: int) -> DataFrame:
-    """Rows at most ``days`` older than the newest one."""
-    newest = rows.agg(F.max(time).alias("newest"))
-    return rows.filter(F.col(time) >= newest.scalar() - F.make_interval(days=F.lit(days)))
+def recent_rows(rows: DataFrame, time: str, days: int, newest=None) -> DataFrame:
+    """Rows at most ``days`` older than the newest one. With ``newest`` given as a value
+    (see :func:`newest_time` and :func:`newest_folder`) the filter is a constant that
+    reaches the scan: partitions and row groups of older rows are not read."""
+    if newest is not None:
+        return rows.filter(F.col(time) >= F.lit(newest - dt.timedelta(days=days)))
+    found = rows.agg(F.max(time).alias("newest"))
+    return rows.filter(F.col(time) >= found.scalar() - F.make_interval(days=F.lit(days)))
+
+
+def newest_time(rows: DataFrame, time: str):
+    """The newest time as a value; reads one column. None if there are no rows."""
+    return rows.agg(F.max(time)).first()[0]
+
+
+def newest_folder(spark: SparkSession, path: str, column: str) -> dt.date | None:
+    """The newest day of a table in folders ``column=yyyy-MM-dd``, from the names of the
+    folders alone. Folders are taken as not empty."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}=*")
+    system = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName().split("=", 1)[1] for s in system.globStatus(hadoop) or []]
+    days = [n for n in names if re.fullmatch(r"\d{4}-\d\d-\d\d", n)]
+    return dt.date.fromisoformat(max(days)) if days else None
 
 
 def _active_ids(dimension: DataFrame, column: str) -> DataFrame:

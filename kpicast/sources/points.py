@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .. import session
+
 
 def range_scan(
     points: DataFrame,
@@ -66,11 +68,34 @@ def find_all(
     out = _matching(rows, query)
     if sort:
         out = out.orderBy(*[F.col(n).asc() if d == 1 else F.col(n).desc() for n, d in sort])
-    if skip and skip > 0:
-        out = out.offset(skip)
     if limit and limit > 0:
-        out = out.limit(limit)
-    return _project(out, projection)
+        # A page is found by a top-k of its end.
+        out = out.offset(skip) if skip and skip > 0 else out
+        return _project(out.limit(limit), projection)
+    return _project(after(out, skip) if skip and skip > 0 else out, projection)
+
+
+def after(rows: DataFrame, skip: int) -> DataFrame:
+    """``rows`` in their order without the first ``skip``, however many are left.
+
+    A sort deals the rows to tasks by ranges, so the order is that of the tasks and of
+    the rows inside: the rows of every task are counted, and a task keeps those that
+    come after its share of ``skip``. Nothing is gathered but one count a task."""
+    place = F.monotonically_increasing_id()
+    numbered = session.written(rows.select("*", F.spark_partition_id().alias("_task"), place.alias("_place")), "page")
+    sizes = sorted(numbered.groupBy("_task").count().collect())
+    left, first = skip, []
+    for task, size in sizes:
+        if size > left:
+            first.append((task, left))
+        left = max(left - size, 0)
+    if not first:
+        return numbered.limit(0).drop("_task", "_place")
+    # All tasks after the first that keeps rows keep all of theirs.
+    task, own = first[0]
+    in_task = F.col("_place").bitwiseAND((1 << 33) - 1)
+    kept = (F.col("_task") > task) | ((F.col("_task") == task) & (in_task >= own))
+    return numbered.filter(kept).orderBy("_place").drop("_task", "_place")
 
 
 def find_one(rows: DataFrame, query: dict, projection: dict[str, int] | None = None) -> DataFrame:

@@ -591,6 +591,23 @@ def _extract_statements() -> dict[str, str]:
     )
     out["find_page"] = f"""SELECT o_orderkey, o_custkey, {r('o_totalprice', 'o_totalprice')} FROM orders
  WHERE o_orderstatus = 'F' ORDER BY orders.o_totalprice DESC, o_orderkey LIMIT 50 OFFSET 20"""
+    out["find_after"] = f"""SELECT o_orderkey, {r('o_totalprice', 'o_totalprice')} FROM orders
+ WHERE o_orderstatus = 'F' ORDER BY orders.o_totalprice DESC, o_orderkey OFFSET 500"""
+    rejected = "u % 11 IN (0, 1) OR u % 13 IN (0, 1)"
+    out["rejected_rows"] = with_(
+        [EV, REP],
+        f"SELECT count(*) AS rows, {big('count(*) FILTER (u % 13 = 0)', 'unreadable_dates')}, "
+        f"{big('count(*) FILTER (u % 13 = 1)', 'impossible_dates')}, "
+        f"{big('count(*) FILTER (u % 11 IN (0, 1))', 'blank_ads')}, "
+        f"{big('count(*) FILTER (u % 5 = 3)', 'unmatched_zones')}, "
+        f"{big('count(*) FILTER (u % 7 = 0)', 'rejected_numbers')}, "
+        f"{big(f'count(*) FILTER (NOT ({rejected}))', 'kept_rows')} FROM rep",
+    )
+    out["clustered_hours"] = with_(
+        HOURS,
+        f"SELECT {big('h', 'hour_idx')}, {AD}, {r('spend', 'spend')}, "
+        f"{r('lag(spend) OVER (PARTITION BY u ORDER BY h)', 'previous_spend')} FROM hr",
+    )
     out["count_matching"] = (
         "SELECT count(*) AS count FROM orders WHERE o_orderstatus = 'F'"
     )
@@ -979,6 +996,21 @@ def _serving_statements() -> dict[str, str]:
     out["forecast_rows"] = with_(
         [*ALLDAYS, latest, pn, label_table("lb", "pd"), rec], f"SELECT {', '.join(cols)} FROM rc"
     )
+    # Read back from the stored table; the second rerun has even ads only.
+    spend, roas = served["spend"], kpi("roas", served, True)
+    kept = [AD, day("d", "forecast_local_date")]
+    whole = ", ".join(["'24h' AS forecast_horizon", *kept])
+    stored = [*ALLDAYS, latest, pn, label_table("lb", "pd"), rec]
+    out["forecast_append"] = with_(
+        stored,
+        f"SELECT {whole}, {r(f'({spend}) + 1', 'result_spend')}, {r(roas, 'result_roas')} FROM rc WHERE u % 2 = 0 "
+        f"UNION ALL SELECT {whole}, {r(spend, 'result_spend')}, {r(roas, 'result_roas')} FROM rc WHERE u % 3 = 0",
+    )
+    ends = ", ".join(
+        r(f"CASE WHEN u % 2 = 1 THEN {_range('spend', e)} END", f"result_spend_{e}") for e in ("p10", "p90")
+    )
+    out["schema_evolution"] = with_(stored, f"SELECT {', '.join(kept)}, {r(spend, 'result_spend')}, {ends} FROM rc")
+    out["forecast_schema"] = _forecast_schema()
     # The whole job: features from the last 18 days, counters from all of them.
     recent = """rd AS (SELECT * FROM dd WHERE d >= (SELECT max(d) FROM dd) - 18),
 l16 AS (SELECT * FROM rd QUALIFY row_number() OVER (PARTITION BY u ORDER BY d DESC) <= 16)"""
@@ -997,6 +1029,29 @@ l16 AS (SELECT * FROM rd QUALIFY row_number() OVER (PARTITION BY u ORDER BY d DE
     return out | _serving_6h()
 
 
+def _forecast_schema() -> str:
+    """The forecast table's columns, written out: fixed values."""
+    columns = """
+forecast_horizon string|account_id string|campaign_id string|adset_id string|ad_id string
+forecast_anchor timestamp|forecast_window_start timestamp|forecast_window_end timestamp|timezone string
+forecast_anchor_local timestamp_ntz|forecast_window_start_local timestamp_ntz|forecast_window_end_local timestamp_ntz
+forecast_local_date date|forecast_confidence string|forecast_confidence_score double
+forecast_status string|benchmark_source string|model_source string
+result_spend double|result_impressions double|result_clicks double|result_conversions double|result_revenue double
+result_roas double|result_profit double|result_ctr double|result_cvr double|result_cpc double
+result_cpm double
+raw_pred_spend double|raw_pred_impressions double|raw_pred_clicks double|raw_pred_conversions double
+raw_pred_revenue double|raw_pred_roas double|raw_pred_profit double|raw_pred_ctr double|raw_pred_cvr double
+raw_pred_cpc double|raw_pred_cpm double|recently_active boolean|created_at timestamp
+result_spend_p10 double|result_spend_p90 double|result_impressions_p10 double|result_impressions_p90 double
+result_clicks_p10 double|result_clicks_p90 double|result_conversions_p10 double|result_conversions_p90 double
+result_revenue_p10 double|result_revenue_p90 double|result_roas_p10 double|result_roas_p90 double
+"""
+    pairs = [c.split(" ") for c in columns.strip().replace("\n", "|").split("|")]
+    rows = ", ".join(f"({k}, '{name}', '{kind}')" for k, (name, kind) in enumerate(pairs))
+    return f"SELECT CAST(place AS BIGINT) AS place, name, type FROM (VALUES {rows}) AS t(place, name, type)"
+
+
 def _guard(m: str, prediction: str, multiplier: float, cap: float) -> tuple[str, str]:
     peer = peer_value(m)
     ok = f"({peer_source(m)} != 'insufficient_history' AND {peer} > 0)"

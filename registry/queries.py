@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
 from kpicast import session
 from kpicast.config import AnchorRules, GuardRules
@@ -30,7 +30,7 @@ from kpicast.operators import (
     topk,
 )
 from kpicast.plans import score, train
-from kpicast.sources import extract, lens, points, readers, sinks
+from kpicast.sources import clustered, extract, lens, points, readers, sinks
 
 KEYS = ["local_date", "timezone", *ENTITY]
 ANCHOR_KEYS = ["anchor_idx", *ENTITY]
@@ -306,10 +306,30 @@ def active_rows(spark, d):
 
 
 def recent_hours(spark, d):
-    rows = rollup.clean_hourly(lens.hourly_facts(spark, d))
-    return rollup.hourly_rollup(extract.recent_rows(rows, "date", 10)).select(
-        "hour_idx", "ad_id", "spend"
+    """Hours since ten days before the newest one; older events are not read."""
+    rows = lens.events(spark, d)
+    newest = extract.newest_time(rows, "ts").replace(minute=0, second=0, microsecond=0)
+    recent = extract.recent_rows(rows, "ts", 10, newest)
+    facts = lens.hourly_reports(spark, d, recent).withColumn("timezone", lens.timezone_of(F.col("account_id")))
+    return rollup.hourly_rollup(rollup.clean_hourly(facts)).select("hour_idx", "ad_id", "spend")
+
+
+def rejected_rows(spark, d):
+    """Rows and values that cleaning rejects, counted in the pass that writes the rest."""
+    user = F.col("ad_id").cast("int")
+    stamp = F.date_format("date", "yyyy-MM-dd HH:mm:ss")
+    dirty = lens.hourly_facts(spark, d).withColumns(
+        {
+            "ad_id": F.when(user % 11 == 0, "  ").when(user % 11 != 1, F.col("ad_id")),
+            "spend": F.when(user % 7 == 0, "n/a").when(user % 7 != 1, F.col("spend").cast("string")),
+            "date": F.when(user % 13 == 0, "soon").when(user % 13 == 1, "1890-01-01 00:00:00").otherwise(stamp),
+        }
     )
+    counts = Observation("rejected")
+    kept = session.written(rollup.clean_hourly(dirty, counts=counts), "kept")
+    found = counts.get
+    row = spark.createDataFrame([tuple(found.values())], ", ".join(f"{name} long" for name in found))
+    return row.withColumn("kept_rows", kept.agg(F.count(F.lit(1)).alias("n")).scalar())
 
 
 def account_scope(spark, d):
@@ -589,6 +609,52 @@ def forecast_rows(spark, d):
     return rows
 
 
+def forecast_schema(spark, d):
+    """Name, type and place of the columns of the forecast table."""
+    schema = forecast_rows(spark, d).schema
+    rows = [(k, f.name, f.dataType.simpleString()) for k, f in enumerate(schema)]
+    return spark.createDataFrame(rows, "place long, name string, type string")
+
+
+def _forecast_table(spark) -> str:
+    return f"{session.shared_dir(spark)}/forecasts-{uuid.uuid4().hex}"
+
+
+def forecast_append(spark, d):
+    """Two runs share a day; one of them is run again for fewer ads."""
+    path, ad = _forecast_table(spark), F.col("ad_id").cast("int")
+    rows = session.written(forecast_rows(spark, d), "forecasts")
+    sinks.write_forecasts(rows, path, "first")
+    sinks.write_forecasts(rows.filter(ad % 3 == 0), path, "second")
+    again = rows.filter(ad % 2 == 0).withColumn("result_spend", F.col("result_spend") + 1)
+    sinks.write_forecasts(session.written(again, "forecasts"), path, "first")
+    stored = sinks.read_forecasts(spark, path, horizon="24h")
+    return stored.select("forecast_horizon", "forecast_local_date", "ad_id", "result_spend", "result_roas")
+
+
+def schema_evolution(spark, d):
+    """Rows written before there were ranges, and with a column that has gone since."""
+    path, ad = _forecast_table(spark), F.col("ad_id").cast("int")
+    rows = session.written(forecast_rows(spark, d), "forecasts")
+    ranges = [c for c in rows.columns if c.endswith(("_p10", "_p90"))]
+    old = rows.filter(ad % 2 == 0).drop(*ranges).withColumn("payload", F.lit("{}"))
+    sinks.write_forecasts(old, path, "old")
+    sinks.write_forecasts(rows.filter(ad % 2 == 1), path, "new")
+    return sinks.read_forecasts(spark, path).select(
+        "forecast_local_date", "ad_id", "result_spend", "result_spend_p10", "result_spend_p90"
+    )
+
+
+def clustered_hours(spark, d):
+    """The hourly rollup stored by ad, and each ad's hour before, read without a shuffle."""
+    name = f"hours_{uuid.uuid4().hex}"
+    stored = clustered.write_clustered(
+        _hourly(spark, d), name, f"{session.shared_dir(spark)}/{name}", ["ad_id"], ["hour_idx"], 8
+    )
+    before = F.lag("spend").over(Window.partitionBy("ad_id").orderBy("hour_idx"))
+    return stored.select("hour_idx", "ad_id", "spend", before.alias("previous_spend"))
+
+
 def forecast_rows_6h(spark, d):
     scored = score.score_6h(
         score.latest_features_6h(_hourly(spark, d)), anchors=ENOUGH_ANCHORS,
@@ -882,6 +948,18 @@ def find_page(spark, d):
     )
 
 
+def find_after(spark, d):
+    """All that comes after the first rows: no page, so no top-k."""
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    return points.find_all(
+        orders,
+        {"o_orderstatus": "F"},
+        sort=[("o_totalprice", -1), ("o_orderkey", 1)],
+        skip=500,
+        projection={"o_orderkey": 1, "o_totalprice": 1},
+    )
+
+
 def count_matching(spark, d):
     orders = spark.read.parquet(f"{d}/orders.parquet")
     return points.count_matching(orders, {"o_orderstatus": "F"})
@@ -980,6 +1058,12 @@ _NAMES = [
     "list_measurements",
     "find_page",
     "count_matching",
+    "find_after",
+    "rejected_rows",
+    "forecast_schema",
+    "forecast_append",
+    "schema_evolution",
+    "clustered_hours",
 ]
 
 
