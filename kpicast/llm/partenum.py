@@ -11,16 +11,25 @@ n1 has a few partitions more than needed, so a set loses no partner by that unle
 and the partner have more such partitions than these; both then also have the
 elements of a prefix filter as signatures, which finds any similar pair.
 
-Sets that share a signature are candidates. Those that hang together by candidates go
-to one task with their elements, each once; the task compares the pairs of a bucket that
-are not in one group yet, so buckets of near copies cost few comparisons and emit no
-pairs. Where very many hang together they are dealt into parts, compared inside a part
-and, for buckets that are still in several groups, part by part.
+Sets that share a signature are candidates: small buckets become pairs, which repeat
+from bucket to bucket and are kept once, and sizes that rule a pair out drop it at once.
+Sets that agree in a passage only would still hang together by chance. So the members
+of a bucket are first compared by parity sketches, one bit per hash bin telling whether
+the bin holds an odd number of elements: two sets differ in at least as many elements as
+their sketches in bits, so no similar pair is lost, and with about a bit per element
+nearly all pairs below a similarity of 0.7 go.
+
+What is left hangs together where sets are near copies. Such sets go to one task with
+their elements, each once; the task compares the pairs of a bucket that are not in one
+group yet, so buckets of near copies cost few comparisons and emit no pairs. Where very
+many hang together they are dealt into parts, compared inside a part and, for buckets
+that are still in several groups, part by part.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -36,7 +45,10 @@ SIMILAR, OF = 80, 100  # linked if OF * intersection >= SIMILAR * union
 SHARD_SIGNATURES = 2 << 20
 PART_ELEMENTS, TASK_ELEMENTS = 8 << 20, 2 << 20
 BROADCAST_ROWS = 1 << 19
+PAIRED = 8  # buckets of at most so many sets become pairs
+SIEVED = 4096  # buckets of more sets are not sieved, and all their pairs stay candidates
 FILTER_BITS = 24
+_BUCKET = "bucket long, sid long, n long, members long"
 _PLACE = np.random.default_rng(905).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _GOLD = 0x9E3779B97F4A7C15
 
@@ -133,16 +145,39 @@ def unpacked(data: bytes) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
+def parity(elements: np.ndarray) -> bytes:
+    """A bit per bin, a power of two bins and at least as many as elements."""
+    bins = max(64, 1 << (len(elements) - 1).bit_length()) if len(elements) else 64
+    place = (mix(elements ^ np.uint64(_GOLD >> 1)) & np.uint64(bins - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bins).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def may_be_similar(size: int, bits: bytes, other_size: int, other_bits: bytes) -> bool:
+    """False only if two sets are not similar for certain."""
+    if OF * min(size, other_size) < SIMILAR * max(size, other_size):
+        return False
+    if len(bits) < len(other_bits):
+        bits, other_bits = other_bits, bits
+    one, two = int.from_bytes(bits, "little"), int.from_bytes(other_bits, "little")
+    width = 8 * len(bits)
+    while width > 8 * len(other_bits):  # parities of half as many bins
+        width //= 2
+        one = (one >> width) ^ (one & ((1 << width) - 1))
+    return (one ^ two).bit_count() * (OF + SIMILAR) <= (size + other_size) * (OF - SIMILAR)
+
+
 def _described(docs: DataFrame) -> DataFrame:
-    """doc_id, size and name of every document's set."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n", T.LongType()), T.StructField("sid", T.LongType())])
+    """doc_id, size, name and sketch of every document's set."""
+    fields = [T.StructField("n", T.LongType()), T.StructField("sid", T.LongType()), T.StructField("bits", T.BinaryType())]
+    schema = T.StructType([docs.schema["doc_id"], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            sets = [(len(s), set_id(s)) for s in shingle_sets(batch.column("text"))]
+            sets = [(len(s), set_id(s), parity(s)) for s in shingle_sets(batch.column("text"))]
+            kinds = (pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([s[0] for s in sets], pa.int64()), pa.array([s[1] for s in sets], pa.int64())],
-                ["doc_id", "n", "sid"],
+                [batch.column("doc_id"), *(pa.array([s[k] for s in sets], t) for k, t in enumerate(kinds))],
+                ["doc_id", "n", "sid", "bits"],
             )
 
     return docs.mapInArrow(run, schema)
@@ -190,8 +225,9 @@ def _dealt_signatures(docs: DataFrame, shards: int) -> DataFrame:
 
 
 def _buckets(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """bucket, sid, n: the sets of every signature that several sets of similar size
-    have. Buckets of one shard with equal sets are one."""
+    """bucket, sid, n, members: the sets of every signature that several sets of similar
+    size have. Small buckets become pairs, and buckets of one shard with equal sets are
+    one."""
     parts: dict[int, list] = {}
     for batch in group:
         for row in batch.to_pylist():
@@ -220,12 +256,20 @@ def _buckets(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in many.tolist():
             at = order[runs[r] : runs[r + 1]]
             sid, first = np.unique(names[at], return_index=True)
-            if len(sid) < 2 or (key := sid.tobytes()) in seen:
+            if len(sid) < 2:
                 continue
-            if len(sid) <= 8:
-                seen.add(key)
-            out.append((sid, sizes[at][first]))
-            held += len(sid)
+            size = sizes[at][first]
+            if len(sid) <= PAIRED:
+                for i, j in combinations(range(len(sid)), 2):
+                    pair = sid[[i, j]]
+                    alike = OF * min(size[i], size[j]) >= SIMILAR * max(size[i], size[j])
+                    if alike and (key := pair.tobytes()) not in seen:
+                        seen.add(key)
+                        out.append((pair, size[[i, j]]))
+                        held += 2
+            else:
+                out.append((sid, size))
+                held += len(sid)
             if held > 50_000:
                 yield _bucket_rows(shard, out)
                 out, held = [], 0
@@ -236,13 +280,69 @@ def _buckets(group: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bucket_rows(shard: int, out: list) -> pa.RecordBatch:
     sid = np.concatenate([o[0] for o in out])
     # A bucket is named after its members.
-    name = np.repeat([int(mix(o[0].astype(np.uint64)).sum() >> np.uint64(1)) for o in out], [len(o[0]) for o in out])
+    members = [len(o[0]) for o in out]
+    begin = np.cumsum(members) - members
+    name = np.repeat(np.add.reduceat(mix(sid.astype(np.uint64)), begin) >> np.uint64(1), members)
     return pa.RecordBatch.from_arrays(
-        [pa.array(name, pa.int64()), pa.array(sid, pa.int64()), pa.array(np.concatenate([o[1] for o in out]), pa.int64())],
-        ["bucket", "sid", "n"],
+        [
+            pa.array(name.astype(np.int64)),
+            pa.array(sid, pa.int64()),
+            pa.array(np.concatenate([o[1] for o in out]), pa.int64()),
+            pa.array(np.repeat(members, members), pa.int64()),
+        ],
+        ["bucket", "sid", "n", "members"],
     )
 
 
+def _groups_of(members: list[dict]) -> list[list[dict]]:
+    """Members of a bucket that hang together by pairs that may be similar."""
+    apart: list[list[dict]] = []
+    for x in members:
+        mine, rest = [x], []
+        for group in apart:
+            if any(may_be_similar(x["n"], x["bits"], y["n"], y["bits"]) for y in group):
+                mine = [*group, *mine]
+            else:
+                rest.append(group)
+        apart = [*rest, mine]
+    return [g for g in apart if len(g) > 1]
+
+
+def _sieve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Buckets, in order, cut into what sketches leave together."""
+    bucket, own = None, []
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def add() -> None:
+        for group in _groups_of(own):
+            out.append((np.array([x["sid"] for x in group]), np.array([x["n"] for x in group])))
+
+    for batch in batches:
+        for row in batch.to_pylist():
+            if row["bucket"] != bucket:
+                add()
+                bucket, own = row["bucket"], []
+            own.append(row)
+        if out:
+            yield _bucket_rows(0, out)
+            out = []
+    add()
+    if out:
+        yield _bucket_rows(0, out)
+
+
+def _sieved(buckets: DataFrame, described: DataFrame) -> DataFrame:
+    """bucket, sid and n of what sketches leave of the buckets. Buckets of more than
+    ``SIEVED`` sets stay as they are, as a task holds a bucket that it sieves."""
+    kept = ["bucket", "sid", "n"]
+    some = buckets.filter(F.col("members") <= SIEVED).drop("members")
+    bits = described.select("sid", "bits").join(some.select("sid").distinct(), "sid", "left_semi")
+    bits = bits.groupBy("sid").agg(F.first("bits").alias("bits"))
+    drawn = some.join(bits, "sid").repartition("bucket").sortWithinPartitions("bucket", "sid")
+    left = drawn.select("bucket", "sid", "n", "bits").mapInArrow(_sieve, _BUCKET)
+    return left.select(*kept).unionByName(buckets.filter(F.col("members") > SIEVED).select(*kept)).distinct()
+
+
 def _bit_filter(ids: DataFrame) -> np.ndarray:
     """Bits of a Bloom filter of fixed size; set bits are gathered as 64-bit words, so
     at most 2 ** (FILTER_BITS - 6) rows reach the driver."""
@@ -356,7 +456,8 @@ def join(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     total = described.agg(F.sum("n")).first()[0] or 0
     shards = n_shards(spark, int(0.8 * total), SHARD_SIGNATURES)
     dealt = _dealt_signatures(docs, shards).repartition(shards, "shard")
-    buckets = written(dealt.mapInArrow(_buckets, "bucket long, sid long, n long").distinct(), "buckets")
+    raw = written(dealt.mapInArrow(_buckets, _BUCKET).distinct(), "raw-buckets")
+    buckets = written(_sieved(raw, described), "buckets")
     least = buckets.groupBy("bucket").agg(F.min("sid").alias("a"))
     stars = buckets.join(least, "bucket").filter("a < sid").selectExpr("sid AS a", "a AS b").distinct()
     candidates = written(components(stars), "candidates")
