@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Words: runs of characters that are neither space nor \t \n \v \f \r.
 WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_BYTES = 4 << 20
+BATCH_BYTES = 32 << 20
 U64 = np.uint64
 
 _SEPARATOR = np.zeros(256, bool)
@@ -28,13 +29,14 @@ _STEP = U64(0x9E3779B97F4A7C15)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, as texts may be very long; and Python workers that find this
+    """Arrow batches small in rows and in bytes, as texts may be very long; and Python workers that find this
     package where the driver did (a cluster may ship it in any other way as well)."""
     known = spark.sparkContext.environment
     paths = known.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in paths:
         known["PYTHONPATH"] = os.pathsep.join([_ROOT, *filter(None, paths)])
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

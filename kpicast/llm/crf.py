@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from kpicast.llm.common import mix, slices, span_hashes, text_buffer, word_spans
 
 MAX_DOCS = 4000
+MAX_CHAINS = 1 << 14  # of CHAIN lines: at most 270 MB of features reach the driver
 CHAIN = 32
 ROUNDS = 250
 THRESHOLD = 0.3
@@ -194,10 +195,15 @@ def fit_chains(features: np.ndarray, counts: np.ndarray, labels: np.ndarray, rou
     return Model(theta[:-5], float(theta[-5]), theta[-4:].reshape(2, 2), mean, scale, prior)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS, max_chains: int = MAX_CHAINS
+) -> Model:
     """Fit on the ``max_docs`` documents of ``labels`` (doc_id, quality) that come
-    first in hash order. Rows without a label are left out; a document labelled twice
-    counts as bad if one label says so; without labels the model is flat."""
+    first in hash order, and of their lines on the ``max_chains`` runs of ``CHAIN`` lines
+    that do, so the driver's share is bounded at any length of text. Rows without a label
+    are left out; a document labelled twice counts as bad if one label says so; of rows
+    that repeat an id one is taken; ids may be of any type; without labels the model is
+    flat."""
     named = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL")
     chosen = (
         named.groupBy("doc_id").agg(F.min("quality").cast("int").alias("_quality"))
@@ -205,6 +211,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     )
     # At most max_docs rows of two numbers, whatever the size of the tables.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_quality").alias("_quality"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -217,11 +224,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
             row = pa.array([k for k, _, _ in chains], pa.int64())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id").take(row),
+                "start": pa.array([s for _, s, _ in chains], pa.int64()),
                 "label": batch.column("_quality").take(row),
                 "features": pa.array([features[cut[k] + s : cut[k] + e].tobytes() for k, s, e in chains], pa.binary()),
             })
 
-    chains = sample.mapInArrow(lines, "doc_id long, label int, features binary").toPandas()
+    key = sample.schema["doc_id"].dataType.simpleString()
+    chains = sample.mapInArrow(lines, f"doc_id {key}, start long, label int, features binary")
+    chains = chains.orderBy(F.xxhash64("doc_id", "start"), "doc_id", "start").limit(max_chains).toPandas()
     chains = chains.sort_values(["doc_id", "features"], kind="stable")
     width = 3 * WIDTH + 2
     blocks = [np.frombuffer(b, np.float32).reshape(-1, width) for b in chains["features"]]

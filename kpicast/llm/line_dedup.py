@@ -158,10 +158,17 @@ _KEY = ("_id", "_text")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    """Documents are ordered by id (null first), then by a hash of the text."""
-    return docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))).withColumn(
-        "_text", F.xxhash64("text")
-    )
+    """Documents are ordered by id (null first), then by a hash of the text. Ids that are
+    no whole numbers are ordered as texts, null with the empty one."""
+    if docs.schema["doc_id"].dataType.simpleString() in ("tinyint", "smallint", "int", "bigint"):
+        own = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    else:
+        own = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    return docs.withColumn("_id", own).withColumn("_text", F.xxhash64("text"))
+
+
+def _id_type(rows: DataFrame) -> str:
+    return rows.schema["_id"].dataType.simpleString()
 
 
 def shared_lines(docs: DataFrame) -> DataFrame:
@@ -205,7 +212,7 @@ def _keyed_runs(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[p
 def partners(shared: DataFrame, min_words: int) -> DataFrame:
     """Pairs of a document and the earliest one that holds one of its runs."""
     runs = shared.select(*_KEY, "lines").mapInArrow(
-        lambda rows: _keyed_runs(rows, min_words), "run long, _id long, _text long"
+        lambda rows: _keyed_runs(rows, min_words), f"run long, _id {_id_type(shared)}, _text long"
     )
     runs = written(runs, "runs")
     first = (
@@ -227,7 +234,8 @@ def _align(rows: Iterator[pd.DataFrame], min_words: int) -> Iterator[pd.DataFram
         for own, text, later, earlier in zip(part["_id"], part["_text"], part["lines"], part["e_lines"]):
             lists = ([(x["n"], x["line"], x["hash"], x["words"]) for x in side] for side in (later, earlier))
             out += [(own, text, *block) for block in common_blocks(*lists, min_words)]
-        yield pd.DataFrame(out, columns=["_id", "_text", "start", "stop"], dtype="int64")
+        made = pd.DataFrame(out, columns=["_id", "_text", "start", "stop"])
+        yield made.astype({c: "int64" for c in ("_text", "start", "stop")})
 
 
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -237,7 +245,7 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     other = own.select(F.col("_id").alias("e_id"), F.col("_text").alias("e_text"), F.col("lines").alias("e_lines"))
     aligned = (
         pairs.join(own, list(_KEY)).join(other, ["e_id", "e_text"])
-        .mapInPandas(lambda rows: _align(rows, min_words), "_id long, _text long, start long, stop long")
+        .mapInPandas(lambda rows: _align(rows, min_words), f"_id {_id_type(shared)}, _text long, start long, stop long")
     )
     return aligned.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "stop")).alias("_blocks"))
 

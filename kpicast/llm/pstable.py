@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kpicast.llm.common import mix
-from kpicast.llm.vectors import sample
+from kpicast.llm.vectors import of_common_length, sample
 from kpicast.session import written
 
 TABLES, HASHES, PROBES = 10, 8, 120
@@ -91,8 +91,9 @@ def perturbations(inside: np.ndarray, most: int) -> np.ndarray:
 
 def fit(rows: DataFrame, tables: int = TABLES, hashes: int = HASHES, probes: int = PROBES,
         width: float = WIDTH, max_sample: int = MAX_SAMPLE, seed: int = 5) -> Tables | None:
-    """Centre and spread come from at most ``max_sample`` vectors; None without any."""
-    some = sample(rows, max_sample)
+    """Centre and spread come from at most ``max_sample`` vectors of the most common
+    length; None without any."""
+    some = sample(of_common_length(rows), max_sample)
     if not len(some):
         return None
     rng = np.random.default_rng(seed)
@@ -159,10 +160,14 @@ def search(rows: DataFrame, queries: DataFrame, index: Tables | None, k: int = 1
     """query_id, rank, vec_id, score (Euclidean distance) of the ``k`` nearest found in
     ``rows`` (vec_id, vec) to ``queries`` (vec_id, vec), ties to the smaller id.
 
-    A row of the query's own id is no candidate. A query whose buckets hold fewer than
+    A row of the query's own id is no candidate. Vectors of a length other than the
+    index was fitted on take no part, neither as rows nor as queries. A query whose buckets hold fewer than
     ``k`` candidates is compared with all rows, so it has fewer only if the table has.
     """
 
+    if index is not None:
+        rows, queries = (df.filter(F.size("vec") == len(index.centre)) for df in (rows, queries))
+
     def probed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             keys = [index.probe_keys(np.asarray(v, float)).ravel() if index else np.zeros(0, np.int64) for v in part["vec"]]

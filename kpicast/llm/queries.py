@@ -20,7 +20,7 @@ from kpicast.llm import (
     token_fst,
 )
 from kpicast.llm.common import documents, fold, prepare
-from kpicast.llm.vectors import usable
+from kpicast.llm.vectors import of_common_length, usable
 from kpicast.session import written
 
 MIX_SEED = 11
@@ -103,6 +103,7 @@ def embeddings(spark, sf_dir):
 
 def op5_multiprobe_neighbours(spark, sf_dir):
     rows = written(usable(embeddings(spark, sf_dir), ["vec_id"]), "vectors")
+    rows = of_common_length(rows)
     return pstable.search(rows, rows.filter("vec_id % 100 = 0"), pstable.fit(rows))
 
 

@@ -10,9 +10,10 @@ the prefix. Transitions are compiled when first met and kept in a hash table, wh
 starts anew once it holds ``MAX_TRANSITIONS``.
 
 A text is cut into chunks of equal size that run side by side. A chunk's state map
-is tabulated for the start state expected from the bytes before it; the maps compose
-in a prefix scan, in which a chunk whose expected start is not where the map of the
-chunk before it ends is tabulated again from there.
+is tabulated for one start state, the one expected from the bytes before it, and not
+for all: the maps compose in a prefix scan, in which a chunk whose expected start is
+not where the map of the chunk before it ends is tabulated again from there. Starts
+are rarely wrong, as a few bytes settle the state.
 """
 
 from __future__ import annotations

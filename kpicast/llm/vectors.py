@@ -19,6 +19,12 @@ def usable(rows: DataFrame, keys: list[str], vector: str = "embedding") -> DataF
     return best.select("vec_id", *(F.col(f"r.{k}") for k in others), F.col("r.vec").alias("vec"))
 
 
+def of_common_length(rows: DataFrame) -> DataFrame:
+    """``rows`` (vec) of the most common length, the shorter of two that are as common."""
+    size = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), "n").first()
+    return rows if size is None else rows.filter(F.size("vec") == size["n"])
+
+
 def sample(rows: DataFrame, most: int) -> np.ndarray:
     """Vectors of the ``most`` rows that come first in hash order."""
     first = rows.select("vec_id", "vec").orderBy(F.xxhash64("vec_id"), "vec_id").limit(most)
