@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 # Words: runs of characters that are neither space nor \t \n \v \f \r.
 WORD = "[^\\x20\\x09-\\x0D]+"
 SLICE_BYTES = 4 << 20
+SMALL_SLICE = 1 << 20  # where a byte of text takes many times as much
 BATCH_BYTES = 32 << 20
 U64 = np.uint64
 

@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from kpicast.llm.common import mix, slices, span_hashes, text_buffer, word_spans
+from kpicast.llm.common import SMALL_SLICE, mix, slices, span_hashes, text_buffer, word_spans
 
 MAX_DOCS = 4000
 MAX_CHAINS = 1 << 14  # of CHAIN lines: at most 270 MB of features reach the driver
@@ -214,7 +214,7 @@ def fit(
     sample = sample.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("_quality").alias("_quality"))
 
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SMALL_SLICE):
             own, _, counts = own_features(*text_buffer(batch.column("text")))
             if not counts.sum():
                 continue
@@ -265,7 +265,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     schema = T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SMALL_SLICE):
             values = pa.array(score_batch(batch.column("text"), model), pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, values], [*batch.schema.names, "_score"])
 

@@ -36,13 +36,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from kpicast.llm.common import mix, n_shards, slices, word_hashes
+from kpicast.llm.common import SMALL_SLICE, mix, n_shards, slices, word_hashes
 from kpicast.llm.components import components
 from kpicast.session import written
 
 WORDS = 5
 SIMILAR, OF = 80, 100  # linked if OF * intersection >= SIMILAR * union
-SHARD_SIGNATURES = 2 << 20
+SHARD_SIGNATURES = 1 << 20
 PART_ELEMENTS, TASK_ELEMENTS = 8 << 20, 2 << 20
 BROADCAST_ROWS = 1 << 19
 PAIRED = 8  # buckets of at most so many sets become pairs
@@ -172,7 +172,7 @@ def _described(docs: DataFrame) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], *fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SMALL_SLICE):
             sets = [(len(s), set_id(s), parity(s)) for s in shingle_sets(batch.column("text"))]
             kinds = (pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays(
@@ -193,7 +193,8 @@ def _dealt_signatures(docs: DataFrame, shards: int) -> DataFrame:
         for batch in slices(batches):
             made, names, sizes = [], [], []
             seen: set[int] = set()
-            for elements in shingle_sets(batch.column("text")):
+            parts = slices(iter([batch]), size=SMALL_SLICE)
+            for elements in (s for part in parts for s in shingle_sets(part.column("text"))):
                 name = set_id(elements)
                 if name >= 0 and name not in seen:
                     seen.add(name)
@@ -370,7 +371,7 @@ def _sets(docs: DataFrame, described: DataFrame, wanted: DataFrame) -> DataFrame
         for batch in batches:
             places = np.array(batch.column("_p").to_pylist(), np.int64).reshape(-1, 2)
             inside = ((held.value[places >> 6] >> (places & 63)) & 1).all(1)
-            for part in slices(iter([batch.filter(pa.array(inside))])):
+            for part in slices(iter([batch.filter(pa.array(inside))]), size=SMALL_SLICE):
                 rows = [(set_id(s), packed(s)) for s in shingle_sets(part.column("text"))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
