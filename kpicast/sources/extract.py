@@ -12,9 +12,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from .. import session
 from ..functions.clean import is_active, text_id
 from ..names import ENTITY
 from ..operators.joins import dimension_lookup, spread_lookup
+from ..operators.membership import may_be_in
 from ..operators.topk import limited, top_ads, top_ads_per_account
 
 ACCOUNT_KEYS = ["account_id", "company_id", "traffic_source_id", "traffic_source_config_id"]
@@ -160,7 +162,9 @@ def _restrict(
 ) -> DataFrame:
     """Rows of the kept combinations of ids, with the ``carry`` columns of each.
     With a limit the few ads kept are broadcast first, which leaves little to
-    join; without one the rows are shuffled once."""
+    join. Without one the combinations are written, and a filter of fixed size made from
+    them drops nearly all other rows in the scan, so that only what is kept is shuffled
+    for the exact join."""
     if ad_limit > 0:
         small = limited(top_ads(entities, ad_limit), ad_limit)
         rows = rows.join(small, "ad_id", "left_semi")
@@ -169,6 +173,9 @@ def _restrict(
         largest = top_ads_per_account(entities, ads_per_account).select("account_id", "ad_id")
         entities = entities.join(largest, ["account_id", "ad_id"], "left_semi")
     kept = entities.select(*keys, *carry)
+    if ad_limit <= 0:
+        kept = session.written(kept, "kept")
+        rows = may_be_in(rows, kept, keys)
     # The keys hold the ad, so no key is hot beyond one ad's rows, which adaptive
     # execution splits if need be.
     return rows.join(kept, keys, "inner" if carry else "left_semi")
