@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions.text import add, label_case
 from ..names import ENTITY
-from .joins import spread_lookup
+from .. import session
+from .joins import measured_lookup, spread_lookup
 
 LEVELS = ["adset", "campaign", "account"]
 INSUFFICIENT = "insufficient_history"
@@ -14,7 +15,7 @@ INSUFFICIENT = "insufficient_history"
 
 def peer_totals(frame: DataFrame, values: dict[str, str], within: list[str]) -> DataFrame:
     """Sum and count of the positive values per adset, with those of its campaign
-    and account beside them: one row per adset.
+    and account beside them, and ``n``, its rows: one row per adset.
 
     Each level is summed from the level below it, so an account that holds a
     third of all ads is never gathered in one place."""
@@ -23,6 +24,7 @@ def peer_totals(frame: DataFrame, values: dict[str, str], within: list[str]) ->
     for name, column in values.items():
         parts[f"{name}_adset_sum"] = f"sum(CASE WHEN {column} > 0 THEN {column} ELSE 0D END)"
         parts[f"{name}_adset_n"] = f"count_if({column} > 0)"
+    parts["n"] = "count(*)"
     adsets = frame.groupBy(*keys).agg(*[F.expr(sql).alias(n) for n, sql in parts.items()])
     campaigns = _sum_up(adsets, [*within, *ENTITY[:2]], values, "adset", "campaign")
     accounts = _sum_up(campaigns, [*within, ENTITY[0]], values, "campaign", "account")
@@ -48,10 +50,15 @@ def peer_means(
 ) -> DataFrame:
     """Mean of the other ads' positive values in the same adset, campaign and
     account, as ``<name>_<level>_peer``; null with fewer than ``min_peers``
-    others. ``within`` adds keys the peers must share, such as the day."""
-    within = within or []
-    totals = peer_totals(frame, values, within)
-    joined = spread_lookup(frame, totals, [*within, *ENTITY[:3]], ["ad_id"])
+    others. ``within`` adds keys the peers must share, such as the day.
+
+    The frame is written once, as its features are read for the totals and again for the
+    means; how many rows an adset has is known from the totals, so only adsets that hold
+    more than their share are spread over tasks."""
+    within, on = within or [], [*(within or []), *ENTITY[:3]]
+    frame = session.written(frame, "features")
+    totals = session.written(peer_totals(frame, values, within), "peer-totals")
+    joined = measured_lookup(frame, totals.drop("n"), totals.select(*on, "n"), on, ["ad_id"])
     means, used = {}, []
     for name, column in values.items():
         own = f"CASE WHEN {column} > 0 THEN {column} ELSE 0D END"
