@@ -8,9 +8,11 @@ and fitted values differ from theirs.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+from dataclasses import dataclass, field, replace
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.regression import (
@@ -164,6 +166,10 @@ def is_ready(spark: SparkSession, path: str) -> bool:
     return bool(row and row["ready"])
 
 
+class NotReady(Exception):
+    """A model folder that is not to be served: never finished, or of sampled ads."""
+
+
 @dataclass(frozen=True)
 class Routing:
     """Model folder per target; targets may come from different folders."""
@@ -174,6 +180,11 @@ class Routing:
     def single(cls, path: str) -> Routing:
         return cls({m: path for m in METRICS})
 
+    def require_ready(self, spark: SparkSession) -> None:
+        for path in sorted(set(self.folders.values())):
+            if not is_ready(spark, path):
+                raise NotReady(path)
+
 
 def predict_targets(
     frame: DataFrame,
@@ -214,80 +225,162 @@ def _finite_or_zero(frame: DataFrame, name: str) -> Column:
     return finite(F.col(name)) if name in frame.columns else F.lit(0.0)
 
 
-def candidates(target: str, trees: TreeParams) -> dict[str, tuple[str, object]]:
-    """Objectives tried for a sparse target: name -> (scale, regressor)."""
-    absolute = ("log", [boosted_trees(trees, "absolute", False)])
-    scaler = StandardScaler(inputCol=VECTOR, outputCol="scaled")
-    common = dict(featuresCol="scaled", labelCol="label", predictionCol="raw")
-    huber = ("log", [scaler, LinearRegression(loss="huber", regParam=0.1, maxIter=50, **common)])
-    linear = dict(link="log", regParam=1.0, maxIter=25, **common)
-    if target == "tracker_conversions":
-        poisson = GeneralizedLinearRegression(family="poisson", **linear)
-        return {
-            "log_l1": absolute,
-            "log_huber": huber,
-            "poisson_raw": ("raw", [scaler, poisson]),
-        }
-    del linear["link"]
-    tweedie = GeneralizedLinearRegression(
-        family="tweedie", variancePower=1.3, linkPower=0.0, **linear
-    )
-    return {"log_l1": absolute, "log_huber": huber, "tweedie_raw": ("raw", [scaler, tweedie])}
+@dataclass(frozen=True)
+class Candidate:
+    """An objective with settings of its own, tried for one target. ``scale`` is that of
+    the label; ``params`` are those of :class:`TreeParams` or of the linear model."""
+
+    name: str
+    objective: str
+    scale: str
+    params: dict = field(default_factory=dict)
+
+    def limited(self, iterations: int | None) -> Candidate:
+        if iterations is None or self.objective != "absolute":
+            return self
+        return replace(self, params=self.params | {"iterations": iterations})
+
+    def stages(self) -> list:
+        """Trees stop when the validation part gets no better."""
+        if self.objective == "absolute":
+            trees = boosted_trees(TreeParams(**self.params), "absolute", False)
+            return [trees.setValidationIndicatorCol("holdout")]
+        scaler = StandardScaler(inputCol=VECTOR, outputCol="scaled")
+        common = dict(featuresCol="scaled", labelCol="label", predictionCol="raw") | self.params
+        if self.objective == "huber":
+            return [scaler, LinearRegression(loss="huber", **common)]
+        if self.objective == "poisson":
+            return [scaler, GeneralizedLinearRegression(family="poisson", link="log", **common)]
+        return [scaler, GeneralizedLinearRegression(family="tweedie", linkPower=0.0, **common)]
+
+
+def _grid(name: str, objective: str, scale: str, *settings: dict) -> tuple[Candidate, ...]:
+    return tuple(Candidate(f"{name}_{n}", objective, scale, s) for n, s in enumerate(settings, 1))
+
+
+# Settings per objective; the first of each tree grid are fixed values.
+SEARCH = {
+    "tracker_conversions": (
+        *_grid(
+            "log_l1", "absolute", "log",
+            dict(iterations=1000, depth=5, step=0.025, min_rows=70, subsample=0.90),
+            dict(iterations=500, depth=4, step=0.05, min_rows=140, subsample=0.90),
+        ),
+        *_grid(
+            "log_huber", "huber", "log",
+            dict(regParam=0.1, epsilon=1.35, maxIter=50),
+            dict(regParam=0.6, epsilon=1.85, maxIter=50),
+        ),
+        *_grid(
+            "poisson_raw", "poisson", "raw",
+            dict(regParam=1.0, maxIter=25),
+            dict(regParam=0.5, maxIter=25),
+        ),
+    ),
+    "tracker_revenue": (
+        *_grid(
+            "log_l1", "absolute", "log",
+            dict(iterations=1100, depth=5, step=0.022, min_rows=90, subsample=0.88),
+            dict(iterations=550, depth=4, step=0.044, min_rows=180, subsample=0.88),
+        ),
+        *_grid(
+            "log_huber", "huber", "log",
+            dict(regParam=0.1, epsilon=1.35, maxIter=50),
+            dict(regParam=0.85, epsilon=1.85, maxIter=50),
+        ),
+        *_grid(
+            "tweedie_raw", "tweedie", "raw",
+            dict(regParam=1.0, maxIter=25, variancePower=1.3),
+            dict(regParam=0.75, maxIter=25, variancePower=1.6),
+        ),
+    ),
+}
+# Fits that run side by side; each keeps one model of bounded size in the driver.
+SEARCH_FITS = 3
 
 
 def objective_search(
     samples: DataFrame,
     features: list[str],
     targets: dict[str, str],
-    trees: TreeParams,
     path: str,
+    grid: dict[str, tuple[Candidate, ...]] = SEARCH,
+    fits: int = SEARCH_FITS,
+    metadata: dict | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Tries every candidate objective per target, keeps the one with the best
-    validation R2, saves it, and returns the metrics of all candidates and the
-    test metrics of the chosen ones."""
+    """Tries every candidate per target, keeps the one with the best validation R2 (ties:
+    its name), saves it with its settings, and returns the metrics of all candidates and
+    the test metrics of the chosen ones. At most ``fits`` candidates are fitted at a time;
+    their jobs share the assembled rows."""
     spark = samples.sparkSession
-    rows = assemble(samples, features, ["split", *targets.values()]).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    tables, fitted, chosen = [], {}, []
+    kept = ["split", (F.col("split") == "valid").alias("holdout"), *targets.values()]
+    rows = assemble(samples, features, kept).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def tried(m: str, candidate: Candidate):
+        target = targets[m]
+        value = F.greatest(F.col(target), F.lit(0.0))
+        label = F.log1p(value) if candidate.scale == "log" else value
+        used = F.col("split").isin("train", "valid") if candidate.objective == "absolute" else F.col("split") == "train"
+        model = Pipeline(stages=candidate.stages()).fit(rows.filter(used).withColumn("label", label))
+        scored = model.transform(rows.filter(F.col("split") != "train"))
+        predicted = (
+            from_log(F.col("raw"), 20.0)
+            if candidate.scale == "log"
+            else F.greatest(F.col("raw"), F.lit(0.0))
+        )
+        table = regression_metrics(
+            scored.withColumn("predicted", predicted), ["split"], target, "predicted"
+        )
+        # A handful of rows: two splits per candidate.
+        return model, [
+            (target, candidate.name, r["split"], *[None if r[c] is None else float(r[c]) for c in _SCORES])
+            for r in table.collect()
+        ]
+
+    tasks = {(targets[m], c.name): (m, c) for m in targets for c in grid[m]}
     try:
-        for m, target in targets.items():
-            for name, (scale, stages) in candidates(m, trees).items():
-                value = F.greatest(F.col(target), F.lit(0.0))
-                label = F.log1p(value) if scale == "log" else value
-                train = rows.filter(F.col("split") == "train").withColumn("label", label)
-                model = Pipeline(stages=stages).fit(train)
-                scored = model.transform(rows.filter(F.col("split") != "train"))
-                predicted = (
-                    from_log(F.col("raw"), 20.0)
-                    if scale == "log"
-                    else F.greatest(F.col("raw"), F.lit(0.0))
-                )
-                metrics = regression_metrics(
-                    scored.withColumn("predicted", predicted), ["split"], target, "predicted"
-                )
-                # A handful of rows: two splits per candidate.
-                for row in metrics.collect():
-                    tables.append((target, name, row["split"], *[float(row[c]) for c in _SCORES]))
-                fitted[target, name] = (scale, model)
+        with ThreadPool(max(1, min(fits, len(tasks)))) as pool:
+            # Pinned threads: the fits keep the session's job group and settings.
+            run = inheritable_thread_target(spark)(lambda task: tried(*task))
+            found = dict(zip(tasks, pool.map(run, tasks.values(), chunksize=1)))
     finally:
         rows.unpersist()
     schema = "target string, candidate string, split string, " + ", ".join(
         f"{c} double" for c in _SCORES
     )
-    table = spark.createDataFrame(tables, schema)
+    table = spark.createDataFrame([row for _, scores in found.values() for row in scores], schema)
     best = best_models(table.filter(F.col("split") == "valid"), ["target"], label="candidate")
-    settings = {}
+    settings, chosen = dict(metadata or {}), []
     for row in best.select("target", "candidate").collect():
-        scale, model = fitted[row["target"], row["candidate"]]
-        model.write().overwrite().save(f"{path}/{row['target']}")
-        settings[f"scale.{row['target']}"] = scale
-        settings[f"candidate.{row['target']}"] = row["candidate"]
-        chosen.append((row["target"], row["candidate"]))
+        target, name = row["target"], row["candidate"]
+        model, candidate = found[target, name][0], tasks[target, name][1]
+        model.write().overwrite().save(f"{path}/{target}")
+        settings |= {
+            f"scale.{target}": candidate.scale,
+            f"candidate.{target}": name,
+            f"objective.{target}": candidate.objective,
+            f"params.{target}": json.dumps(candidate.params, sort_keys=True),
+        }
+        if candidate.objective == "absolute":
+            settings[f"trees.{target}"] = model.stages[-1].getNumTrees
+        chosen.append((target, name))
     save_metadata(spark, path, features, list(targets.values()), settings)
     picks = spark.createDataFrame(chosen, "target string, candidate string")
     selected = table.filter(F.col("split") == "test").join(picks, ["target", "candidate"])
     return table, selected.withColumn("split", F.lit("selected_test"))
 
 
+def chosen_candidates(spark: SparkSession, path: str) -> dict[str, Candidate]:
+    """The candidate kept per target column, with its settings, as its folder says."""
+    info = read_metadata(spark, path)
+    said = info["settings"]
+    return {
+        t: Candidate(
+            said[f"candidate.{t}"], said[f"objective.{t}"], said[f"scale.{t}"],
+            json.loads(said[f"params.{t}"]),
+        )
+        for t in info["target_cols"]
+    }
+
+
 _SCORES = ["rows", "mae", "rmse", "r2", "wmape", "bias"]

@@ -167,13 +167,14 @@ def run_training_6h(
     search_iterations: int | None = None,
     train_end=None,
     valid_end=None,
+    sampled: bool = False,
     **options,
 ) -> DataFrame:
     """Trains the hourly models and searches the objective of the sparse targets.
     Writes the metrics of both, also by anchor hour, and the best model per
     target, which is returned."""
     features = session.written(train.hourly_samples(reports, rules), "samples")
-    scored = train.train_6h(features, model_path, train_end, valid_end, **options)
+    scored = train.train_6h(features, model_path, train_end, valid_end, sampled=sampled, **options)
     pairs = {f"target_{m}": (f"target_{m}", f"pred_6h_{m}") for m in METRICS}
     held_out = scored.filter(F.col("split") != "train")
     long = session.written(
@@ -186,7 +187,7 @@ def run_training_6h(
     )
     sinks.write_report(by_anchor, f"{report_path}/anchor_metrics")
     table, selected = train.search_6h(
-        features, sparse_model_path, search_iterations, train_end, valid_end
+        features, sparse_model_path, search_iterations, train_end, valid_end, sampled=sampled
     )
     sinks.write_report(table, f"{report_path}/search_metrics")
     labels = {f"target_{m}": m for m in METRICS}

@@ -27,22 +27,23 @@ def recent_mean(features: DataFrame) -> DataFrame:
 
 
 def model_6h(routing: models.Routing) -> Predictor:
-    return lambda frame: models.predict_targets(
-        frame,
-        routing,
-        {m: f"target_{m}" for m in METRICS},
-        {m: f"pred_6h_{m}" for m in METRICS},
-        exponent_bound=20.0,
-    )
+    """Predictor from stored models; a folder that is not ready is refused."""
+    return _served(routing, "target_", "pred_6h_", 20.0)
 
 
 def model_24h(routing: models.Routing) -> Predictor:
-    return lambda frame: models.predict_targets(
-        frame,
-        routing,
-        {m: f"target_24h_{m}" for m in METRICS},
-        {m: f"pred_24h_{m}" for m in METRICS},
-    )
+    """Predictor from stored models; a folder that is not ready is refused."""
+    return _served(routing, "target_24h_", "pred_24h_", None)
+
+
+def _served(routing: models.Routing, target: str, output: str, bound: float | None) -> Predictor:
+    targets, outputs = ({m: f"{prefix}{m}" for m in METRICS} for prefix in (target, output))
+
+    def predict(frame: DataFrame) -> DataFrame:
+        routing.require_ready(frame.sparkSession)
+        return models.predict_targets(frame, routing, targets, outputs, bound)
+
+    return predict
 
 
 def latest_features_6h(hourly_rows: DataFrame) -> DataFrame:

@@ -128,6 +128,8 @@ def train_24h(
 
     ``feature_rows`` (see :func:`daily_samples`) should be a written table: every
     fit reads it again."""
+    # Not served while its models are of two fits.
+    models.mark_ready(feature_rows.sparkSession, path, sampled=True)
     rows = samples.time_split(feature_rows, "local_date", train_end, valid_end, on_empty="error")
     train = rows.filter(F.col("split") == "train")
     models.fit_targets(
@@ -156,10 +158,12 @@ def train_6h(
     iterations: int | None = None,
     trees: dict = models.HOURLY_TREES,
     on_empty: str = "error",
+    sampled: bool = False,
 ) -> DataFrame:
     """Fits the five hourly models on the absolute log error with early stopping
     and returns all rows with split and predictions. Given end times that leave a part
     without rows stop the job, unless ``on_empty="fallback"`` asks for the usual ones."""
+    models.mark_ready(feature_rows.sparkSession, path, sampled=True)
     rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True, on_empty)
     models.fit_targets(
         rows,
@@ -171,6 +175,7 @@ def train_6h(
         early_stop=True,
         metadata={"basis": "hourly_6h", **used_cutoffs(rows, "anchor_ts", train_end, valid_end)},
     )
+    models.mark_ready(feature_rows.sparkSession, path, sampled)
     return models.predict_targets(
         rows, models.Routing.single(path), TARGETS_6H, {m: f"pred_6h_{m}" for m in METRICS}
     )
@@ -183,14 +188,20 @@ def search_6h(
     train_end=None,
     valid_end=None,
     on_empty: str = "error",
+    sampled: bool = False,
+    grid: dict = models.SEARCH,
 ) -> tuple[DataFrame, DataFrame]:
     """Objective search for conversions and revenue; ``iterations`` shortens the trees'
     fit, for tests. ``on_empty`` is that of :func:`train_6h`."""
+    models.mark_ready(feature_rows.sparkSession, path, sampled=True)
     rows = samples.time_split(feature_rows, "anchor_ts", train_end, valid_end, True, on_empty)
-    return models.objective_search(
+    found = models.objective_search(
         rows,
         hourly.hourly_feature_names(),
         {m: TARGETS_6H[m] for m in SPARSE},
-        _limited(models.HOURLY_TREES, iterations)["tracker_revenue"],
         path,
+        {m: tuple(c.limited(iterations) for c in grid[m]) for m in SPARSE},
+        metadata={"basis": "search_6h", **used_cutoffs(rows, "anchor_ts", train_end, valid_end)},
     )
+    models.mark_ready(feature_rows.sparkSession, path, sampled)
+    return found

@@ -608,6 +608,39 @@ def _extract_statements() -> dict[str, str]:
         f"SELECT {big('h', 'hour_idx')}, {AD}, {r('spend', 'spend')}, "
         f"{r('lag(spend) OVER (PARTITION BY u ORDER BY h)', 'previous_spend')} FROM hr",
     )
+    late = everyone.replace("2024-01-28", "2024-03-10").replace("INTERVAL 21 DAY", "INTERVAL 90 DAY")
+    out["extract_attempts"] = with_(
+        [*DAYS, late],
+        f"""SELECT {day('date', 'date')}, {AD}, {r('spend', 'spend')}, CAST(90 AS BIGINT) AS lookback_days,
+ CAST(2 AS BIGINT) AS ads_per_account FROM act WHERE u IN (SELECT u FROM act GROUP BY u
+ QUALIFY row_number() OVER (PARTITION BY u % 5 ORDER BY sum(spend) DESC, max(date) DESC,
+ CAST(u AS VARCHAR)) <= 2)""",
+    )
+    tenants = (("a", "tracker_conversions", "tracker_revenue"), ("b", "inline_link_clicks", "spend"))
+    out["tenant_columns"] = with_(
+        DAYS,
+        " UNION ALL ".join(
+            f"SELECT {AD}, '{t}' AS tenant, {big(f'sum({c})', 'conversions')}, {r(f'sum({v})', 'revenue')} "
+            "FROM dd GROUP BY u"
+            for t, c, v in tenants
+        ),
+    )
+    out["report_round_trip"] = with_(
+        DAYS,
+        " UNION ALL ".join(
+            f"SELECT '{f}' AS format, {AD}, {r('sum(spend)', 'full_cum_spend')} FROM dd GROUP BY u"
+            for f in ("parquet", "csv")
+        ),
+    )
+    spend = f"{day('d', 'local_date')}, {AD}, {r('spend', 'spend')}"
+    out["feature_cache"] = with_(
+        DAYS,
+        f"SELECT {spend}, scope FROM dd, (VALUES ('even'), ('rebuilt')) AS t(scope) WHERE u % 2 = 0",
+    )
+    out["scoring_cap"] = with_(
+        [*DAYS, _top("(SELECT *, d AS date FROM dd)", 10)],
+        f"SELECT {spend} FROM dd WHERE u IN (SELECT u FROM top)",
+    )
     out["count_matching"] = (
         "SELECT count(*) AS count FROM orders WHERE o_orderstatus = 'F'"
     )
@@ -757,6 +790,29 @@ def _hourly_statements() -> dict[str, str]:
             + f" FROM st WHERE {_TRAIN}",
         ),
     }
+    split = """ts AS (SELECT list_sort(list(DISTINCT a)) AS t FROM st WHERE {w}),
+ n AS (SELECT t, CAST(floor(len(t) * 0.7) AS INT) AS i, CAST(floor(len(t) * 0.85) AS INT) AS j FROM ts),
+ cut AS (SELECT t[greatest(i, 1)] AS lo, t[least(greatest(j, i + 1), len(t))] AS hi FROM n),
+ part AS (SELECT st.*, CASE WHEN a <= lo THEN 'train' WHEN a <= hi THEN 'valid' ELSE 'test' END AS split
+ FROM st, cut WHERE {w})""".replace("{w}", _TRAIN)
+    parts = [*EVERY, split]
+    out["training_rows"] = with_(
+        parts,
+        f"""SELECT split, count(*) AS rows, {ts('make_timestamp(min(a) * 3600000000)', 'first_anchor')},
+ {ts('make_timestamp(max(a) * 3600000000)', 'last_anchor')}, {r('sum(target_tracker_revenue)', 'revenue')}
+ FROM part GROUP BY split""",
+    )
+    out["search_choice"] = with_(
+        parts,
+        """SELECT target, CAST(6 AS BIGINT) AS candidates, count(*) FILTER (split = 'valid') AS valid_rows,
+ count(*) FILTER (split = 'test') AS test_rows, 'true' AS same_settings, 'true' AS chosen_is_best
+ FROM part, (VALUES ('target_tracker_conversions'), ('target_tracker_revenue')) AS t(target) GROUP BY target""",
+    )
+    out["routing_checks"] = with_(
+        parts,
+        """SELECT split, count(*) AS rows, count(*) AS good, count(*) AS from_main, count(*) AS from_search
+ FROM part GROUP BY split""",
+    )
     made = dict(cal)
     for w in hourly.WINDOWS:
         made |= {f"{m}_avg_{w}h": f"{m}_sum_{w}h / {w}" for m in METRICS}
@@ -1011,6 +1067,7 @@ def _serving_statements() -> dict[str, str]:
     )
     out["schema_evolution"] = with_(stored, f"SELECT {', '.join(kept)}, {r(spend, 'result_spend')}, {ends} FROM rc")
     out["forecast_schema"] = _forecast_schema()
+    out["empty_forecast"] = f"SELECT *, CAST(0 AS BIGINT) AS rows FROM ({_forecast_schema()})"
     # The whole job: features from the last 18 days, counters from all of them.
     recent = """rd AS (SELECT * FROM dd WHERE d >= (SELECT max(d) FROM dd) - 18),
 l16 AS (SELECT * FROM rd QUALIFY row_number() OVER (PARTITION BY u ORDER BY d DESC) <= 16)"""

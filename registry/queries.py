@@ -11,11 +11,11 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession, Window, functions as F, types as T
 
-from kpicast import session
+from kpicast import config, session
 from kpicast.config import AnchorRules, GuardRules
 from kpicast.functions import clean, labels, ratios
 from kpicast.functions.text import add, case, pick
-from kpicast.names import ENTITY, KPIS, METRICS, SHORT
+from kpicast.names import ENTITY, KPIS, METRICS, SHORT, SPARSE
 from kpicast.operators import (
     calibration,
     daily,
@@ -29,7 +29,7 @@ from kpicast.operators import (
     samples,
     topk,
 )
-from kpicast.plans import score, train
+from kpicast.plans import jobs, score, train
 from kpicast.sources import clustered, extract, lens, points, readers, sinks
 
 KEYS = ["local_date", "timezone", *ENTITY]
@@ -292,6 +292,86 @@ def csv_by_name(spark, d):
     return readers.read_csv(spark, path, wanted)
 
 
+def extract_attempts(spark, d):
+    """Daily extract whose first attempt, a week before an anchor long after the facts,
+    finds nothing; what the second one was made with stands beside its rows."""
+    anchor = F.lit("2024-03-10 00:00:00").cast("timestamp")
+    facts, dims = lens.daily_facts(spark, d), lens.hierarchy(spark, d)
+
+    def one(days: int, limit: int) -> DataFrame:
+        return extract.extract_daily(facts, dims, anchor, days, ads_per_account=limit)
+
+    rows, used = readers.extract_with_fallback(one, attempts=((7, 5), (90, 2)))
+    made = {name: F.lit(value) for name, value in used.items()}
+    return rows.select("date", "ad_id", "spend").withColumns(made)
+
+
+def tenant_columns(spark, d):
+    """One table of facts read by two tenants that name their metrics differently."""
+    facts = lens.daily_facts(spark, d).filter(F.lower("entity_type") == "ad").withColumns(
+        {"conversions": F.col("inline_link_clicks"), "conversions_value": F.col("spend")}
+    )
+    out = []
+    for tenant in (config.tracker_tenant("a", "a_"), config.platform_tenant("b", "b_")):
+        tables = {tenant.table("daily_breakdown_kpis"): facts}
+        rows = readers.tenant_table(tables.__getitem__, tenant, "daily_breakdown_kpis")
+        out.append(
+            readers.tenant_metrics(rows, tenant, "24h").groupBy("ad_id").agg(
+                F.lit(tenant.name).alias("tenant"),
+                F.sum("tracker_conversions").alias("conversions"),
+                F.sum("tracker_revenue").alias("revenue"),
+            )
+        )
+    return out[0].unionByName(out[1])
+
+
+def report_round_trip(spark, d):
+    """A report written as parquet and CSV, replaced whole and then added to, read back."""
+    rows = session.written(rollup.lifetime_summary(_daily(spark, d)).select("ad_id", "full_cum_spend"), "report")
+    out, odd = [], F.col("ad_id").cast("int") % 2 == 1
+    for fmt in ("parquet", "csv"):
+        path = f"{session.shared_dir(spark)}/report-{uuid.uuid4().hex}"
+        sinks.write_report(rows, path, fmt)
+        sinks.write_report(rows.filter(odd), path, fmt)
+        sinks.write_report(rows.filter(~odd), path, fmt, mode="append")
+        read = spark.read.parquet(path) if fmt == "parquet" else spark.read.option("header", True).csv(path)
+        out.append(read.select(F.lit(fmt).alias("format"), "ad_id", F.col("full_cum_spend").cast("double")))
+    return out[0].unionByName(out[1])
+
+
+def feature_cache(spark, d):
+    """Two scopes cached under names of their own; a second job of a scope takes what is
+    stored, unless it is told to build anew."""
+    rows, out = _daily(spark, d).select("local_date", "ad_id", "spend"), []
+    root = f"{session.shared_dir(spark)}/cache-{uuid.uuid4().hex}"
+    for scope, part in {"all": rows, "even": rows.filter(F.col("ad_id").try_cast("int") % 2 == 0)}.items():
+        path = sinks.feature_cache_path(root, "24h", "2024012800", sinks.run_name(scope))
+        sinks.cached_features(spark, lambda part=part: part, path)
+        again = sinks.cached_features(spark, lambda: rows.filter("false"), path)
+        out.append(again.withColumn("scope", F.lit(scope)))
+    path = sinks.feature_cache_path(root, "24h", "2024012800", sinks.run_name("all"))
+    sinks.cached_features(spark, lambda: session.written(out[1].drop("scope"), "rebuilt"), path, reuse=False)
+    fresh = spark.read.parquet(path).withColumn("scope", F.lit("rebuilt"))
+    return out[1].unionByName(fresh)
+
+
+def scoring_cap(spark, d):
+    """All days of the ten largest ads by spend."""
+    return topk.keep_top_ads(_daily(spark, d), 10, "local_date").select("local_date", "ad_id", "spend")
+
+
+def empty_forecast(spark, d):
+    """A forecast of no ads, stored: all columns of a full one in order, and no row."""
+    none = score.score_24h(score.next_day_features(_daily(spark, d).filter("false"), None))
+    path = _forecast_table(spark)
+    sinks.write_report(sinks.forecast_rows(none, "24h"), path)
+    stored = spark.read.parquet(path)
+    fields = [(k, f.name, f.dataType.simpleString()) for k, f in enumerate(stored.schema)]
+    return spark.createDataFrame(fields, "place long, name string, type string").withColumn(
+        "rows", stored.agg(F.count(F.lit(1)).alias("n")).scalar()
+    )
+
+
 def log_transform(spark, d):
     orders = spark.read.parquet(f"{d}/orders.parquet").withColumn("logged", ratios.to_log(F.col("o_totalprice").cast("double")))
     return orders.select("o_orderkey", "logged", ratios.from_log(F.col("logged")).alias("back"))
@@ -906,18 +986,78 @@ def model_metadata(spark, d):
 
 def fit_predict_6h(spark, d):
     path = _models(spark)
-    rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
-    out = train.train_6h(rows, path, iterations=TEST_ROUNDS_6H)
+    out = train.train_6h(_hourly_samples(spark, d), path, iterations=TEST_ROUNDS_6H)
     return out.select("anchor_ts", "ad_id", "split", *[f"pred_6h_{m}" for m in METRICS])
 
 
+def _hourly_samples(spark, d):
+    return session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
+
+
 def objective_search(spark, d):
-    path = _models(spark)
-    rows = session.written(train.hourly_samples(lens.hourly_facts(spark, d), TRAIN_ANCHORS), "samples")
-    table, _ = train.search_6h(rows, path, iterations=TEST_ROUNDS_6H)
+    table, _ = train.search_6h(_hourly_samples(spark, d), _models(spark), iterations=TEST_ROUNDS_6H)
     return table
 
 
+def training_rows(spark, d):
+    """The hourly training rows per part of the split."""
+    rows = samples.time_split(_hourly_samples(spark, d), "anchor_ts", at_least_first=True)
+    return rows.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min("anchor_ts").alias("first_anchor"),
+        F.max("anchor_ts").alias("last_anchor"),
+        F.sum("target_tracker_revenue").alias("revenue"),
+    )
+
+
+def search_choice(spark, d):
+    """Per target the candidates tried, the rows they were judged by, and whether the one
+    its folder names is that with the best validation R2, with the settings it was tried with."""
+    path = _models(spark)
+    table, _ = train.search_6h(_hourly_samples(spark, d), path, iterations=TEST_ROUNDS_6H)
+    kept, tried = models.chosen_candidates(spark, path), {
+        (f"target_{m}", c.name): c.limited(TEST_ROUNDS_6H) for m, grid in models.SEARCH.items() for c in grid
+    }
+    rows = [(t, c.name, c == tried[t, c.name]) for t, c in kept.items()]
+    chosen = spark.createDataFrame(rows, "target string, chosen string, same_settings boolean")
+    valid = F.col("split") == "valid"
+    judged = table.groupBy("target").agg(
+        F.countDistinct("candidate").alias("candidates"),
+        F.max(F.when(valid, F.col("rows"))).cast("long").alias("valid_rows"),
+        F.max(F.when(~valid, F.col("rows"))).cast("long").alias("test_rows"),
+        F.max(F.when(valid, F.col("r2"))).alias("best_r2"),
+    )
+    own = table.filter(valid).select("target", F.col("candidate").alias("chosen"), "r2")
+    return judged.join(chosen, "target").join(own, ["target", "chosen"]).select(
+        "target", "candidates", "valid_rows", "test_rows", "same_settings",
+        (F.col("r2") == F.col("best_r2")).alias("chosen_is_best"),
+    )
+
+
+def routing_checks(spark, d):
+    """Sparse targets from the search's folder and the others from the main one, both read
+    again: rows with finite predictions, and rows that each folder alone predicts alike."""
+    rows, main, sparse = _hourly_samples(spark, d), _models(spark), _models(spark)
+    fitted = session.written(train.train_6h(rows, main, iterations=TEST_ROUNDS_6H), "fitted")
+    train.search_6h(rows, sparse, iterations=TEST_ROUNDS_6H)
+    routing = jobs.routing_6h(main, sparse)
+    names = {m: f"pred_6h_{m}" for m in METRICS}
+    targets = {m: f"target_{m}" for m in METRICS}
+    routed = score.model_6h(routing)(fitted.withColumnsRenamed({n: f"main_{n}" for n in names.values()}))
+    only = models.Routing({m: sparse for m in SPARSE})
+    alone = {m: f"alone_{m}" for m in SPARSE}
+    routed = models.predict_targets(routed, only, targets, alone, exponent_bound=20.0)
+    good = " AND ".join(f"{n} >= 0 AND {n} < double('infinity')" for n in names.values())
+    dense = " AND ".join(f"abs({names[m]} - main_{names[m]}) <= 1e-9 * (1 + {names[m]})" for m in METRICS if m not in SPARSE)
+    thin = " AND ".join(f"{names[m]} = {alone[m]}" for m in SPARSE)
+    return routed.groupBy("split").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.expr(good)).alias("good"),
+        F.count_if(F.expr(dense)).alias("from_main"),
+        F.count_if(F.expr(thin)).alias("from_search"),
+    )
+
+
 # -- points and documents ----------------------------------------------------
 
 
@@ -1064,6 +1204,15 @@ _NAMES = [
     "forecast_append",
     "schema_evolution",
     "clustered_hours",
+    "extract_attempts",
+    "tenant_columns",
+    "report_round_trip",
+    "feature_cache",
+    "scoring_cap",
+    "empty_forecast",
+    "training_rows",
+    "search_choice",
+    "routing_checks",
 ]
 
 

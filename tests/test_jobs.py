@@ -154,11 +154,13 @@ def test_models_reload_and_route(spark, tmp_path):
     keys = ["anchor_idx", "ad_id", *[f"pred_6h_{m}" for m in METRICS]]
     assert sorted(first.select(*keys).collect()) == sorted(again.select(*keys).collect())
     assert models.read_metadata(spark, path)["feature_cols"] == hourly.hourly_feature_names()
-    assert not models.is_ready(spark, path)
-    models.mark_ready(spark, path, sampled=False)
     assert models.is_ready(spark, path)
     models.mark_ready(spark, path, sampled=True)
     assert not models.is_ready(spark, path)
+    with pytest.raises(models.NotReady):
+        score.model_6h(routing)(rows)
+    models.mark_ready(spark, path, sampled=False)
+    assert models.is_ready(spark, path)
     served = score.score_6h(score.latest_features_6h(rollup.hourly_rollup(rollup.clean_hourly(lens.hourly_facts(spark, SF)))), score.model_6h(routing))
     assert served.count() == 15 and served.filter("pred_6h_spend < 0").count() == 0
 
