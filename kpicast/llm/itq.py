@@ -4,7 +4,11 @@ A rotation of the principal axes is learned so that the signs of the rotated vec
 lose little: signs and rotation are fitted in turns. The code of a vector is cut into
 ``TABLES`` substrings and each is a table. By the pigeonhole rule vectors that differ in
 fewer bits than there are tables share a bucket in one of them, and most that differ in
-a few more do. Inside a bucket all vectors are compared by exact cosine.
+a few more do. Where pairs at the edge differ in many bits (vectors around a common
+mean), the bits are cut in further orders, each with tables of its own, until sampled
+pairs at the edge share a bucket as often as asked for. Inside a bucket whole codes are compared by Hamming distance; what lies
+within the radius is reranked by exact cosine of the original vectors. The radius is the
+largest distance seen among sampled pairs made to lie exactly at the cosine asked for.
 
 Full buckets are cut into blocks and pairs of blocks, each the work of one task, so a
 label or a group of copies that holds a third of all rows is spread. Tasks return
@@ -14,7 +18,7 @@ counts and spanning links of what they find, not pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,19 +34,24 @@ BITS, TABLES, ROUNDS = 64, 8, 50
 MAX_SAMPLE = 8192
 BLOCK = 1024
 SHARD_ROWS = 16_384
+# Share of sampled pairs at the edge that have to meet, and cuts tried for it.
+RECALL, MAX_CUTS = 0.97, 6
 
 
 @dataclass
 class Codes:
     centre: np.ndarray
     turn: np.ndarray  # dimension x bits: principal axes and rotation
+    orders: tuple[np.ndarray, ...] = ()  # of the bits in further cuts
 
     def bits(self, vectors: np.ndarray) -> np.ndarray:
         return (vectors - self.centre) @ self.turn > 0
 
     def substrings(self, vectors: np.ndarray, tables: int = TABLES) -> np.ndarray:
-        """(rows, tables) numbers of at most 8 bits for 64 bits and 8 tables."""
-        parts = np.array_split(self.bits(vectors), tables, axis=1)
+        """(rows, tables of all cuts) numbers of at most 8 bits for 64 bits and 8 tables."""
+        bits = self.bits(vectors)
+        cuts = [bits, *(bits[:, order] for order in self.orders)]
+        parts = [p for cut in cuts for p in np.array_split(cut, tables, axis=1)]
         return np.stack([p @ (1 << np.arange(p.shape[1])) for p in parts], 1).astype(np.int64)
 
 
@@ -62,6 +71,51 @@ def learn(vectors: np.ndarray, bits: int = BITS, rounds: int = ROUNDS, seed: int
     return Codes(centre, axes @ turn)
 
 
+def packed(substrings: np.ndarray) -> np.ndarray:
+    """One 64-bit number per row of 8-bit substrings."""
+    shifts = np.uint64(8) * np.arange(substrings.shape[1], dtype=np.uint64)
+    return np.bitwise_or.reduce(substrings.astype(np.uint64) << shifts, axis=1)
+
+
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Hamming distances of all packed codes of ``a`` to all of ``b``."""
+    return np.bitwise_count(a[:, None] ^ b[None, :])
+
+
+def edge_pairs(vectors: np.ndarray, least: float, seed: int = 6) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Unit vectors and the same turned away to cosine ``least``: towards another vector,
+    the way the data spread, and in any direction."""
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    draw = np.random.default_rng(seed)
+    out = []
+    for towards in (unit[draw.permutation(len(unit))], draw.standard_normal(unit.shape)):
+        aside = towards - (towards * unit).sum(1, keepdims=True) * unit
+        length = np.linalg.norm(aside, axis=1, keepdims=True)
+        apart = length[:, 0] > 1e-9
+        if apart.any():
+            turned = least * unit[apart] + np.sqrt(1 - least**2) * aside[apart] / length[apart]
+            out.append((unit[apart], turned))
+    return out
+
+
+def fit_tables(
+    codes: Codes, vectors: np.ndarray, least: float, recall: float = RECALL, most: int = MAX_CUTS, seed: int = 6
+) -> tuple[Codes, int]:
+    """``codes`` with as many cuts as pairs at the edge need, and the radius that holds
+    all of them."""
+    pairs = edge_pairs(vectors, least)
+    draw = np.random.default_rng(seed)
+
+    def met() -> float:
+        shares = [(codes.substrings(a) == codes.substrings(b)).any(1).mean() for a, b in pairs]
+        return min(shares, default=1.0)
+
+    while len(codes.orders) + 1 < most and met() < recall:
+        codes = replace(codes, orders=(*codes.orders, draw.permutation(codes.turn.shape[1])))
+    apart = [int((codes.bits(a) != codes.bits(b)).sum(1).max()) for a, b in pairs]
+    return codes, max(apart, default=0)
+
+
 def _spanning(n: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, int]]:
     """Links that join what ``pairs`` of places join: one per place at most."""
     root = np.arange(n)
@@ -76,13 +130,14 @@ def _spanning(n: int, pairs: tuple[np.ndarray, np.ndarray]) -> list[tuple[int, i
         root = least
 
 
-def _compare(group: pd.DataFrame, least: float) -> pd.DataFrame:
+def _compare(group: pd.DataFrame, least: float, radius: int) -> pd.DataFrame:
     """Rows (vec_id, n_links, other): counts of new links by vector, and spanning links
     with n_links 0. A pair counts in the first table in which it shares a bucket."""
     ids = group["vec_id"].to_numpy(np.int64)
     unit = np.stack(group["vec"].to_list()).astype(float)
     unit /= np.linalg.norm(unit, axis=1, keepdims=True)
     codes = np.stack(group["codes"].to_list()).astype(np.int64)
+    whole = packed(codes[:, :TABLES])
     block = group["own"].to_numpy()
     counts = np.zeros(len(ids), np.int64)
     links: set[tuple[int, int]] = set()
@@ -94,10 +149,13 @@ def _compare(group: pd.DataFrame, least: float) -> pd.DataFrame:
             a, b = at[block[at] == i], at[block[at] == j]
         if not len(a) or not len(b):
             continue
-        near = unit[a] @ unit[b].T >= least
+        close = distances(whole[a], whole[b]) <= radius
         if i == j:
-            near = np.triu(near, 1)
-        x, y = np.nonzero(near)
+            close = np.triu(close, 1)
+        # Only rows and columns with a candidate are reranked.
+        rows, columns = close.any(1), close.any(0)
+        a, b, close = a[rows], b[columns], close[rows][:, columns]
+        x, y = np.nonzero(close & (unit[a] @ unit[b].T >= least))
         if not len(x):
             continue
         x, y = a[x], b[y]
@@ -122,7 +180,8 @@ def links(rows: DataFrame, least: float = LEAST, max_sample: int = MAX_SAMPLE) -
     fitted = sample(rows, max_sample)
     if not len(fitted):
         return None
-    codes = learn(fitted)
+    codes, radius = fit_tables(learn(fitted), fitted, least)
+    tables = TABLES * (1 + len(codes.orders))
 
     def coded(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
@@ -142,11 +201,11 @@ def links(rows: DataFrame, least: float = LEAST, max_sample: int = MAX_SAMPLE) -
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("i", F.least("own", "with")).withColumn("j", F.greatest("own", "with"))
     )
-    shards = n_shards(rows.sparkSession, TABLES * found.count(), SHARD_ROWS)
+    shards = n_shards(rows.sparkSession, tables * found.count(), SHARD_ROWS)
     shard = F.pmod(F.xxhash64(*bucket, "i", "j"), F.lit(shards)).cast("int")
     dealt = paired.withColumn("shard", shard).select("shard", "vec_id", "vec", "codes", *bucket, "own", "i", "j")
     return dealt.groupBy("shard").applyInPandas(
-        lambda group: _compare(group, least), "vec_id long, n_links long, other long"
+        lambda group: _compare(group, least, radius), "vec_id long, n_links long, other long"
     )
 
 
