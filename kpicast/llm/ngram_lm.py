@@ -486,10 +486,17 @@ def _word_counts(words: Words, ids: np.ndarray) -> np.ndarray:
     return Grams.count(words, ids)
 
 
+def _require_room(count: int, bits: int, what: str) -> None:
+    """Numbers below ``count`` have to fit ``bits`` bits of a 64-bit key."""
+    if count > 1 << bits:
+        raise OverflowError(f"{count} distinct {what} are more than a key of {bits} bits can tell apart")
+
+
 def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     """Model of the texts of ``docs`` (null counts as empty). Counts cover all rows;
     repeated rows count as often as they are there; an empty table gives a model in
-    which every word is unseen."""
+    which every word is unseen. More than 2^31 distinct words, or 2^32 bigrams below a
+    further level, stop the job: their keys would not be distinct."""
     folder = f"{shared_dir(docs.sparkSession)}/lm-{uuid.uuid4().hex}"
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = n_shards(docs.sparkSession, size, SHARD_BYTES)
@@ -498,6 +505,7 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
         F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
         F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
     ).first()
+    _require_room(distinct, ID_BITS, "words")
     words = _segments(counts, distinct, f"{folder}/1", Words, _build_words, ["k", "c"])
     discount = once / (once + 2 * twice) if once and twice else 0.5
     model = Model(words, [], total, distinct, discount)
@@ -523,10 +531,13 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
         if n > order or not model.distinct:
             break
         kept = written(_counted(docs, keys, shards, min_count), f"grams-{n}")
+        size = kept.count()
+        if n < order:
+            _require_room(size, 63 - ID_BITS, f"{n}-grams")
         discount = _discount(kept)
         rows = _with_context(kept, model, n, discount)
         build = partial(_build_grams, discount=discount)
-        model.grams = [*model.grams, _segments(rows, kept.count(), f"{folder}/{n}", Grams, build, ["k", "c", "h", "s"])]
+        model.grams = [*model.grams, _segments(rows, size, f"{folder}/{n}", Grams, build, ["k", "c", "h", "s"])]
     return model
 
 

@@ -2,9 +2,10 @@
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
-from kpicast.llm import crf, line_dedup, partenum, pstable
+from kpicast.llm import crf, line_dedup, ngram_lm, partenum, pstable
 from kpicast.llm.common import BATCH_BYTES
 
 
@@ -49,3 +50,12 @@ def test_vectors_of_other_lengths_take_no_part(spark):
     found = pstable.search(rows, rows.filter("vec_id % 50 = 0"), pstable.fit(rows)).collect()
     assert {r["query_id"] for r in found} == {0, 50} and len(found) == 20
     assert all(r["vec_id"] < 60 for r in found)
+
+
+def test_keys_that_would_wrap_are_refused():
+    top = (1 << 63 - ngram_lm.ID_BITS) - 1
+    key = np.array([top], np.int64) << ngram_lm.ID_BITS | ngram_lm._LOW
+    assert key.view(np.uint64)[0] >> np.uint64(ngram_lm.ID_BITS) == top
+    ngram_lm._require_room(top + 1, 63 - ngram_lm.ID_BITS, "2-grams")
+    with pytest.raises(OverflowError, match="2-grams"):
+        ngram_lm._require_room(top + 2, 63 - ngram_lm.ID_BITS, "2-grams")
