@@ -18,8 +18,10 @@ where either is none or those met once are left out. A
 word seen in training has (c - D1) / N, and all unseen words together the rest, D1 V / N.
 Both factors are quantised to 8 bits with a code book per segment.
 
-A level is a set of segment files in the shared folder, each a range of keys of about
-``SEGMENT`` n-grams built by one task. Scoring tasks map them into memory and touch the
+A level is a set of segment files in the shared folder, each a range of keys of at most
+about ``SEGMENT`` n-grams built by one task. Counts are shuffled once a level, by these ranges:
+they come from the counts of the level below, and only sums of contexts that two ranges
+share pass through the driver. Scoring tasks map them into memory and touch the
 pages they need; files of a folder that is not local are copied into a temporary folder
 of the worker first. Levels are built in order, each by looking words up in those below.
 """
@@ -35,25 +37,25 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs as arrow_fs
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from kpicast.llm.common import mix, n_shards, slices, word_hashes
+from kpicast.llm.common import n_shards, slices, word_hashes
 from kpicast.llm.eliasfano import EliasFano
 from kpicast.session import shared_dir, written
 
 MIN_COUNT = 1
 DISCOUNT = 0.75
-SEGMENT = 1 << 20
+SEGMENT = 1 << 20  # words of training text whose n-grams one shard and segment holds
+POINTS = 64  # of a shard, where those of the next level may be cut
 ID_BITS = 31  # of a word's number, and of a place among successors
 _LOW = (1 << ID_BITS) - 1
 FLUSH = 2 << 20
 RECENT = 1 << 18
-SHARD_BYTES = 16 << 20  # of text whose n-grams one task merges
+SHARD_BYTES = 16 << 20  # of text whose words one task merges
 END = 0x5E0D_0F_7E87 << 20  # stands for the end of a text; words have odd hashes
 
 
@@ -160,14 +162,19 @@ class Level:
     def split(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         """(segment, places of the keys that belong there)."""
         of = np.searchsorted(self.first, keys, "right") - 1
-        for k in _present(of):
+        for k, at in _by_segment(of):
             if k >= 0:
-                yield k, np.flatnonzero(of == k)
+                yield k, at
 
 
-def _present(segments: np.ndarray) -> list[int]:
-    """The segment numbers that occur, from -1 on."""
-    return (np.flatnonzero(np.bincount(segments + 1)) - 1).tolist()
+def _by_segment(segments: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(segment number, its places in order) of those that occur, from -1 on. One sort,
+    as a pass per segment would grow with their number."""
+    small = len(segments) and segments.max() < 1 << 15
+    order = np.argsort(segments.astype(np.int16) if small else segments, kind="stable")
+    cut = np.flatnonzero(np.diff(segments[order])) + 1
+    for at in np.split(order, cut) if len(order) else ():
+        yield int(segments[at[0]]), at
 
 
 class Words(Level):
@@ -240,8 +247,7 @@ class Grams(Level):
         """Number of the first n-gram of contexts that have some."""
         of = np.searchsorted(self.first, parent << ID_BITS, "left") - 1
         out = np.zeros(len(parent), np.int64)
-        for k in _present(of):
-            at = np.flatnonzero(of == k)
+        for k, at in _by_segment(of):
             # A context that is not in this segment starts the next one.
             start = np.full(len(at), self.base[k + 1] if k + 1 < len(self.base) else self.n)
             if k >= 0:
@@ -255,8 +261,7 @@ class Grams(Level):
         """Training counts of n-grams by number."""
         of = np.searchsorted(self.base, ids, "right") - 1
         out = np.zeros(len(ids), np.int64)
-        for k in _present(of):
-            at = np.flatnonzero(of == k)
+        for k, at in _by_segment(of):
             out[at] = _read_counts(self.segment(k), ids[at] - self.base[k])
         return out
 
@@ -341,28 +346,46 @@ def _trigrams(model: Model, ids: np.ndarray, within: np.ndarray, number: np.ndar
 # -- building ----------------------------------------------------------------
 
 
-def _counted(docs: DataFrame, keys_of, shards: int, least: int = 1) -> DataFrame:
-    """(k, c): counts of at least ``least`` of the 64-bit keys that ``keys_of`` gives for
-    a text column. A task sums its keys and sends each shard (by a hash of the key) the
-    sorted keys in one piece; a shard's pieces are merged by one task."""
+def _packed(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted distinct keys and their counts: the steps of the upper halves, the lower
+    halves as steps while the upper stays, and counts; bytes of equal weight side by side."""
+    high, low = (keys >> ID_BITS).astype(np.uint32), (keys & _LOW).astype(np.uint32)
+    zero = np.zeros(1, np.uint32)
+    step = np.diff(high, prepend=zero)
+    move = np.where(step == 0, np.diff(low, prepend=zero), low)
+    parts = (step, move, counts.astype(np.uint64))
+    planes = np.concatenate([np.ascontiguousarray(a).view(np.uint8).reshape(len(keys), -1).T for a in parts])
+    return pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    planes = np.frombuffer(pa.decompress(blob, 16 * n, "zstd", asbytes=True), np.uint8).reshape(16, n)
+    step, move = (np.ascontiguousarray(planes[k : k + 4].T).view(np.uint32).ravel().astype(np.int64) for k in (0, 4))
+    counts = np.ascontiguousarray(planes[8:].T).view(np.int64).ravel()
+    start = step != 0
+    start[0] = True
+    at, total = np.flatnonzero(start), np.cumsum(move)
+    low = total - np.repeat(total[at] - move[at], np.diff(np.append(at, n)))
+    return (np.cumsum(step) << ID_BITS) | low, counts
+
+
+def _counted(docs: DataFrame, keys_of, bounds: np.ndarray, finish, schema: str, least: int = 1) -> DataFrame:
+    """What ``finish`` gives per shard for its sorted keys and counts of at least ``least``.
+    ``keys_of`` gives the 63-bit keys of a text column, ``bounds`` are the first keys of
+    all shards but the first. A task sums its keys and sends each shard its range in one
+    piece; a shard's pieces are merged by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = [], 0
 
         def flush() -> pa.RecordBatch:
             keys, counts = np.unique(np.concatenate(held), return_counts=True)
-            shard = (mix(keys.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
-            # Keys met once come first in every shard and need no count.
-            order = np.argsort(2 * shard + (counts > 1), kind="stable")
-            cut = np.searchsorted((2 * shard + (counts > 1))[order], np.arange(2 * shards + 1))
-            keys, counts = keys[order], counts[order].astype(np.int32)
+            cut = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
+            some = np.flatnonzero(cut[1:] > cut[:-1])
+            blobs = [_packed(keys[cut[s] : cut[s + 1]], counts[cut[s] : cut[s + 1]]) for s in some]
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(range(shards), pa.int32()),
-                    pa.array([keys[cut[2 * s] : cut[2 * s + 2]].tobytes() for s in range(shards)], pa.binary()),
-                    pa.array([counts[cut[2 * s + 1] : cut[2 * s + 2]].tobytes() for s in range(shards)], pa.binary()),
-                ],
-                ["shard", "keys", "counts"],
+                [pa.array(some, pa.int32()), pa.array(np.diff(cut)[some], pa.int64()), pa.array(blobs, pa.binary())],
+                ["shard", "n", "keys"],
             )
 
         for batch in slices(batches):
@@ -379,47 +402,66 @@ def _counted(docs: DataFrame, keys_of, shards: int, least: int = 1) -> DataFrame
         parts: dict[int, list] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                keys, some = np.frombuffer(row["keys"], np.int64), np.frombuffer(row["counts"], np.int32)
-                counts = np.ones(len(keys), np.int64)
-                counts[len(keys) - len(some) :] = some
-                parts.setdefault(row["shard"], []).append((keys, counts))
+                parts.setdefault(row["shard"], []).append((row["keys"], row["n"]))
         while parts:
-            own = parts.popitem()[1]
-            keys, counts = (np.concatenate([p[k] for p in own]) for k in (0, 1))
-            order = np.argsort(keys)
+            shard, own = parts.popitem()
+            keys, counts = map(np.concatenate, zip(*(_unpacked(*piece) for piece in own)))
+            order = np.argsort(keys, kind="stable")  # merges the sorted pieces
             keys, counts = keys[order], counts[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-            sums = np.add.reduceat(counts, first) if len(keys) else counts
+            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+            sums = np.add.reduceat(counts, first)
             kept = sums >= least
-            yield pa.RecordBatch.from_arrays([pa.array(keys[first][kept]), pa.array(sums[kept])], ["k", "c"])
+            if kept.any():
+                yield pa.RecordBatch.from_pylist([{"shard": shard, **finish(keys[first][kept], sums[kept])}])
+
+    sent = docs.select("text").mapInArrow(run, "shard int, n long, keys binary")
+    return sent.repartition(len(bounds) + 1, "shard").mapInArrow(merge, schema)
+
+
+def _totals(counts: np.ndarray) -> dict:
+    """Facts on a shard's counts. ``points``: places that cut their sum into ``POINTS``."""
+    sums = np.cumsum(counts)
+    points = np.searchsorted(sums, np.arange(1, POINTS + 1) * (sums[-1] / POINTS))
+    return {
+        "n": len(counts),
+        "total": int(sums[-1]),
+        "once": int((counts == 1).sum()),
+        "twice": int((counts == 2).sum()),
+        "points": np.minimum(points, len(counts) - 1).tobytes(),
+    }
 
-    sent = docs.select("text").mapInArrow(run, "shard int, keys binary, counts binary")
-    return sent.repartition(shards, "shard").mapInArrow(merge, "k long, c long")
 
+_TOTALS = "shard long, n long, total long, once long, twice long, points binary"
 
-def _segments(rows: DataFrame, n: int, folder: str, kind: type[Level], build, columns: list[str]) -> Level:
-    """Sort (k, c, ...), ``n`` rows, into segment files; a group of one context may span
-    several."""
-    dealt = rows.repartitionByRange(max(1, -(-n // SEGMENT)), "k").sortWithinPartitions("k")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if table is None or not table.num_rows:
-            return
-        own = {c: table.column(c).to_numpy() for c in columns}
-        first = int(own["k"][0])
-        arrays, about = build(own)
-        name = f"{first:016x}"
-        _write(folder, name, arrays, about)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([first]), pa.array([table.num_rows]), pa.array([name])], ["first", "n", "name"]
-        )
-
-    found = dealt.select(columns).mapInArrow(run, "first long, n long, name string")
-    # One row per segment of a million n-grams.
-    found = found.toPandas().sort_values("first")
-    sizes = found["n"].to_numpy(np.int64)
-    return kind(folder, found["name"].to_list(), found["first"].to_numpy(np.int64), np.cumsum(sizes) - sizes, int(sizes.sum()))
+def _bounds(rows, shards: int, span: int) -> np.ndarray:
+    """First keys of the shards of the level whose contexts ``rows`` sum up, in order, so
+    that each holds about as many of the words that follow them. A context that has more
+    than that is cut by its words, of which there are ``span``."""
+    base = np.cumsum(rows["n"]) - rows["n"]
+    places = [np.frombuffer(p, np.int64) + b for p, b in zip(rows["points"], base)]
+    if shards == 1 or not places:
+        return np.zeros(0, np.int64)
+    weights = np.cumsum(np.repeat(rows["total"].to_numpy() / POINTS, POINTS))
+    at = np.searchsorted(weights, np.arange(1, shards) * (weights[-1] / shards))
+    parents, first, times = np.unique(
+        np.concatenate(places)[np.minimum(at, len(weights) - 1)], return_index=True, return_counts=True
+    )
+    turn = np.arange(shards - 1) - np.repeat(first, times)
+    times = np.repeat(times, times)
+    return (np.repeat(parents, np.diff(np.append(first, shards - 1))) << ID_BITS) | (span * turn // times)
+
+
+def _level(kind: type[Level], folder: str, rows) -> Level:
+    """The level of segments that ``rows`` (first, n, name) name, in order."""
+    sizes = rows["n"].to_numpy(np.int64)
+    return kind(folder, rows["name"].to_list(), rows["first"].to_numpy(np.int64), np.cumsum(sizes) - sizes, int(sizes.sum()))
+
+
+def _save(folder: str, first: int, built: tuple[dict, dict]) -> str:
+    name = f"{first:016x}"
+    _write(folder, name, *built)
+    return name
 
 
 def _sequences(**sequences: EliasFano) -> tuple[dict, dict]:
@@ -437,49 +479,80 @@ def _counts(counts: np.ndarray) -> dict[str, np.ndarray]:
     return {"count": np.minimum(counts, 255).astype(np.uint8), "large_at": large, "large": counts[large]}
 
 
-def _build_words(own: dict) -> tuple[dict, dict]:
-    arrays, about = _sequences(hashes=EliasFano.build(own["k"] - own["k"][0]))
-    return arrays | _counts(own["c"]), about
+def _build_words(keys: np.ndarray, counts: np.ndarray) -> tuple[dict, dict]:
+    arrays, about = _sequences(hashes=EliasFano.build(keys - keys[0]))
+    return arrays | _counts(counts), about
 
 
-def _build_grams(own: dict, discount: float) -> tuple[dict, dict]:
-    key, count, context = own["k"], own["c"], own["h"]
-    parent, child = key >> ID_BITS, key & ((1 << ID_BITS) - 1)
+def _groups(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Per context of sorted keys: its number, its place, its n-grams and their counts' sum."""
+    parent = keys >> ID_BITS
     first = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
-    lengths = np.diff(np.append(first, len(key)))
-    ends = child[np.append(first[1:], len(key)) - 1]
+    return parent[first], first, np.diff(np.append(first, len(keys))), np.add.reduceat(counts, first)
+
+
+def _build_grams(keys: np.ndarray, count: np.ndarray, context: np.ndarray, mass: np.ndarray, discount: float):
+    """``context`` and ``mass``: per context its count and what its n-grams hold of it."""
+    parent, first, lengths, _ = _groups(keys, count)
+    child = keys & _LOW
+    ends = child[np.append(first[1:], len(keys)) - 1]
     raised = np.repeat(np.cumsum(ends) - ends, lengths)
     every = np.arange(parent[0], parent[-1] + 2)
     arrays, about = _sequences(
-        pointers=EliasFano.build(np.searchsorted(parent, every)),
+        pointers=EliasFano.build(np.searchsorted(keys >> ID_BITS, every)),
         children=EliasFano.build(child + raised),
     )
-    share, share_book = quantised((count - discount) / context)
-    kept, left_book = quantised(np.clip(1 - own["s"][first] / context[first], 1e-9, 1.0))
+    share, share_book = quantised((count - discount) / np.repeat(context, lengths))
+    kept, left_book = quantised(np.clip(1 - mass / context, 1e-9, 1.0))
     # The last code stands for contexts without n-grams.
     left = np.full(len(every) - 1, len(left_book), np.uint8)
-    left[parent[first] - parent[0]] = kept
+    left[parent - parent[0]] = kept
     left_book = np.append(left_book, 1.0)
     return arrays | _counts(count) | {"share": share, "share_book": share_book, "left": left, "left_book": left_book}, about
 
 
-def _discount(grams: DataFrame) -> float:
-    once, twice = grams.agg(F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1))).first()
-    return once / (once + 2 * twice) if once and twice else DISCOUNT
+_ENDS = ("first_parent", "first_n", "first_c", "last_parent", "last_n", "last_c", "longest")
+
+
+def _gram_shard(keys: np.ndarray, counts: np.ndarray) -> dict:
+    """A shard's facts, those of its first and last context, which other shards may have
+    as well, and the shard itself."""
+    parent, _, n, c = _groups(keys, counts)
+    ends = (parent[0], n[0], c[0], parent[-1], n[-1], c[-1], n.max())
+    return {**_totals(counts), **{k: int(x) for k, x in zip(_ENDS, ends)}, "keys": _packed(keys, counts)}
+
+
+_GRAM_SHARD = f"{_TOTALS}, {', '.join(f'{k} long' for k in _ENDS)}, keys binary"
+
 
+def _shared_contexts(rows) -> dict[int, tuple[int, int]]:
+    """(n-grams, sum of their counts) of the contexts that several shards have."""
+    found: dict[int, list] = {}
+    for r in rows.itertuples():
+        found.setdefault(r.first_parent, []).append((r.first_n, r.first_c))
+        if r.last_parent != r.first_parent:
+            found.setdefault(r.last_parent, []).append((r.last_n, r.last_c))
+    return {p: tuple(map(sum, zip(*x))) for p, x in found.items() if len(x) > 1}
 
-def _with_context(grams: DataFrame, model: Model, order: int, discount: float) -> DataFrame:
-    """k, c and the context's count h and kept mass s."""
-    sums = grams.groupBy(F.shiftright("k", ID_BITS).alias("p")).agg(F.sum(F.col("c") - discount).alias("s"))
+
+def _segments(shards: DataFrame, shared: dict, model: Model, order: int, discount: float, folder: str) -> Level:
+    """Segment files of the shards; a group of one context may span several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("p").to_numpy()
-            counts = _held(model.grams[0]).count(ids) if order == 3 else _word_counts(_held(model.words), ids)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(counts.astype(float))], ["p", "s", "h"])
-
-    sums = sums.mapInArrow(run, "p long, s double, h double")
-    return grams.withColumn("p", F.shiftright("k", ID_BITS)).join(sums, "p").select("k", "c", "h", "s")
+            for row in batch.to_pylist():
+                keys, counts = _unpacked(row["keys"], row["n"])
+                parent, _, n, c = _groups(keys, counts)
+                for k in (0, -1):
+                    n[k], c[k] = shared.get(int(parent[k]), (n[k], c[k]))
+                context = _held(model.grams[0]).count(parent) if order == 3 else _word_counts(_held(model.words), parent)
+                built = _build_grams(keys, counts, context.astype(float), c - discount * n, discount)
+                name = _save(folder, int(keys[0]), built)
+                yield pa.RecordBatch.from_pylist([{"first": int(keys[0]), "n": len(keys), "name": name}])
+
+    found = shards.select("n", "keys").mapInArrow(run, "first long, n long, name string")
+    # One row per segment of a million n-grams.
+    return _level(Grams, folder, found.toPandas().sort_values("first"))
 
 
 def _word_counts(words: Words, ids: np.ndarray) -> np.ndarray:
@@ -500,15 +573,20 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     folder = f"{shared_dir(docs.sparkSession)}/lm-{uuid.uuid4().hex}"
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = n_shards(docs.sparkSession, size, SHARD_BYTES)
-    counts = written(_counted(docs, lambda text: tokens(text)[0], shards), "words")
-    total, distinct, once, twice = counts.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"),
-        F.count(F.when(F.col("c") == 1, 1)), F.count(F.when(F.col("c") == 2, 1)),
-    ).first()
+    ends = np.array([(1 << 63) * k // shards for k in range(1, shards)], np.int64)
+
+    def word_shard(keys: np.ndarray, counts: np.ndarray) -> dict:
+        first = int(keys[0])
+        return {**_totals(counts), "first": first, "name": _save(f"{folder}/1", first, _build_words(keys, counts))}
+
+    found = _counted(docs, lambda text: tokens(text)[0], ends, word_shard, f"{_TOTALS}, first long, name string")
+    # One row per shard, here and below.
+    rows = found.toPandas().sort_values("first")
+    total, distinct, once, twice = (int(rows[k].sum()) for k in ("total", "n", "once", "twice"))
     _require_room(distinct, ID_BITS, "words")
-    words = _segments(counts, distinct, f"{folder}/1", Words, _build_words, ["k", "c"])
     discount = once / (once + 2 * twice) if once and twice else 0.5
-    model = Model(words, [], total, distinct, discount)
+    model = Model(_level(Words, f"{folder}/1", rows), [], total, distinct, discount)
+    span = distinct
 
     def bigram_keys(text: pa.Array) -> np.ndarray:
         hashes, n = tokens(text)
@@ -530,14 +608,17 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     for n, keys in ((2, bigram_keys), (3, trigram_keys)):
         if n > order or not model.distinct:
             break
-        kept = written(_counted(docs, keys, shards, min_count), f"grams-{n}")
-        size = kept.count()
+        shards = max(1, -(-total // SEGMENT))
+        kept = written(_counted(docs, keys, _bounds(rows, shards, span), _gram_shard, _GRAM_SHARD, min_count), f"grams-{n}")
+        rows = kept.drop("keys").toPandas().sort_values("shard")
+        size, once, twice = (int(rows[k].sum()) for k in ("n", "once", "twice"))
         if n < order:
             _require_room(size, 63 - ID_BITS, f"{n}-grams")
-        discount = _discount(kept)
-        rows = _with_context(kept, model, n, discount)
-        build = partial(_build_grams, discount=discount)
-        model.grams = [*model.grams, _segments(rows, size, f"{folder}/{n}", Grams, build, ["k", "c", "h", "s"])]
+        discount = once / (once + 2 * twice) if once and twice else DISCOUNT
+        shared = _shared_contexts(rows)
+        # Words that any context has after it, so places among successors.
+        span = max([rows["longest"].max() if len(rows) else 1, *(x[0] for x in shared.values())])
+        model.grams = [*model.grams, _segments(kept, shared, model, n, discount, f"{folder}/{n}")]
     return model
 
 
