@@ -130,10 +130,11 @@ def block_windows(blocks: DataFrame) -> DataFrame:
         for d in SAME_WINDOW_DAYS:
             back = 24 * d // _STEP - 1
             out[f"{m}_same_target_6h_d{d}"] = f"lag({m}_6, {back}, 0D) OVER ({_BY_BLOCK})"
-        out[f"{m}_cum"] = f"sum({m}_6) OVER {_trailing(HISTORY_HOURS)}"
         out[f"target_{m}"] = f"lead({m}_6, 1, 0D) OVER ({_BY_BLOCK})"
     anchor = {"anchor_idx": f"block * {_STEP}"}
-    return pick(blocks, ["timezone", *ENTITY, *_AD_COLUMNS], anchor | out)
+    windows = pick(blocks, ["timezone", *ENTITY, *_AD_COLUMNS], anchor | out)
+    # The totals are the sums of the longest window, which is not run a second time.
+    return add(windows, {f"{m}_cum": f"{m}_sum_{HISTORY_HOURS}h" for m in METRICS})
 
 
 def latest_windows(hourly: DataFrame) -> DataFrame:
