@@ -542,11 +542,14 @@ def _segments(shards: DataFrame, shared: dict, model: Model, order: int, discoun
         for batch in batches:
             for row in batch.to_pylist():
                 keys, counts = _unpacked(row["keys"], row["n"])
-                parent, _, n, c = _groups(keys, counts)
+                parent, first, _, _ = _groups(keys, counts)
+                mass = np.add.reduceat(counts - discount, first)
                 for k in (0, -1):
-                    n[k], c[k] = shared.get(int(parent[k]), (n[k], c[k]))
+                    if int(parent[k]) in shared:
+                        n, c = shared[int(parent[k])]
+                        mass[k] = c - discount * n
                 context = _held(model.grams[0]).count(parent) if order == 3 else _word_counts(_held(model.words), parent)
-                built = _build_grams(keys, counts, context.astype(float), c - discount * n, discount)
+                built = _build_grams(keys, counts, context.astype(float), mass, discount)
                 name = _save(folder, int(keys[0]), built)
                 yield pa.RecordBatch.from_pylist([{"first": int(keys[0]), "n": len(keys), "name": name}])
 
