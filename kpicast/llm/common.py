@@ -107,6 +107,25 @@ def word_spans(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return starts, ends, counts
 
 
+_kept_powers: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the step from the first on, and of its inverse from the zeroth on, n at
+    least; those of a small slice are kept."""
+    if _kept_powers and n <= len(_kept_powers[0]):
+        return _kept_powers[0], _kept_powers[1]
+    size = max(n, SMALL_SLICE)
+    step = int(_STEP) | 1
+    powers = np.cumprod(np.full(size, step, np.uint64))
+    inverse = np.full(size, pow(step, -1, 1 << 64), np.uint64)
+    inverse[0] = 1
+    inverse = np.cumprod(inverse)
+    if size == SMALL_SLICE:
+        _kept_powers[:] = powers, inverse
+    return powers, inverse
+
+
 def span_hashes(
     buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUE
 ) -> np.ndarray:
@@ -115,11 +134,12 @@ def span_hashes(
     if not len(starts):
         return np.zeros(0, np.uint64)
     lengths = ends - starts
-    powers = np.cumprod(np.full(int(lengths.max()), _STEP | U64(1), np.uint64))
-    cut = np.cumsum(lengths) - lengths
-    place = np.arange(int(lengths.sum())) - np.repeat(cut, lengths)
-    unit = buf[place + np.repeat(starts, lengths)]
-    sums = np.add.reduceat(values[unit] * powers[place], cut)
+    powers, inverse = _powers(len(buf))
+    # Sums of things by powers of their place; the difference between the ends of a span,
+    # times the inverse power of its start, is its polynomial (modulo 2^64).
+    sums = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(values[buf] * powers[: len(buf)], out=sums[1:])
+    sums = (sums[ends] - sums[starts]) * inverse[starts]
     return mix(sums ^ mix(lengths.astype(np.uint64)))
 
 

@@ -1,7 +1,9 @@
 """Elias-Fano sequences: non-decreasing numbers in about 2 + log2(universe / n) bits each.
 
-Low bits are packed side by side; high bits are a unary bit vector with a count of zeros
-before every word. All look-ups take arrays of places or values.
+Low bits are side by side in the smallest unsigned type that holds them, so that one takes
+a single read; where a bit or two less fit a smaller type, the high bits take them. High
+bits are a unary bit vector with counts of zeros and of ones before every word. All
+look-ups take arrays of places or values.
 """
 
 from __future__ import annotations
@@ -40,12 +42,11 @@ def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
 
 
 class EliasFano:
-    """``arrays``: what is stored; plain or memory-mapped."""
+    """``low``, ``high``, ``zeros`` and ``ones`` are what is stored; plain or memory-mapped."""
 
-    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray):
+    def __init__(self, n: int, low_bits: int, low: np.ndarray, high: np.ndarray, zeros: np.ndarray, ones: np.ndarray):
         self.n, self.low_bits = n, low_bits
-        self.low, self.high, self.zeros = low, high, zeros
-        self.ones: np.ndarray | None = None
+        self.low, self.high, self.zeros, self.ones = low, high, zeros, ones
 
     @classmethod
     def build(cls, values: np.ndarray) -> EliasFano:
@@ -53,104 +54,95 @@ class EliasFano:
         n = len(values)
         universe = int(values[-1]) + 1 if n else 1
         bits = max(0, (universe // max(n, 1)).bit_length() - 1)
-        mask = U((1 << bits) - 1)
-        low = np.zeros(n * bits // 64 + 2, np.uint64)
-        if bits and n:
-            at = np.arange(n, dtype=np.uint64) * U(bits)
-            word, shift = (at >> U(6)).astype(np.int64), at & U(63)
-            part = values & mask
-            np.bitwise_or.at(low, word, part << shift)
-            over = shift + U(bits) > U(64)
-            np.bitwise_or.at(low, word[over] + 1, part[over] >> (U(64) - shift[over]))
+        bits = next((k for k in (8, 16, 32) if k < bits <= k + 2), bits)
+        kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if bits <= 8 * np.dtype(k).itemsize)
+        low = (values & U((1 << bits) - 1)).astype(kind) if bits else np.zeros(0, kind)
         place = (values >> U(bits)).astype(np.int64) + np.arange(n)
         high = np.zeros(((int(place[-1]) if n else 0) + 2 + 63) // 64 + 1, np.uint64)
         np.bitwise_or.at(high, place >> 6, _ONE << (place & 63).astype(np.uint64))
-        ones = np.cumsum(np.bitwise_count(high).astype(np.int64))
-        zeros = np.arange(len(high) + 1) * 64 - np.concatenate([[0], ones])
-        return cls(n, bits, low, high, zeros)
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high).astype(np.int64))])
+        zeros = np.arange(len(high) + 1) * 64 - ones
+        kind = np.int32 if 64 * len(high) < 1 << 31 else np.int64
+        return cls(n, bits, low, high, zeros.astype(kind), ones.astype(kind))
 
     def _low(self, at: np.ndarray) -> np.ndarray:
-        if not self.low_bits:
-            return np.zeros(len(at), np.uint64)
-        bit = at.astype(np.uint64) * U(self.low_bits)
-        word, shift = (bit >> U(6)).astype(np.int64), bit & U(63)
-        out = self.low[word] >> shift
-        spill = shift + U(self.low_bits) > U(64)
-        out[spill] |= self.low[word[spill] + 1] << (U(64) - shift[spill])
-        return out & U((1 << self.low_bits) - 1)
+        return self.low[at] if self.low_bits else np.zeros(len(at), np.uint8)
 
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Place of the k-th zero; past the last one the number of bits."""
-        word = np.searchsorted(self.zeros, k, "right") - 1
+        word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), "right") - 1
         inside = word < len(self.high)
         word = np.minimum(word, len(self.high) - 1)
         place = 64 * word + _select(~self.high[word], k - self.zeros[word])
         return np.where(inside, place, 64 * len(self.high))
 
-    def _at(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        if self.ones is None:
-            self.ones = 64 * np.arange(len(self.zeros)) - self.zeros
-        word = np.searchsorted(self.ones, at, "right") - 1
-        place = 64 * word + _select(self.high[word], at - self.ones[word])
-        return place, ((place - at).astype(np.uint64) << U(self.low_bits)) | self._low(at)
+    def _ones_from(self, bit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of set bits in a row from each place on as far as its word goes, and
+        where the word ends before they do."""
+        shift = bit & 63
+        rest = ~(self.high[bit >> 6] >> shift.astype(np.uint64))
+        run = np.bitwise_count((rest & (~rest + _ONE)) - _ONE).astype(np.int64)
+        return run, np.flatnonzero(run + shift >= 64)
+
+    def _one(self, at: np.ndarray) -> np.ndarray:
+        """Place of the set bit of that number."""
+        word = np.searchsorted(self.ones, at.astype(self.ones.dtype), "right") - 1
+        return 64 * word + _select(self.high[word], at - self.ones[word])
+
+    def _value(self, at: np.ndarray, place: np.ndarray) -> np.ndarray:
+        return ((place - at).astype(np.uint64) << U(self.low_bits)) | self._low(at)
 
     def get(self, at: np.ndarray) -> np.ndarray:
         """Values at places (0 <= at < n)."""
-        return self._at(at)[1]
-
-    def _ones_from(self, bit: np.ndarray) -> np.ndarray:
-        """Number of set bits in a row from each place on."""
-        out, todo = np.zeros(len(bit), np.int64), np.arange(len(bit))
-        while len(todo):
-            at = bit[todo] + out[todo]
-            inside = at < 64 * len(self.high)
-            todo, at = todo[inside], at[inside]
-            shift = (at & 63).astype(np.uint64)
-            rest = ~(self.high[at >> 6] >> shift)
-            run = np.bitwise_count((rest & (~rest + _ONE)) - _ONE).astype(np.int64)
-            run = np.minimum(run, 64 - (at & 63))
-            out[todo] += run
-            todo = todo[(at & 63) + run == 64]
-        return out
+        return self._value(at, self._one(at))
 
     def pair(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values at places and at the places after them."""
-        place, value = self._at(at)
-        nxt = place + 1
-        todo = np.arange(len(at))
-        while len(todo):  # mostly in the same word
-            word = self.high[nxt[todo] >> 6] >> (nxt[todo] & 63).astype(np.uint64)
-            some = word != 0
-            skip = np.bitwise_count((word & (~word + _ONE)) - _ONE).astype(np.int64)
-            nxt[todo] = np.where(some, nxt[todo] + skip, (nxt[todo] | 63) + 1)
-            todo = todo[~some]
-        after = ((nxt - at - 1).astype(np.uint64) << U(self.low_bits)) | self._low(at + 1)
-        return value, after
+        place = self._one(at)
+        after = place + 1
+        word = self.high[after >> 6] >> (after & 63).astype(np.uint64)
+        far = np.flatnonzero(word == 0)  # mostly in the same word
+        after += np.bitwise_count((word & (~word + _ONE)) - _ONE)
+        after[far] = self._one(at[far] + 1)
+        return self._value(at, place), self._value(at + 1, after)
 
     def find(self, values: np.ndarray, begin: np.ndarray | int = 0, end: np.ndarray | int | None = None):
-        """First place in [begin, end) whose value is not less than the wanted one, and
-        whether it is equal. The high bits give a short range, searched by low bits."""
-        values = values.astype(np.uint64)
+        """Places of values in [begin, end), the first of equal ones, and whether they are
+        there at all. What is before ``begin`` must not be greater than the value sought.
+        The high bits give a short range, searched by low bits: mostly its first tells."""
+        values = values.astype(np.uint64, copy=False)
         end = self.n if end is None else end
         want_high = (values >> U(self.low_bits)).astype(np.int64)
+        want = (values & U((1 << self.low_bits) - 1)).astype(self.low.dtype)
         # Numbers past the last high part: no element can be there.
         top = int(self.zeros[-1])
         capped = np.minimum(want_high, top)
-        bit = np.where(capped > 0, self._zero(np.maximum(capped - 1, 0)) + 1, 0)
-        start = bit - capped
-        stop = start + self._ones_from(bit)
-        low = np.clip(start, begin, end)
-        high = np.clip(np.minimum(stop, self.n), begin, end)
-        limit = high.copy()
-        want = values & U((1 << self.low_bits) - 1)
-        todo = np.flatnonzero(low < high)
-        while len(todo):
-            mid = (low[todo] + high[todo]) >> 1
-            less = self._low(mid) < want[todo]
-            low[todo] = np.where(less, mid + 1, low[todo])
-            high[todo] = np.where(less, high[todo], mid)
-            todo = todo[low[todo] < high[todo]]
+        place = np.maximum(np.where(capped > 0, self._zero(np.maximum(capped - 1, 0)) + 1 - capped, 0), begin)
+        # The last bit of all is padding.
+        bit = np.minimum(place + capped, 64 * len(self.high) - 1)
+        some = self.high[bit >> 6] >> (bit & 63).astype(np.uint64) & _ONE
+        todo = np.flatnonzero((some != 0) & (place < end) & (want_high <= top))
+        first = self._low(place[todo])
         equal = np.zeros(len(values), bool)
-        may = np.flatnonzero((low < limit) & (want_high <= top))
-        equal[may] = self._low(low[may]) == want[may]
-        return low, equal
+        equal[todo] = first == want[todo]
+        todo = todo[first < want[todo]]
+        if not len(todo):
+            return place, equal
+        left, sought = place[todo] + 1, want[todo]
+        run, far = self._ones_from(bit[todo])
+        right = left + run - 1
+        right[far] = self._zero(capped[todo[far]]) - capped[todo[far]]
+        limit = right = np.minimum(right, end if np.isscalar(end) else end[todo])
+        rest, low = np.flatnonzero(left < right), left.copy()
+        left, right, own = left[rest], right[rest], sought[rest]
+        while len(rest):
+            mid = (left + right) >> 1
+            less = self._low(mid) < own
+            left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
+            low[rest] = left
+            more = np.flatnonzero(left < right)
+            rest, left, right, own = rest[more], left[more], right[more], own[more]
+        place[todo] = low
+        may = np.flatnonzero(low < limit)
+        equal[todo[may]] = self._low(low[may]) == sought[may]
+        return place, equal

@@ -53,7 +53,8 @@ SEGMENT = 1 << 20  # words of training text whose n-grams one shard and segment
 POINTS = 64  # of a shard, where those of the next level may be cut
 ID_BITS = 31  # of a word's number, and of a place among successors
 _LOW = (1 << ID_BITS) - 1
-FLUSH = 2 << 20
+GROUP = 2 << 20  # tokens looked up together
+CUT = 1 << 18  # bytes of text cut into words together
 RECENT = 1 << 18
 SHARD_BYTES = 16 << 20  # of text whose words one task merges
 END = 0x5E0D_0F_7E87 << 20  # stands for the end of a text; words have odd hashes
@@ -67,6 +68,23 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.insert(hashes.astype(np.int64), at, END), counts + 1
 
 
+def _grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray]]:
+    """Rows of about ``GROUP`` tokens with those and their numbers. Levels are looked up
+    for a whole group, as every segment costs the same few passes for one key or many;
+    words are cut in smaller slices, which stay in the cache."""
+    held, n = [], 0
+    for batch in slices(batches, size=CUT):
+        held.append((batch, *tokens(batch.column("text"))))
+        n += len(held[-1][1])
+        if n >= GROUP:
+            rows, hashes, counts = zip(*held)
+            held, n = [], 0
+            yield list(rows), np.concatenate(hashes), np.concatenate(counts)
+    if held:
+        rows, hashes, counts = zip(*held)
+        yield list(rows), np.concatenate(hashes), np.concatenate(counts)
+
+
 # -- files -------------------------------------------------------------------
 
 
@@ -118,13 +136,16 @@ def _mapped(folder: str, name: str) -> tuple[dict[str, np.ndarray], dict]:
     return arrays, about
 
 
+_STORED = ("low", "high", "zeros", "ones")
+
+
 def _pack(name: str, sequence: EliasFano) -> tuple[dict, dict]:
-    arrays = {f"{name}.{k}": getattr(sequence, k) for k in ("low", "high", "zeros")}
+    arrays = {f"{name}.{k}": getattr(sequence, k) for k in _STORED}
     return arrays, {name: (sequence.n, sequence.low_bits)}
 
 
 def _unpack(name: str, arrays: dict, about: dict) -> EliasFano:
-    return EliasFano(*about[name], *(arrays[f"{name}.{k}"] for k in ("low", "high", "zeros")))
+    return EliasFano(*about[name], *(arrays[f"{name}.{k}"] for k in _STORED))
 
 
 def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -159,12 +180,11 @@ class Level:
             self._maps[k] = found | {name: a for name, a in arrays.items() if "." not in name}
         return self._maps[k]
 
-    def split(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(segment, places of the keys that belong there)."""
-        of = np.searchsorted(self.first, keys, "right") - 1
-        for k, at in _by_segment(of):
-            if k >= 0:
-                yield k, at
+    def split(self, keys: np.ndarray) -> Iterator[tuple[int, slice]]:
+        """(segment, which of the sorted keys belong there)."""
+        cut = np.append(np.searchsorted(keys, self.first), len(keys))
+        for k in np.flatnonzero(cut[1:] > cut[:-1]):
+            yield int(k), slice(cut[k], cut[k + 1])
 
 
 def _by_segment(segments: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -195,52 +215,80 @@ class Words(Level):
         return found, seen
 
     def _search(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of sorted words."""
         ids, counts = np.full(len(hashes), -1, np.int64), np.zeros(len(hashes), np.int64)
         for k, at in self.split(hashes):
             segment = self.segment(k)
             place, equal = segment["hashes"].find((hashes[at] - self.first[k]).astype(np.uint64))
-            at, place = at[equal], place[equal]
-            ids[at] = place + self.base[k]
-            counts[at] = _read_counts(segment, place)
+            hit = np.flatnonzero(equal)
+            ids[at][hit] = place[hit] + self.base[k]
+            counts[at][hit] = _read_counts(segment, place[hit])
         return ids, counts
 
 
 class Grams(Level):
-    def _range(self, segment: dict, k: int, parent: np.ndarray):
-        """Places of the children of parents that the segment covers, and which it does.
+    def _range(self, segment: dict, k: int, parent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and past-the-end place of the children that parents have in the segment.
         Pointers are indexed by the parent's number, counted from the segment's first."""
         at = parent - (self.first[k] >> ID_BITS)
         inside = at < segment["pointers"].n - 1
-        begin, end = segment["pointers"].pair(at[inside])
-        return begin.astype(np.int64), end.astype(np.int64), inside
-
-    def find(self, parent: np.ndarray, child: np.ndarray):
-        """Numbers (-1: none) and first factors of n-grams, given the number of their
-        context and the relative number of their word."""
-        ids, share = np.full(len(parent), -1, np.int64), np.zeros(len(parent))
-        for k, at in self.split((parent << ID_BITS) | child):
+        begin, end = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        begin[inside], end[inside] = segment["pointers"].pair(at[inside])
+        return begin, end
+
+    def _hits(self, keys: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """(segment, which of the sorted keys it has, their places, first places of their
+        contexts). What the words of one context share is read once."""
+        for k, at in self.split(keys):
+            children = self.segment(k)["children"]
+            parent = keys[at] >> ID_BITS
+            new = np.flatnonzero(np.concatenate([[True], parent[1:] != parent[:-1]]))
+            begin, end = self._range(self.segment(k), k, parent[new])
+            raised = np.zeros(len(new), np.uint64)
+            later = np.flatnonzero((0 < begin) & (begin < end))
+            raised[later] = children.get(begin[later] - 1)
+            own = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(parent))))
+            begin = begin[own]
+            place, equal = children.find((keys[at] & _LOW).view(np.uint64) + raised[own], begin, end[own])
+            hit = np.flatnonzero(equal)
+            yield k, hit + at.start, place[hit], begin[hit]
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Numbers (-1: none), first factors and places among all successors of their
+        context, of n-grams by sorted keys: the number of the context and the relative
+        number of the word."""
+        ids, share, rank = np.full(len(keys), -1, np.int64), np.zeros(len(keys)), np.zeros(len(keys), np.int64)
+        for k, at, place, begin in self._hits(keys):
+            segment = self.segment(k)
+            ids[at] = place + self.base[k]
+            share[at] = segment["share_book"][segment["share"][place]]
+            rank[at] = place - begin
+            # The segment's first context may have more words in those before.
+            rank[at[: np.searchsorted(keys[at] >> ID_BITS, self.first[k] >> ID_BITS, "right")]] += self._skipped(k)
+        return ids, share, rank
+
+    def share(self, keys: np.ndarray) -> np.ndarray:
+        """First factors of n-grams by sorted keys."""
+        out = np.zeros(len(keys))
+        for k, at, place, _ in self._hits(keys):
             segment = self.segment(k)
-            begin, end, inside = self._range(segment, k, parent[at])
-            full = begin < end
-            at, begin, end = at[inside][full], begin[full], end[full]
-            raised = np.zeros(len(at), np.uint64)
-            later = begin > 0
-            raised[later] = segment["children"].get(begin[later] - 1)
-            found, equal = segment["children"].find(child[at].astype(np.uint64) + raised, begin, end)
-            at, found = at[equal], found[equal]
-            ids[at] = found + self.base[k]
-            share[at] = segment["share_book"][segment["share"][found]]
-        return ids, share
+            out[at] = segment["share_book"][segment["share"][place]]
+        return out
+
+    def _skipped(self, k: int) -> int:
+        """How many n-grams of its first context a segment leaves to those before."""
+        if ("skipped", k) not in self._maps:
+            self._maps["skipped", k] = int(self.base[k] - self.start(self.first[k : k + 1] >> ID_BITS)[0])
+        return self._maps["skipped", k]
 
     def left(self, parent: np.ndarray) -> np.ndarray:
-        """What a context leaves to the shorter one; 1 for contexts without n-grams."""
+        """What contexts, in order, leave to the shorter one; 1 for those without n-grams."""
         out = np.ones(len(parent))
-        last = (np.int64(1) << ID_BITS) - 1
-        for k, at in self.split((parent << ID_BITS) | last):
+        for k, at in self.split((parent << ID_BITS) | _LOW):
             segment = self.segment(k)
             place = parent[at] - (self.first[k] >> ID_BITS)
-            inside = place < len(segment["left"])
-            out[at[inside]] = segment["left_book"][segment["left"][place[inside]]]
+            place = place[: np.searchsorted(place, len(segment["left"]))]
+            out[at][: len(place)] = segment["left_book"][segment["left"][place]]
         return out
 
     def start(self, parent: np.ndarray) -> np.ndarray:
@@ -251,9 +299,9 @@ class Grams(Level):
             # A context that is not in this segment starts the next one.
             start = np.full(len(at), self.base[k + 1] if k + 1 < len(self.base) else self.n)
             if k >= 0:
-                begin, end, inside = self._range(self.segment(k), k, parent[at])
+                begin, end = self._range(self.segment(k), k, parent[at])
                 full = begin < end
-                start[np.flatnonzero(inside)[full]] = self.base[k] + begin[full]
+                start[full] = self.base[k] + begin[full]
             out[at] = start
         return out
 
@@ -301,46 +349,78 @@ class Model:
         p = self.unigram(seen)
         within = _place_in_text(counts)
         if len(self.grams) > 0:
-            two = _bigrams(self, ids, within)
-            at = np.flatnonzero((within >= 1) & (np.roll(ids, 1) >= 0))
-            left, share = np.ones(len(ids)), np.zeros(len(ids))
-            left[at] = _held(self.grams[0]).left(ids[at - 1])
-            share[two[1]] = two[2]
-            p = share + left * p
+            two = _Bigrams.of(self, ids, within)
+            p = two.spread(two.share, 0.0) + self._left_by_word(ids, within, two) * p
         if len(self.grams) > 1:
-            number = np.full(len(ids), -1, np.int64)
-            number[two[1]] = two[0]
-            at = np.flatnonzero((within >= 2) & (np.roll(number, 1) >= 0))
-            left, share = np.ones(len(ids)), np.zeros(len(ids))
-            left[at] = _held(self.grams[1]).left(number[at - 1])
-            at, parent, child = _trigrams(self, ids, within, number)
+            left = two.spread(self._left_by_bigram(two), 1.0)
+            p *= np.where(within >= 2, np.roll(left, 1), 1.0)
+            at, keys = _trigrams(two, within)
             # In order, so that neighbours in the files are read one after the other.
-            keys, back = np.unique((parent << ID_BITS) | child, return_inverse=True)
-            share[at] = _held(self.grams[1]).find(keys >> ID_BITS, keys & _LOW)[1][back]
-            p = share + left * p
+            order = np.argsort(keys)
+            p[at[order]] += _held(self.grams[1]).share(keys[order])
         return np.log10(p), seen
 
+    def _left_by_word(self, ids: np.ndarray, within: np.ndarray, two: _Bigrams) -> np.ndarray:
+        """What the word before every token leaves."""
+        level = _held(self.grams[0])
+        words, own = _distinct(two.keys >> ID_BITS)
+        out = two.spread(level.left(words)[own], 1.0)
+        odd = np.flatnonzero((within >= 1) & (ids < 0) & (np.roll(ids, 1) >= 0))
+        words, own = np.unique(ids[odd - 1], return_inverse=True)
+        out[odd] = level.left(words)[own]
+        return out
+
+    def _left_by_bigram(self, two: _Bigrams) -> np.ndarray:
+        """What every distinct bigram leaves as a context; their numbers are in order."""
+        out = np.ones(len(two.keys))
+        kept = two.number >= 0
+        out[kept] = _held(self.grams[1]).left(two.number[kept])
+        return out
+
+
+def _distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ones of sorted values, and for each value which it is."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new], np.cumsum(new) - 1
+
 
 def _place_in_text(counts: np.ndarray) -> np.ndarray:
     return np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _bigrams(model: Model, ids: np.ndarray, within: np.ndarray):
-    """Kept bigrams: (number, place of the second word, first factor)."""
-    at = np.flatnonzero((within >= 1) & (ids >= 0) & (np.roll(ids, 1) >= 0))
-    keys, back = np.unique((ids[at - 1] << ID_BITS) | ids[at], return_inverse=True)
-    number, share = _held(model.grams[0]).find(keys >> ID_BITS, keys & _LOW)
-    number, share = number[back], share[back]
-    kept = number >= 0
-    return number[kept], at[kept], share[kept]
+@dataclass
+class _Bigrams:
+    """The distinct bigrams of known words among tokens: key, number (-1: not kept), first
+    factor and place among the successors of the first word; where they end, and which."""
+
+    keys: np.ndarray
+    number: np.ndarray
+    share: np.ndarray
+    rank: np.ndarray
+    at: np.ndarray
+    back: np.ndarray
+    tokens: int
+
+    @classmethod
+    def of(cls, model: Model, ids: np.ndarray, within: np.ndarray) -> _Bigrams:
+        at = np.flatnonzero((within >= 1) & (ids >= 0) & (np.roll(ids, 1) >= 0))
+        keys, back = np.unique((ids[at - 1] << ID_BITS) | ids[at], return_inverse=True)
+        return cls(keys, *_held(model.grams[0]).find(keys), at, back, len(ids))
+
+    def spread(self, values: np.ndarray, other) -> np.ndarray:
+        """A value per bigram at the tokens that end one, ``other`` elsewhere."""
+        out = np.full(self.tokens, other)
+        out[self.at] = values[self.back]
+        return out
 
 
-def _trigrams(model: Model, ids: np.ndarray, within: np.ndarray, number: np.ndarray):
-    """Places whose two bigrams are kept, with the trigram's context and its word
+def _trigrams(two: _Bigrams, within: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places whose two bigrams are kept, and keys: the trigram's context and its word
     relative to the successors of the middle word."""
+    number = two.spread(two.number, -1)
     at = np.flatnonzero((within >= 2) & (number >= 0) & (np.roll(number, 1) >= 0))
-    middle, back = np.unique(ids[at - 1], return_inverse=True)
-    return at, number[at - 1], number[at] - _held(model.grams[0]).start(middle)[back]
+    return at, (number[at - 1] << ID_BITS) | two.spread(two.rank, 0)[at]
 
 
 # -- building ----------------------------------------------------------------
@@ -369,35 +449,32 @@ def _unpacked(blob: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.cumsum(step) << ID_BITS) | low, counts
 
 
+def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts. Most counts are 1: keys are
+    sorted without them, and what counts have above 1 is added to the sums."""
+    distinct, sums = np.unique(keys, return_counts=True)
+    more = np.flatnonzero(counts > 1)
+    np.add.at(sums, np.searchsorted(distinct, keys[more]), counts[more] - 1)
+    return distinct, sums
+
+
 def _counted(docs: DataFrame, keys_of, bounds: np.ndarray, finish, schema: str, least: int = 1) -> DataFrame:
     """What ``finish`` gives per shard for its sorted keys and counts of at least ``least``.
-    ``keys_of`` gives the 63-bit keys of a text column, ``bounds`` are the first keys of
-    all shards but the first. A task sums its keys and sends each shard its range in one
-    piece; a shard's pieces are merged by one task."""
+    ``keys_of`` gives the 63-bit keys of tokens and their numbers per text, ``bounds`` are
+    the first keys of all shards but the first. A task sums the keys of a group of rows and
+    sends each shard its range in one piece; a shard's pieces are merged by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, n = [], 0
-
-        def flush() -> pa.RecordBatch:
-            keys, counts = np.unique(np.concatenate(held), return_counts=True)
+        for _, hashes, n in _grouped(batches):
+            keys, counts = np.unique(keys_of(hashes, n), return_counts=True)
             cut = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
             some = np.flatnonzero(cut[1:] > cut[:-1])
             blobs = [_packed(keys[cut[s] : cut[s + 1]], counts[cut[s] : cut[s + 1]]) for s in some]
-            return pa.RecordBatch.from_arrays(
+            yield pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int32()), pa.array(np.diff(cut)[some], pa.int64()), pa.array(blobs, pa.binary())],
                 ["shard", "n", "keys"],
             )
 
-        for batch in slices(batches):
-            keys = keys_of(batch.column("text"))
-            held.append(keys)
-            n += len(keys)
-            if n > FLUSH:
-                yield flush()
-                held, n = [], 0
-        if n:
-            yield flush()
-
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
         for batch in batches:
@@ -405,14 +482,10 @@ def _counted(docs: DataFrame, keys_of, bounds: np.ndarray, finish, schema: str,
                 parts.setdefault(row["shard"], []).append((row["keys"], row["n"]))
         while parts:
             shard, own = parts.popitem()
-            keys, counts = map(np.concatenate, zip(*(_unpacked(*piece) for piece in own)))
-            order = np.argsort(keys, kind="stable")  # merges the sorted pieces
-            keys, counts = keys[order], counts[order]
-            first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-            sums = np.add.reduceat(counts, first)
+            keys, sums = _summed(*map(np.concatenate, zip(*(_unpacked(*piece) for piece in own))))
             kept = sums >= least
             if kept.any():
-                yield pa.RecordBatch.from_pylist([{"shard": shard, **finish(keys[first][kept], sums[kept])}])
+                yield pa.RecordBatch.from_pylist([{"shard": shard, **finish(keys[kept], sums[kept])}])
 
     sent = docs.select("text").mapInArrow(run, "shard int, n long, keys binary")
     return sent.repartition(len(bounds) + 1, "shard").mapInArrow(merge, schema)
@@ -582,7 +655,7 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
         first = int(keys[0])
         return {**_totals(counts), "first": first, "name": _save(f"{folder}/1", first, _build_words(keys, counts))}
 
-    found = _counted(docs, lambda text: tokens(text)[0], ends, word_shard, f"{_TOTALS}, first long, name string")
+    found = _counted(docs, lambda hashes, n: hashes, ends, word_shard, f"{_TOTALS}, first long, name string")
     # One row per shard, here and below.
     rows = found.toPandas().sort_values("first")
     total, distinct, once, twice = (int(rows[k].sum()) for k in ("total", "n", "once", "twice"))
@@ -591,22 +664,15 @@ def train(docs: DataFrame, order: int = 3, min_count: int = MIN_COUNT) -> Model:
     model = Model(_level(Words, f"{folder}/1", rows), [], total, distinct, discount)
     span = distinct
 
-    def bigram_keys(text: pa.Array) -> np.ndarray:
-        hashes, n = tokens(text)
+    def bigram_keys(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
         ids, seen = _held(model.words).find(hashes)
         ids = np.where(seen >= min_count, ids, -1)
         at = np.flatnonzero((_place_in_text(n) >= 1) & (ids >= 0) & (np.roll(ids, 1) >= 0))
         return (ids[at - 1] << ID_BITS) | ids[at]
 
-    def trigram_keys(text: pa.Array) -> np.ndarray:
-        hashes, n = tokens(text)
-        ids = _held(model.words).find(hashes)[0]
+    def trigram_keys(hashes: np.ndarray, n: np.ndarray) -> np.ndarray:
         within = _place_in_text(n)
-        number = np.full(len(ids), -1, np.int64)
-        found, at, _ = _bigrams(model, ids, within)
-        number[at] = found
-        _, parent, child = _trigrams(model, ids, within, number)
-        return (parent << ID_BITS) | child
+        return _trigrams(_Bigrams.of(model, _held(model.words).find(hashes)[0], within), within)[1]
 
     for n, keys in ((2, bigram_keys), (3, trigram_keys)):
         if n > order or not model.distinct:
@@ -635,8 +701,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([*kept, *(T.StructField(*f) for f in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            hashes, n = tokens(batch.column("text"))
+        for rows, hashes, n in _grouped(batches):
+            batch = pa.concat_batches(rows)
             logs, seen = model.score(hashes, n)
             row = np.repeat(np.arange(len(n)), n)
             base = np.log10((seen + 1) / (model.total + model.distinct + 1))
