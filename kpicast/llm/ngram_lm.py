@@ -53,7 +53,8 @@ SEGMENT = 1 << 20  # words of training text whose n-grams one shard and segment
 POINTS = 64  # of a shard, where those of the next level may be cut
 ID_BITS = 31  # of a word's number, and of a place among successors
 _LOW = (1 << ID_BITS) - 1
-GROUP = 2 << 20  # tokens looked up together
+GROUP = 1 << 20  # tokens looked up together
+FLUSH = 2 << 20  # keys a task sums before it sends them
 CUT = 1 << 18  # bytes of text cut into words together
 RECENT = 1 << 18
 SHARD_BYTES = 16 << 20  # of text whose words one task merges
@@ -461,20 +462,31 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _counted(docs: DataFrame, keys_of, bounds: np.ndarray, finish, schema: str, least: int = 1) -> DataFrame:
     """What ``finish`` gives per shard for its sorted keys and counts of at least ``least``.
     ``keys_of`` gives the 63-bit keys of tokens and their numbers per text, ``bounds`` are
-    the first keys of all shards but the first. A task sums the keys of a group of rows and
-    sends each shard its range in one piece; a shard's pieces are merged by one task."""
+    the first keys of all shards but the first. A task sums its keys and sends each shard
+    its range in one piece; a shard's pieces are merged by one task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, hashes, n in _grouped(batches):
-            keys, counts = np.unique(keys_of(hashes, n), return_counts=True)
+        held, n = [], 0
+
+        def flush() -> pa.RecordBatch:
+            keys, counts = np.unique(np.concatenate(held), return_counts=True)
             cut = np.concatenate([[0], np.searchsorted(keys, bounds), [len(keys)]])
             some = np.flatnonzero(cut[1:] > cut[:-1])
             blobs = [_packed(keys[cut[s] : cut[s + 1]], counts[cut[s] : cut[s + 1]]) for s in some]
-            yield pa.RecordBatch.from_arrays(
+            return pa.RecordBatch.from_arrays(
                 [pa.array(some, pa.int32()), pa.array(np.diff(cut)[some], pa.int64()), pa.array(blobs, pa.binary())],
                 ["shard", "n", "keys"],
             )
 
+        for _, hashes, counts in _grouped(batches):
+            held.append(keys_of(hashes, counts))
+            n += len(held[-1])
+            if n > FLUSH:
+                yield flush()
+                held, n = [], 0
+        if n:
+            yield flush()
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: dict[int, list] = {}
         for batch in batches:
